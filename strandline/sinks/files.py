@@ -23,6 +23,7 @@ def batch_overwrite(
     max_files: int | None = None,
     max_records_per_file: int | None = None,
     partition_by: str | list[str] | None = None,
+    cluster_by: str | None = None,
     time_column: str = "timestamp",
 ) -> WriteReport:
     """Overwrite a Parquet location, and report rows written and the cutoff (K3, K7, T5).
@@ -33,7 +34,14 @@ def batch_overwrite(
     By default the files follow the tasks of the last stage, which AQE has sized by bytes. ``max_files``
     is for small tables: it spreads the rows over that many writers by one more shuffle, instead of
     squeezing the work before it into as few tasks (H15).
+
+    ``cluster_by`` is for large tables that are read by ranges of a column: it sorts the rows into files by
+    that column, so a filter on it skips most files. After a dedup by hash each file spans the whole range.
     """
+    if max_files and cluster_by:
+        raise ValueError("give max_files or cluster_by, not both")
+    if cluster_by:
+        df = df.repartitionByRange(F.col(cluster_by)).sortWithinPartitions(cluster_by)
     if max_files:
         df = df.repartition(max_files)
     seen = Observation()

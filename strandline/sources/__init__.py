@@ -6,6 +6,7 @@ from strandline.sources.files import (
     read_bronze,
     read_files,
     read_landed_json,
+    spread,
     stream_bronze,
     stream_files,
     stream_landed_json,
@@ -22,6 +23,7 @@ __all__ = [
     "read_topic",
     "read_topics",
     "scan_topics",
+    "spread",
     "stream_bronze",
     "stream_files",
     "stream_landed_json",

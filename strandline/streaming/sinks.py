@@ -8,19 +8,21 @@ checkpoint reset.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strandline.contracts import TRIGGER_INTERVAL
 from strandline.operators.dedup import keep_one
 from strandline.operators.handoff import not_loaded
 from strandline.sources.files import read_files
 
-# run=<query id>/batch=<batch id>/
-PARTS_DEPTH = 2
+# day=<ingestion day>/run=<query id>/batch=<batch id>/
+PARTS_DEPTH = 3
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -62,31 +64,84 @@ def _run_of(spark: SparkSession, checkpoint: str) -> str:
 
 
 def _parts_schema(schema: StructType) -> StructType:
-    return StructType(
-        [*schema.fields, StructField("run", StringType()), StructField("batch", IntegerType())]
-    )
-
+    return StructType([*schema.fields, StructField("run", StringType()), StructField("batch", LongType())])
 
-def read_parts(spark: SparkSession, path: str, schema: str | StructType, missing_ok: bool = True) -> DataFrame:
-    """All rows that :func:`stream_parts` wrote, without its directory columns."""
-    return read_files(spark, path, schema, depth=PARTS_DEPTH, missing_ok=missing_ok)
 
+def _days_path(path: str, days: Sequence[str] | None) -> str:
+    """The location with its first level narrowed to some days, so that no other day is even listed."""
+    return path.rstrip("/") + ("/day=*" if days is None else "/day={" + ",".join(days) + "}")
 
-def _in_range_of(loaded: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    """The loaded rows that could share a key with ``rows``, judged by the range of one key column.
 
-    The bounds are literals, so Parquet skips the row groups outside of them, and a micro-batch of recent
-    rows reads the recent end of the table only.
-    """
-    low, high, filled, total = rows.agg(
-        F.min(F.unix_micros(column)), F.max(F.unix_micros(column)), F.count(column), F.count(F.lit(1))
-    ).first()
-    inside = F.lit(False)
-    if filled:
-        inside = F.col(column).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
-    if filled < total:
-        inside = inside | F.col(column).isNull()
-    return loaded.filter(inside)
+def read_parts(
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    days: Sequence[str] | None = None,
+    missing_ok: bool = True,
+) -> DataFrame:
+    """All rows that :func:`stream_parts` wrote, or those of some ingestion days (``yyyy-mm-dd``)."""
+    return read_files(spark, _days_path(path, days), schema, depth=PARTS_DEPTH - 1, missing_ok=missing_ok)
+
+
+@dataclass(frozen=True)
+class _Span:
+    """The ingestion days and the time range of a micro-batch."""
+
+    days: list[str]
+    low: int | None
+    high: int | None
+    with_null: bool
+
+    @classmethod
+    def of(cls, rows: DataFrame, column: str) -> _Span:
+        # One row per day that the batch touches, reduced in each task first.
+        per_day = (
+            rows.groupBy(F.date_format(column, "yyyy-MM-dd").alias("day"))
+            .agg(F.min(F.unix_micros(column)).alias("low"), F.max(F.unix_micros(column)).alias("high"))
+            .collect()
+        )
+        dated = [r for r in per_day if r["day"] is not None]
+        return cls(
+            [r["day"] for r in dated],
+            min((r["low"] for r in dated), default=None),
+            max((r["high"] for r in dated), default=None),
+            len(dated) < len(per_day),
+        )
+
+    def path_days(self) -> list[str]:
+        # The day of rows without a time also holds the empty part, so there is always something to find.
+        return [*self.days, NO_DAY]
+
+    def keep(self, loaded: DataFrame, column: str) -> DataFrame:
+        """The loaded rows that can share a key with the batch. The bounds are literals, so Parquet skips
+        the row groups outside of them."""
+        inside = F.lit(False)
+        if self.low is not None:
+            inside = F.col(column).between(
+                F.timestamp_micros(F.lit(self.low)), F.timestamp_micros(F.lit(self.high))
+            )
+        if self.with_null:
+            inside = inside | F.col(column).isNull()
+        return loaded.filter(inside)
+
+
+def _write_part(
+    rows: DataFrame, path: str, run: str, batch_id: int, time_column: str, gather_days: bool
+) -> None:
+    part = (
+        rows.withColumn("day", F.date_format(time_column, "yyyy-MM-dd"))
+        .withColumn("run", F.lit(run))
+        .withColumn("batch", F.lit(batch_id))
+    )
+    if gather_days:
+        # After a shuffle by key every task holds rows of every day. AQE splits a large day by size.
+        part = part.hint("rebalance", F.col("day"))
+    (
+        part.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "run", "batch")
+        .parquet(path)
+    )
 
 
 def stream_parts(
@@ -101,15 +156,17 @@ def stream_parts(
     time_column: str = "timestamp",
     name: str | None = None,
 ) -> StreamingQuery:
-    """Write each micro-batch to ``run=<query id>/batch=<n>`` under ``path``.
+    """Write each micro-batch to ``day=<day>/run=<query id>/batch=<n>`` under ``path``.
 
-    A batch that is run again overwrites its own directory only. A reset checkpoint starts a new run, and
-    so never writes over the rows of an older one, however the batches are cut.
+    A batch that is run again overwrites its own directories only. A reset checkpoint starts a new run, and
+    so never writes over the rows of an older one, however the batches are cut. The day is that of
+    ``time_column``, in UTC by the session's zone.
 
     * ``dedup_keys``: one row per key within a micro-batch (T8), by ``order_by`` and then all columns.
     * ``new_keys``: one row per key in the whole table (T11, H1). The batch is made unique, then rows
-      whose key an earlier batch, an earlier run or the ``loaded`` table holds are dropped. If
-      ``time_column`` is one of the keys, only the loaded rows in the batch's time range are read.
+      whose key an earlier batch, an earlier run or the ``loaded`` table holds are dropped. With
+      ``time_column`` among the keys only the days that the batch touches are listed, and of these and of
+      ``loaded`` only the batch's time range is read; without it the whole table's keys are.
 
     Without keys the rows pass as they are, with no shuffle (T6).
     """
@@ -121,29 +178,37 @@ def stream_parts(
         if not runs:
             runs.append(_run_of(spark, checkpoint))
         run = runs[0]
-        target = f"{path.rstrip('/')}/run={run}/batch={batch_id}"
         keys = new_keys or dedup_keys
         rows = keep_one(batch, keys, order_by) if keys else batch
         if not new_keys:
-            rows.write.mode("overwrite").parquet(target)
+            _write_part(rows, path, run, batch_id, time_column, gather_days=bool(keys))
             return
         rows = rows.persist()
         try:
-            earlier = (
-                read_files(
-                    spark, path, _parts_schema(schema), PARTS_DEPTH, missing_ok=True, with_partitions=True
-                )
-                .filter((F.col("run") != run) | (F.col("batch") < batch_id))
-                .select(*new_keys)
-            )
+            span = _Span.of(rows, time_column) if time_column in new_keys else None
+            earlier = read_files(
+                spark,
+                _days_path(path, span.path_days() if span else None),
+                _parts_schema(schema),
+                PARTS_DEPTH - 1,
+                missing_ok=True,
+                base_path=path,
+            ).filter((F.col("run") != run) | (F.col("batch") < batch_id))
+            seen = earlier.select(*new_keys)
             if loaded is not None:
-                earlier = earlier.unionByName(loaded(spark).select(*new_keys))
-            if time_column in new_keys:
-                earlier = _in_range_of(earlier, rows, time_column)
-            not_loaded(rows, earlier, new_keys).write.mode("overwrite").parquet(target)
+                seen = seen.unionByName(loaded(spark).select(*new_keys))
+            if span:
+                seen = span.keep(seen, time_column)
+            # A batch of recent rows lies in one or two days and needs no gathering.
+            gather = span is None or len(span.days) > 2
+            _write_part(not_loaded(rows, seen, new_keys), path, run, batch_id, time_column, gather)
         finally:
             rows.unpersist()
 
+    if new_keys:
+        # An empty part to find, for the first batch of a new table.
+        nothing = df.sparkSession.createDataFrame([], schema)
+        nothing.write.mode("ignore").parquet(f"{path.rstrip('/')}/day={NO_DAY}/run=none/batch=-1")
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         writer = writer.queryName(name)

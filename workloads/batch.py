@@ -17,10 +17,8 @@ from workloads import sql
 from workloads.messages import (
     air_quality_bronze,
     conditions_bronze,
-    conditions_payload,
     cut_short,
     events,
-    messages,
     naive,
     plain_texts,
     props_messages,
@@ -89,7 +87,7 @@ def empty_array_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(silver.select("timestamp", "condition_id", "condition_main", "temp", "city_name"))
 
 
-@query(f"SELECT {sql.columns(sql.CONDITIONS, null_if=chr(101) + 'vent_type = ' + repr('click'))} FROM events")
+@query(f"SELECT {sql.columns(sql.CONDITIONS, null_if="event_type = 'click'")} FROM events")
 def malformed_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 H5: broken messages stay, with NULLs"""
     bronze = cut_short(conditions_bronze(events(spark, sf_dir)), "click")
@@ -176,16 +174,10 @@ def dedup_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql.select(sql.AIR_QUALITY))
 def dedup_silver_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 H2: the backfill's rows, deduplicated by place in the log before the parse"""
-    bronze = envelope(messages(events(spark, sf_dir), _air_quality()), keep=["partition", "offset"])
+    bronze = air_quality_bronze(events(spark, sf_dir), keep=["partition", "offset"])
     return naive(silver_rows(replayed(bronze), AIR_QUALITY, LOG_KEY, raw_dedup=True))
 
 
-def _air_quality():
-    from workloads.messages import air_quality_payload
-
-    return air_quality_payload()
-
-
 @query(sql.one_per(sql.CONDITIONS, ["timestamp"], ["timestamp", "event_time", "temp", "city_id"]))
 def dedup_prefers_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H5: a broken copy does not displace the good one"""
@@ -249,21 +241,22 @@ def dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ handoff
 
 
+def _labelled_parts(first: DataFrame, second: DataFrame) -> DataFrame:
+    return union_parts(
+        first.select(F.lit("backfill").alias("part"), "*"), second.select(F.lit("stream").alias("part"), "*")
+    )
+
+
 @query(
     f"SELECT CASE WHEN ts <= {sql.CUTOFF_SQL} THEN 'backfill' ELSE 'stream' END AS part, "
     f"{sql.columns(sql.CONDITIONS)} FROM events"
 )
 def handoff_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both halves of silver, split by time"""
-    bronze = envelope(messages(events(spark, sf_dir), conditions_payload()), keep=["partition", "offset"])
+    bronze = conditions_bronze(events(spark, sf_dir), keep=["partition", "offset"])
     first = silver_rows(replayed(up_to(bronze, sql.CUTOFF)), CONDITIONS, LOG_KEY)
     second = to_silver(after(bronze, sql.CUTOFF), CONDITIONS)
-    part = F.lit
-    return naive(
-        union_parts(
-            first.select(part("backfill").alias("part"), "*"), second.select(part("stream").alias("part"), "*")
-        )
-    )
+    return naive(_labelled_parts(first, second))
 
 
 @query(
@@ -278,11 +271,7 @@ def handoff_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = envelope(props_messages(events(spark, sf_dir)), keep=["offset"])
     first = up_to(bronze, sql.CUTOFF).filter(F.col("topic") != "error")
     second = not_loaded(keep_one(replayed(bronze), ["topic", "offset"]), first, ["topic", "offset"])
-    return naive(
-        union_parts(
-            first.select(F.lit("backfill").alias("part"), "*"), second.select(F.lit("stream").alias("part"), "*")
-        )
-    )
+    return naive(_labelled_parts(first, second))
 
 
 @query(

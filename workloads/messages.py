@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import json_bytes
 from strandline.operators import envelope
+from strandline.sources import spread
 
 EVENTS_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -117,12 +120,12 @@ def props_messages(rows: DataFrame) -> DataFrame:
     return messages(rows, F.encode("props", "UTF-8"))
 
 
-def conditions_bronze(rows: DataFrame, **damage: str) -> DataFrame:
-    return envelope(messages(rows, conditions_payload(**damage)))
+def conditions_bronze(rows: DataFrame, keep: Sequence[str] = (), **damage: str) -> DataFrame:
+    return envelope(messages(spread(rows), conditions_payload(**damage)), keep)
 
 
-def air_quality_bronze(rows: DataFrame) -> DataFrame:
-    return envelope(messages(rows, air_quality_payload()))
+def air_quality_bronze(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return envelope(messages(spread(rows), air_quality_payload()), keep)
 
 
 def cut_short(bronze: DataFrame, topic: str) -> DataFrame:

@@ -19,10 +19,8 @@ from workloads import sql
 from workloads.messages import (
     air_quality_bronze,
     conditions_bronze,
-    conditions_payload,
     events,
     events_stream,
-    messages,
     naive,
     props_messages,
     replayed,
@@ -83,7 +81,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "fanout")
     stream = envelope(props_messages(events_stream(spark, sf_dir)))
     finish(fan_out_one_stream(stream, f"{base}/rows", f"{base}/checkpoint", NOW))
-    rows = read_bronze(spark, f"{base}/rows", depth=1, with_partitions=True)
+    rows = read_bronze(spark, f"{base}/rows", depth=1, base_path=f"{base}/rows")
     return naive(rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("latest")))
 
 
