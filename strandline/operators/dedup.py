@@ -41,15 +41,13 @@ def keep_one(
     if not rest and not order_by:
         return df.distinct()
 
-    named = [c for c in order_by if isinstance(c, str) and c in rest]
-    computed = [c if isinstance(c, Column) else F.col(c) for c in order_by if c not in named]
-    if computed and named:
-        # Keep the caller's priority; a named column may then appear twice in the struct.
+    if all(isinstance(c, str) and c in rest for c in order_by):
+        lead = []
+        trail = [*order_by, *(c for c in rest if c not in order_by)]
+    else:
+        # Computed values come before the columns, in the caller's priority.
         lead = [(F.col(c) if isinstance(c, str) else c).alias(f"_order{i}") for i, c in enumerate(order_by)]
         trail = rest
-    else:
-        lead = [c.alias(f"_order{i}") for i, c in enumerate(computed)]
-        trail = named + [c for c in rest if c not in named]
 
     unordered = [c for c in trail if _has_no_order(df.schema[c].dataType)]
     if unordered:

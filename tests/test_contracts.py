@@ -1,0 +1,38 @@
+"""Schema registry (section 1.4, Hard 6)."""
+
+import pytest
+
+from strandline import AIR_QUALITY, CONDITIONS, Feed, SilverColumn
+from strandline.plans import silver_schema
+
+
+def test_column_counts_p3_p4(spark):
+    assert len(silver_schema(spark, CONDITIONS)) == 30
+    assert len(silver_schema(spark, AIR_QUALITY)) == 13
+
+
+def test_types_and_order(spark):
+    schema = silver_schema(spark, CONDITIONS)
+    assert schema.fieldNames()[:3] == ["timestamp", "event_time", "lat"]
+    types = {f.name: f.dataType.simpleString() for f in schema}
+    assert types["event_time"] == types["sunset"] == "timestamp"
+    assert types["rain_1h"] == types["temp"] == "double"
+    assert types["pressure"] == types["city_id"] == "int"
+    assert types["condition_main"] == "string"
+    assert all(f.nullable for f in schema)
+
+
+@pytest.mark.parametrize(
+    ("kind", "path", "complaint"),
+    [("nth", "a.b", "unknown kind"), ("first", "a", "needs an array"), ("field", "a..b", "empty step")],
+)
+def test_bad_columns_are_refused(kind, path, complaint):
+    with pytest.raises(ValueError, match=complaint):
+        SilverColumn("x", kind, path)
+
+
+def test_repeated_names_are_refused():
+    with pytest.raises(ValueError, match="repeated"):
+        Feed.of("f", "a INT", [("x", "field", "a"), ("x", "field", "a")])
+    with pytest.raises(ValueError, match="repeated"):
+        Feed.of("f", "a INT", [("timestamp", "field", "a")])

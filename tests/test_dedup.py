@@ -1,0 +1,112 @@
+"""Keyed distinct."""
+
+import random
+
+import pytest
+from conftest import at, plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from strandline import CONDITIONS
+from strandline.operators import keep_one
+from strandline.plans.backfill import silver_rows
+
+SCHEMA = "k INT, a INT, b STRING"
+
+
+def nulls_first(row):
+    return tuple((v is not None, v) if v is not None else (False, 0) for v in row)
+
+
+def brute(rows, last=False):
+    best = {}
+    for row in sorted(rows, key=lambda r: nulls_first(r[1:])):
+        if last or row[0] not in best:
+            best[row[0]] = row
+    return sorted(best.values(), key=nulls_first)
+
+
+cell = st.one_of(st.none(), st.integers(0, 3))
+row = st.tuples(cell, cell, st.one_of(st.none(), st.sampled_from(["", "x", "y"])))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(row, max_size=25), last=st.booleans())
+def test_same_as_brute_force(spark, rows, last):
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = keep_one(df, ["k"], ["a"], keep="last" if last else "first")
+    assert sorted(map(tuple, out.collect()), key=nulls_first) == brute(rows, last)
+    again = keep_one(out, ["k"], ["a"], keep="last" if last else "first")
+    assert sorted(map(tuple, again.collect()), key=nulls_first) == brute(rows, last)
+
+
+def test_null_key_keeps_one_row_h13(spark):
+    df = spark.createDataFrame([(None, 1, "x"), (None, 2, "y"), (1, 5, "z")], SCHEMA)
+    assert keep_one(df, ["k"]).count() == 2
+
+
+def test_survivor_does_not_depend_on_partitioning_h3(spark):
+    rows = [(i % 7, i % 5, str(i)) for i in range(500)]
+    expected = brute(rows)
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, SCHEMA).repartition(1 + 3 * seed)
+        assert sorted(map(tuple, keep_one(df, ["k"], ["a"]).collect()), key=nulls_first) == expected
+
+
+def test_order_by_expression_and_column_in_callers_priority(spark):
+    df = spark.createDataFrame([(1, 1, "bb"), (1, 2, "a"), (1, 3, "c")], SCHEMA)
+    assert keep_one(df, ["k"], [F.length("b"), "a"]).first()["a"] == 2
+    assert keep_one(df, ["k"], [-F.col("a")]).first()["a"] == 3
+    assert keep_one(df, ["k"], ["b", -F.col("a")]).first()["b"] == "a"
+
+
+def test_only_keys(spark):
+    assert keep_one(spark.createDataFrame([(1,), (1,), (None,)], "k INT"), ["k"]).count() == 2
+
+
+def test_columns_without_an_order(spark):
+    df = spark.sql(
+        "SELECT 1 AS k, map('b', 1) AS m, 2 AS a UNION ALL SELECT 1, map('a', 2), 2 UNION ALL SELECT 1, map('z', 0), 1"
+    )
+    (row,) = keep_one(df, ["k"], ["a"]).collect()
+    assert row["m"] == {"z": 0}
+    (row,) = keep_one(df.filter("a = 2"), ["k"], ["a"]).collect()
+    assert row["m"] == {"a": 2}
+
+
+def test_wrong_keep_is_refused(spark):
+    with pytest.raises(ValueError, match="keep"):
+        keep_one(spark.range(1), ["id"], keep="any")
+
+
+def test_reduces_before_the_shuffle(spark):
+    plan = plan_of(keep_one(spark.range(100).selectExpr("id % 3 AS k", "id AS a", "'x' AS b"), ["k"], ["a"]))
+    assert plan.count("Exchange") == 1 and "partial_min" in plan and "Window" not in plan
+    assert plan.index("partial_min") > plan.index("Exchange")  # below it in the tree
+
+
+def test_hot_key_crosses_the_shuffle_once_per_task(spark, tmp_path):
+    """A third of all rows under one key: no reducer sees more than one row per task of it."""
+    rows = spark.range(0, 300_000, 1, 8).selectExpr("IF(id % 3 = 0, -1, id) AS k", "id AS a", "'x' AS b")
+    out = keep_one(rows, ["k"], ["a"])
+    assert out.count() == 200_001
+    assert out.filter("k = -1").first()["a"] == 0
+
+
+def test_parsed_row_beats_malformed_h5(envelope_of):
+    good = '{"name":"site","dt":1700000000}'
+    bronze = envelope_of([("t", 0, '{"name":"si'), ("t", 0, good), ("t", 1, "junk"), ("t", 1, "other junk")])
+    rows = {r["timestamp"]: r["city_name"] for r in silver_rows(bronze, CONDITIONS).collect()}
+    assert sorted(rows.values(), key=str) == [None, "site"]
+
+
+def test_time_alone_merges_different_messages_h2(spark):
+    rows = [("t", at(0), '{"id":1}', 0, 1), ("t", at(0), '{"id":2}', 0, 2), ("t", at(0), '{"id":2}', 0, 2)]
+    bronze = spark.createDataFrame(rows, "topic STRING, timestamp TIMESTAMP, json_str STRING, partition INT, offset BIGINT")
+    assert silver_rows(bronze, CONDITIONS).count() == 1
+    for raw_dedup in (False, True):
+        kept = silver_rows(bronze, CONDITIONS, ["topic", "partition", "offset"], raw_dedup=raw_dedup)
+        assert sorted(r["city_id"] for r in kept.collect()) == [1, 2]
+        assert len(kept.columns) == 30

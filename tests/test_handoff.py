@@ -1,0 +1,90 @@
+"""Batch-to-stream handoff."""
+
+import pytest
+from conftest import at, plan_of
+from pyspark.sql import functions as F
+
+from strandline.operators import after, cutoff_of, keep_one, not_loaded, union_parts, up_to
+from strandline.sources import read_bronze
+
+
+def texts(df):
+    return sorted(r["json_str"] for r in df.collect())
+
+
+@pytest.fixture
+def bronze(envelope_of):
+    return envelope_of([("t", s, str(s)) for s in range(10)] + [("t", 3, "3")])
+
+
+@pytest.mark.parametrize("second", [-1, 0, 4, 9, 50])
+def test_halves_are_disjoint_and_complete_u2(bronze, second):
+    cutoff = at(second).strftime("%Y-%m-%dT%H:%M:%SZ")
+    first, rest = up_to(bronze, cutoff), after(bronze, cutoff)
+    both = keep_one(union_parts(first, rest), ["timestamp"])
+    assert texts(both) == [str(s) for s in range(10)]
+    assert first.count() + rest.count() == 11
+
+
+def test_cutoff_is_what_was_loaded_not_when_it_ended_h1(envelope_of):
+    """Row 3 reaches bronze after the listing and before the end of the backfill."""
+    listed = envelope_of([("t", 1, "1"), ("t", 2, "2")])
+    later = envelope_of([("t", 1, "1"), ("t", 2, "2"), ("t", 3, "3"), ("t", 5, "4")])
+    finish_time = at(4).strftime("%Y-%m-%dT%H:%M:%SZ")
+    assert texts(union_parts(listed, after(later, finish_time))) == ["1", "2", "4"]
+    assert texts(union_parts(listed, after(later, cutoff_of(listed)))) == ["1", "2", "3", "4"]
+
+
+def test_out_of_order_row_needs_the_key_handoff_h1(envelope_of):
+    listed = envelope_of([("t", 1, "1"), ("t", 3, "3")])
+    later = envelope_of([("t", 1, "1"), ("t", 2, "late"), ("t", 3, "3"), ("t", 4, "4")])
+    assert "late" not in texts(union_parts(listed, after(later, cutoff_of(listed))))
+    by_key = union_parts(listed, not_loaded(later, listed, ["timestamp"]))
+    assert texts(by_key) == ["1", "3", "4", "late"]
+
+
+def test_null_equals_null_in_key_handoff(envelope_of):
+    loaded = envelope_of([("t", None, "n")])
+    assert not_loaded(envelope_of([("t", None, "n"), ("t", 1, "1")]), loaded, ["timestamp"]).count() == 1
+
+
+def test_empty_load_is_no_cutoff(spark, envelope_of, bronze):
+    assert cutoff_of(envelope_of([])) is None
+    assert after(bronze, None).count() == 11
+    assert up_to(bronze, None).count() == 0
+
+
+def test_null_time_h13(envelope_of):
+    df = envelope_of([("t", None, "n"), ("t", 1, "1")])
+    cutoff = cutoff_of(df)
+    assert texts(up_to(df, cutoff)) == ["1", "n"]
+    assert texts(after(df, "2000-01-01T00:00:00Z")) == ["1"]
+
+
+def test_cutoff_keeps_microseconds_and_zone_h10(spark):
+    df = spark.sql("SELECT TIMESTAMP '2024-01-15 12:00:00.123456Z' AS timestamp")
+    assert cutoff_of(df) == "2024-01-15T12:00:00.123456Z"
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kathmandu"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert cutoff_of(df) == "2024-01-15T12:00:00.123456Z"
+            assert after(df, "2024-01-15T12:00:00.123456Z").count() == 0
+            assert after(df, "2024-01-15T12:00:00.123455Z").count() == 1
+            assert after(df, "2024-01-15T14:00:00.123455+02:00").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_cutoff_is_pushed_to_parquet_p10(spark, bronze, tmp_path):
+    bronze.write.parquet(f"{tmp_path}/b")
+    plan = plan_of(after(read_bronze(spark, f"{tmp_path}/b"), "2023-11-14T22:13:25Z").select("json_str"))
+    assert "GreaterThan(timestamp" in plan and "Exchange" not in plan
+    assert "topic" not in plan.split("ReadSchema")[1]
+
+
+def test_hot_key_handoff_is_joined_once_per_key(spark):
+    rows = spark.range(90_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id % 2 AS v")
+    loaded = spark.range(0, 90_000, 2).select(F.col("id").alias("k"))
+    out = not_loaded(keep_one(rows, ["k"]), loaded, ["k"])
+    assert out.count() == 30_000

@@ -1,0 +1,76 @@
+"""Every registered query against its SQL in DuckDB, and rules that hold for the whole code base."""
+
+import inspect
+import pathlib
+import re
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from check import TABLES, rows_of
+
+SF_DIR = "/root/testdata/sf0.001"
+ROOT = pathlib.Path(__file__).resolve().parent.parent
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_sql(spark, db, name):
+    df = entry.queries()[name](spark, SF_DIR)
+    got = rows_of(df.columns, df.collect())
+    assert sum(got[1].values()) > 0
+    if name in entry.oracle_sql():
+        result = db.execute(entry.oracle_sql()[name])
+        assert got == rows_of([c[0] for c in result.description], result.fetchall())
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert len(df.columns) == 30 and df.count() == 1000
+
+
+def test_only_file_names_lack_sql():
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"file_list"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def sources():
+    return [p for d in ("strandline", "workloads") for p in sorted((ROOT / d).rglob("*.py"))]
+
+
+@pytest.mark.parametrize("word", ["udf", "applyInPandas", "mapInPandas", "localCheckpoint", "crossJoin", "collect_list", "toPandas"])
+def test_absent_from_the_code(word):
+    assert [str(p) for p in sources() if re.search(word, p.read_text(), re.IGNORECASE)] == []
+
+
+INVENTORY = (
+    [f"S{i}" for i in range(1, 11)]
+    + [f"K{i}" for i in range(1, 8)]
+    + [f"P{i}" for i in range(1, 17)]
+    + ["J1", "J2"]
+    + [f"A{i}" for i in range(1, 8)]
+    + ["L1", "U1", "U2", "Q1", "Q2"]
+    + [f"F{i}" for i in range(1, 14)]
+    + [f"T{i}" for i in range(1, 12)]
+    + [f"C{i}" for i in range(1, 10)]
+)
+
+
+def test_every_inventory_item_is_named():
+    text = "\n".join(p.read_text() for p in sources()) + "\n".join(p.read_text() for p in (ROOT / "tests").glob("*.py"))
+    # Ranges such as P2-P9 name their members, too.
+    spans = {f"{a}{i}" for a, low, high in re.findall(r"\b([A-Z])(\d+)-\1(\d+)\b", text) for i in range(int(low), int(high) + 1)}
+    named = {i for i in INVENTORY if re.search(rf"\b{i}\b", text) or re.search(rf"_{i.lower()}(_|\b)", text)}
+    assert [i for i in INVENTORY if i not in named | spans] == []
+
+
+def test_queries_say_what_they_cover():
+    assert [n for n, q in entry.queries().items() if not inspect.getdoc(q)] == []

@@ -1,0 +1,244 @@
+"""Streams (S3, S5, K1, K2, T1-T11, H1, H8, H12, H18)."""
+
+import os
+
+import pytest
+from conftest import at, plan_of
+from pyspark.sql import functions as F
+
+from strandline import CONDITIONS, ENVELOPE
+from strandline.operators import after, to_silver
+from strandline.plans import backfill, fan_out, incremental, ingest, silver_view
+from strandline.plans.ingest import fan_out_one_stream
+from strandline.sources import read_bronze, stream_bronze, stream_landed_json
+from strandline.streaming import first_within_watermark, read_parts, stream_append, stream_parts, watch
+
+KEY = ["topic", "timestamp"]
+
+
+def message(name, second=0):
+    return f'{{"name":"{name}","dt":{1_700_000_000 + second}}}'
+
+
+@pytest.fixture
+def land(envelope_of, tmp_path):
+    """Add one bronze file; files are picked up in the order they were added."""
+    path = f"{tmp_path}/bronze"
+    count = [0]
+
+    def add(*rows):
+        envelope_of(list(rows)).coalesce(1).write.mode("append").parquet(path)
+        count[0] += 1
+        newest = max((e for e in os.scandir(path) if e.name.endswith(".parquet")), key=lambda e: e.stat().st_ctime)
+        os.utime(newest.path, (1_600_000_000 + count[0] * 10,) * 2)
+        return path
+
+    add.path = path
+    return add
+
+
+def run(query):
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def texts(df):
+    return sorted(r["json_str"] for r in df.collect())
+
+
+def names(df):
+    return sorted((r["city_name"] for r in df.collect()), key=str)
+
+
+def test_bronze_is_copied_and_resumed_k1_t3(spark, land, tmp_path):
+    out, cp = f"{tmp_path}/out", f"{tmp_path}/cp"
+    land(("t", 1, "a"), ("t", 2, "b"))
+    for parts in (False, True):
+        for expected in (["a", "b"], ["a", "b"]):
+            run(ingest(stream_bronze(spark, land.path), f"{out}{parts}", f"{cp}{parts}", None, parts=parts))
+            got = read_parts(spark, f"{out}{parts}", ENVELOPE) if parts else read_bronze(spark, f"{out}{parts}")
+            assert texts(got) == expected
+    land(("t", 3, "c"))
+    run(ingest(stream_bronze(spark, land.path), f"{out}True", f"{cp}True", None, parts=True))
+    assert texts(read_parts(spark, f"{out}True", ENVELOPE)) == ["a", "b", "c"]
+
+
+def test_glob_stream_starts_before_its_input_exists_h18(spark, land, tmp_path):
+    args = (f"{tmp_path}/out", f"{tmp_path}/cp")
+    run(stream_append(stream_bronze(spark, land.path), *args, every=None))
+    land(("t", 1, "a"))
+    run(stream_append(stream_bronze(spark, land.path), *args, every=None))
+    assert texts(read_bronze(spark, args[0])) == ["a"]
+
+
+def test_incremental_is_map_only_and_pushes_the_cutoff_t6_p10(spark, land):
+    land(("t", 1, "{}"))
+    plan = plan_of(to_silver(after(read_bronze(spark, land.path), "2023-11-14T22:13:21Z"), CONDITIONS))
+    assert "Exchange" not in plan and "GreaterThan(timestamp" in plan
+
+
+def test_late_event_time_is_accepted(spark, land, tmp_path):
+    """Only the ingestion time is compared with the cutoff."""
+    land(("t", 100, message("old reading", -1_000_000)), ("t", 1, message("before")))
+    run(incremental(stream_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/o", f"{tmp_path}/cp",
+                    cutoff=at(50).isoformat(), every=None))
+    view = silver_view(spark, CONDITIONS, f"{tmp_path}/none", f"{tmp_path}/o")
+    assert names(view) == ["old reading"]
+
+
+def test_handoff_by_time_over_real_files_h1_t5(spark, land, tmp_path):
+    land(("t", 1, message("a")), ("t", 2, message("b")), ("t", 2, message("b")))
+    report = backfill(read_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/back")
+    land(("t", 3, message("c")))
+    land(("t", 4, message("d")))
+    run(incremental(stream_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/inc", f"{tmp_path}/cp",
+                    cutoff=report.cutoff, every=None))
+    assert names(silver_view(spark, CONDITIONS, f"{tmp_path}/back", f"{tmp_path}/inc")) == list("abcd")
+
+
+def test_handoff_by_key_takes_late_rows_and_no_copies_h1(spark, land, tmp_path):
+    land(("t", 1, message("a")), ("t", 4, message("d")))
+    backfill(read_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/back")
+    land(("t", 3, message("late")), ("t", None, message("no time")))
+    land(("t", 4, message("d")), ("t", 5, message("e")), ("t", 3, message("late")), ("t", None, message("no time")))
+    bronze = stream_bronze(spark, land.path, max_files_per_trigger=1)
+    run(incremental(bronze, CONDITIONS, f"{tmp_path}/inc", f"{tmp_path}/cp", every=None,
+                    new_keys=["timestamp"], backfill_path=f"{tmp_path}/back"))
+    view = silver_view(spark, CONDITIONS, f"{tmp_path}/back", f"{tmp_path}/inc")
+    assert names(view) == ["a", "d", "e", "late", "no time"]
+
+
+def test_file_sink_loses_rows_after_a_reset_and_parts_do_not_h8(spark, land, tmp_path):
+    land(("t", 1, "1"), ("t", 2, "2"))
+    for kind in ("old", "new"):
+        run(stream_append(stream_bronze(spark, land.path), f"{tmp_path}/log", f"{tmp_path}/log-{kind}", every=None))
+        run(stream_parts(stream_bronze(spark, land.path), f"{tmp_path}/parts", f"{tmp_path}/parts-{kind}",
+                         every=None, new_keys=KEY))
+        land(("t", 3, "3"))
+    assert texts(read_bronze(spark, f"{tmp_path}/log")) == ["1", "2"]  # the trap: 3 is gone, without an error
+    assert texts(read_parts(spark, f"{tmp_path}/parts", ENVELOPE)) == ["1", "2", "3"]
+
+
+def test_replay_in_other_batches_adds_nothing_t11_h8(spark, land, tmp_path):
+    for s in range(6):
+        land(("t", s, str(s)), ("t", s + 86_400, f"next day {s}"))
+    for attempt, cut in enumerate((2, 3, None)):
+        bronze = stream_bronze(spark, land.path, max_files_per_trigger=cut)
+        run(stream_parts(bronze, f"{tmp_path}/o", f"{tmp_path}/cp{attempt}", every=None, new_keys=KEY))
+    rows = read_parts(spark, f"{tmp_path}/o", ENVELOPE)
+    assert rows.count() == 12 and rows.distinct().count() == 12
+    assert read_parts(spark, f"{tmp_path}/o", ENVELOPE, days=["2023-11-15"]).count() == 6
+
+
+def test_replay_without_keys_keeps_the_copies_t11(spark, land, tmp_path):
+    """As a plain append does; a later batch dedup removes them. No row of the first run is lost."""
+    land(("t", 1, "1"))
+    land(("t", 2, "2"))
+    for attempt, cut in enumerate((1, None)):
+        bronze = stream_bronze(spark, land.path, max_files_per_trigger=cut)
+        run(stream_parts(bronze, f"{tmp_path}/o", f"{tmp_path}/cp{attempt}", every=None))
+    assert texts(read_parts(spark, f"{tmp_path}/o", ENVELOPE)) == ["1", "1", "2", "2"]
+
+
+@pytest.mark.parametrize("keys", [{}, {"new_keys": KEY}, {"new_keys": ["json_str"]}, {"dedup_keys": KEY}])
+def test_batch_that_runs_again_replaces_its_own_rows(spark, land, tmp_path, keys):
+    """The batch was written, but the driver died before it was committed."""
+    cp = f"{tmp_path}/cp"
+    land(("t", 1, "1"), ("t", 2, "2"))
+    run(stream_parts(stream_bronze(spark, land.path), f"{tmp_path}/o", cp, every=None, **keys))
+    for f in os.listdir(f"{cp}/commits"):
+        os.remove(f"{cp}/commits/{f}")
+    run(stream_parts(stream_bronze(spark, land.path), f"{tmp_path}/o", cp, every=None, **keys))
+    assert texts(read_parts(spark, f"{tmp_path}/o", ENVELOPE)) == ["1", "2"]
+
+
+def test_microbatch_dedup_writes_few_files_t8(spark, land, tmp_path):
+    """93 rows and 200 shuffle partitions gave 78 files once."""
+    land(*[("t", s, str(s)) for s in range(93)], *[("t", s, str(s)) for s in range(40)])
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        run(stream_parts(stream_bronze(spark, land.path), f"{tmp_path}/o", f"{tmp_path}/cp", every=None,
+                         dedup_keys=["timestamp"]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    rows = read_parts(spark, f"{tmp_path}/o", ENVELOPE)
+    assert rows.count() == 93
+    assert rows.select(F.input_file_name()).distinct().count() <= 2
+
+
+def test_watermark_dedup_and_its_limits_t7(spark, land, tmp_path):
+    def step(*rows):
+        land(*rows)
+        stream = first_within_watermark(stream_bronze(spark, land.path), ["json_str"], "10 seconds")
+        run(stream_append(stream, f"{tmp_path}/o", f"{tmp_path}/cp", every=None))
+        return texts(read_bronze(spark, f"{tmp_path}/o"))
+
+    assert step(("t", 100, "x"), ("t", 101, "x"), ("t", 102, "y")) == ["x", "y"]
+    assert step(("t", 200, "z")) == ["x", "y", "z"]
+    # Older than the watermark, so dropped although new; and "x" comes again after its state expired.
+    assert step(("t", 5, "late"), ("t", 201, "x")) == ["x", "x", "y", "z"]
+
+
+def test_one_stream_by_topic_and_one_stream_each_s3_t9(spark, land, tmp_path):
+    land(("a", 1, "1"), ("b", 2, "2"), ("a", 3, "3"))
+    run(fan_out_one_stream(stream_bronze(spark, land.path), f"{tmp_path}/one", f"{tmp_path}/cp", every=None))
+    assert sorted(d for d in os.listdir(f"{tmp_path}/one") if d.startswith("topic=")) == ["topic=a", "topic=b"]
+    streams = {t: stream_bronze(spark, land.path).filter(F.col("topic") == t) for t in ("a", "b")}
+    outcomes = watch(fan_out(streams, f"{tmp_path}/each", f"{tmp_path}/cps", every=None), timeout=120)
+    assert all(o.ok for o in outcomes)
+    assert texts(read_bronze(spark, f"{tmp_path}/each/a")) == ["1", "3"]
+    assert texts(read_bronze(spark, f"{tmp_path}/each/b")) == ["2"]
+
+
+def test_a_failing_query_leaves_its_sibling_running_t4_h12(spark, land, tmp_path):
+    land(("t", 1, "1"))
+    good = stream_append(stream_bronze(spark, land.path), f"{tmp_path}/good", f"{tmp_path}/cp1", every="1 second")
+    broken = stream_bronze(spark, land.path).withColumn("json_str", F.raise_error(F.lit("broken feed")).cast("string"))
+    bad = stream_append(broken, f"{tmp_path}/bad", f"{tmp_path}/cp2", every="1 second")
+    ended = []
+
+    def on_end(outcome):
+        ended.append(outcome.name)
+        assert good.isActive
+        good.processAllAvailable()
+        good.stop()
+
+    outcomes = {o.name: o for o in watch({"good": good, "bad": bad}, timeout=60, on_end=lambda o: on_end(o) if o.name == "bad" else None)}
+    assert ended == ["bad"]
+    assert outcomes["good"].ok and not outcomes["bad"].ok and "broken feed" in outcomes["bad"].error
+    assert texts(read_bronze(spark, f"{tmp_path}/good")) == ["1"]
+
+
+def test_watch_stops_at_its_timeout_and_can_restart(spark, land, tmp_path):
+    land(("t", 1, "1"))
+    args = (f"{tmp_path}/o", f"{tmp_path}/cp")
+    query = stream_append(stream_bronze(spark, land.path), *args, every="1 second")
+    (outcome,) = watch({"q": query}, timeout=1)
+    assert not outcome.ok and not query.isActive
+    again = []
+
+    def once(outcome):
+        if not again:
+            again.append(stream_append(stream_bronze(spark, land.path), *args, every=None))
+            return again[0]
+
+    first = stream_append(stream_bronze(spark, land.path), *args, every=None)
+    assert [o.ok for o in watch({"q": first}, timeout=60, on_end=once)] == [True, True]
+
+
+def test_landed_json_stream_s10(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/in")
+    with open(f"{tmp_path}/in/a.json", "w") as f:
+        f.write(message("a") + "\n" + message("b") + "\n")
+    landed = stream_landed_json(spark, f"{tmp_path}/in", "t")
+    run(stream_append(to_silver(landed, CONDITIONS), f"{tmp_path}/o", f"{tmp_path}/cp", every=None))
+    assert names(spark.read.parquet(f"{tmp_path}/o")) == ["a", "b"]
+
+
+def test_processing_time_trigger_t1(spark, land, tmp_path):
+    land(("t", 1, "1"))
+    query = stream_append(stream_bronze(spark, land.path), f"{tmp_path}/o", f"{tmp_path}/cp", every="5 minutes", name="five")
+    query.processAllAvailable()
+    assert query.name == "five" and query.isActive
+    query.stop()
+    assert texts(read_bronze(spark, f"{tmp_path}/o")) == ["1"]
