@@ -2,7 +2,7 @@
 
 from strandline.operators.dedup import keep_one
 from strandline.operators.envelope import envelope
-from strandline.operators.handoff import after, cutoff_of, not_loaded, up_to, union_parts
+from strandline.operators.handoff import after, cutoff_of, keep_new, union_parts, up_to
 from strandline.operators.parse import flatten, parse, screen, to_silver
 
 __all__ = [
@@ -10,8 +10,8 @@ __all__ = [
     "cutoff_of",
     "envelope",
     "flatten",
+    "keep_new",
     "keep_one",
-    "not_loaded",
     "parse",
     "screen",
     "to_silver",

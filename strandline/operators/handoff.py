@@ -4,7 +4,7 @@ Two exactness levels (H1):
 
 * by time: the cutoff is the largest ``timestamp`` the backfill really loaded. It needs no shuffle. A row
   that reaches bronze later with an older ``timestamp`` is in neither half.
-* by key: the stream drops the keys that are already loaded, see :func:`not_loaded`. It is exact for any
+* by key: the stream drops the keys that are already loaded, see :func:`keep_new`. It is exact for any
   order of arrival.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import instant, iso_utc
+from strandline.operators.dedup import keep_one
 
 
 def after(df: DataFrame, cutoff: str | Column | None, column: str = "timestamp") -> DataFrame:
@@ -47,15 +48,19 @@ def cutoff_of(df: DataFrame, column: str = "timestamp") -> str | None:
     return cutoff_text(df.agg(cutoff_metric(column)).first()[0])
 
 
-def not_loaded(df: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``loaded``. NULL equals NULL here, as in the dedup.
+def keep_new(
+    df: DataFrame, loaded: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ()
+) -> DataFrame:
+    """One row per key of ``df``, without the keys that ``loaded`` has. Batch only.
 
-    Make ``df`` unique on the keys first (:func:`keep_one`), then no hot key reaches the join. Which side
-    is broadcast, if any, is left to Spark, which knows the sizes.
+    Both sides go through one keyed aggregate in which a loaded row wins over a new one. So dedup and
+    exclusion share a single shuffle, of which ``loaded`` takes part with its key columns alone, hot keys
+    are reduced in each task before it, and NULL equals NULL as in the dedup.
     """
-    seen = loaded.select(*(F.col(k).alias(f"_seen_{k}") for k in keys))
-    match = [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys]
-    return df.join(seen, match, "left_anti")
+    tagged = df.withColumn("_new", F.lit(True))
+    held = loaded.select(*keys).withColumn("_new", F.lit(False))
+    both = tagged.unionByName(held, allowMissingColumns=True)
+    return keep_one(both, keys, ["_new", *order_by]).filter("_new").drop("_new")
 
 
 def union_parts(*parts: DataFrame) -> DataFrame:

@@ -34,7 +34,6 @@ def incremental(
     a shuffle of the micro-batch and a read of silver's key columns in its time range, and is exact for any
     order of arrival, replays included (H1, T11).
     """
-    rows = to_silver(after(bronze, cutoff), feed)
     loaded = None
     if new_keys and backfill_path:
         schema = silver_schema(bronze.sparkSession, feed)
@@ -42,4 +41,13 @@ def incremental(
         def loaded(spark):
             return read_files(spark, backfill_path, schema, missing_ok=True)
 
-    return stream_parts(rows, path, checkpoint, every=every, new_keys=new_keys, loaded=loaded, name=name)
+    return stream_parts(
+        after(bronze, cutoff),
+        path,
+        checkpoint,
+        every=every,
+        new_keys=new_keys,
+        loaded=loaded,
+        prepare=lambda rows: to_silver(rows, feed),
+        name=name,
+    )

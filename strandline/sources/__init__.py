@@ -11,7 +11,14 @@ from strandline.sources.files import (
     stream_files,
     stream_landed_json,
 )
-from strandline.sources.topics import end_offsets, read_topic, read_topics, scan_topics, topic_options
+from strandline.sources.topics import (
+    end_offsets,
+    read_topic,
+    read_topics,
+    reported_offsets,
+    scan_topics,
+    topic_options,
+)
 
 __all__ = [
     "end_offsets",
@@ -22,6 +29,7 @@ __all__ = [
     "read_landed_json",
     "read_topic",
     "read_topics",
+    "reported_offsets",
     "scan_topics",
     "spread",
     "stream_bronze",

@@ -75,3 +75,20 @@ def end_offsets(messages: DataFrame) -> DataFrame:
     sends at most one row per partition it saw.
     """
     return messages.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
+
+
+def reported_offsets(spark: SparkSession, progress: str) -> DataFrame:
+    """End offsets as a running query last saw them at the broker, without reading a message.
+
+    ``progress`` is the JSON of ``query.lastProgress`` of a query over :func:`read_topic`. One row per topic
+    partition, as :func:`end_offsets`.
+    """
+    latest = F.from_json(
+        F.get_json_object("progress", "$.sources[0].latestOffset"), "MAP<STRING, MAP<STRING, BIGINT>>"
+    )
+    return (
+        spark.createDataFrame([(progress,)], "progress STRING")
+        .select(F.explode(latest).alias("topic", "partitions"))
+        .select("topic", F.explode("partitions").alias("partition", "end_offset"))
+        .select("topic", F.col("partition").cast("int").alias("partition"), "end_offset")
+    )

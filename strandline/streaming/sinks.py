@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strandline.contracts import TRIGGER_INTERVAL
 from strandline.operators.dedup import keep_one
-from strandline.operators.handoff import not_loaded
+from strandline.operators.handoff import keep_new
 from strandline.sources.files import read_files
 
 # day=<ingestion day>/run=<query id>/batch=<batch id>/
@@ -153,6 +153,7 @@ def stream_parts(
     new_keys: Sequence[str] = (),
     loaded: Callable[[SparkSession], DataFrame] | None = None,
     order_by: Sequence[str] = (),
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     time_column: str = "timestamp",
     name: str | None = None,
 ) -> StreamingQuery:
@@ -164,46 +165,47 @@ def stream_parts(
 
     * ``dedup_keys``: one row per key within a micro-batch (T8), by ``order_by`` and then all columns.
     * ``new_keys``: one row per key in the whole table (T11, H1). The batch is made unique, then rows
-      whose key an earlier batch, an earlier run or the ``loaded`` table holds are dropped. With
+      whose key an earlier batch, an earlier run or the ``loaded`` table holds are left out. With
       ``time_column`` among the keys only the days that the batch touches are listed, and of these and of
       ``loaded`` only the batch's time range is read; without it the whole table's keys are.
 
-    Without keys the rows pass as they are, with no shuffle (T6).
+    Without keys the rows pass as they are, with no shuffle (T6). ``prepare`` is applied to each micro-batch
+    before that; it must keep ``time_column``.
     """
-    schema = df.schema
+    schema = (prepare(df) if prepare else df).schema
     runs: list[str] = []
 
+    def earlier_rows(spark: SparkSession, run: str, batch_id: int, span: _Span | None) -> DataFrame:
+        rows = read_files(
+            spark,
+            _days_path(path, span.path_days() if span else None),
+            _parts_schema(schema),
+            PARTS_DEPTH - 1,
+            missing_ok=True,
+            base_path=path,
+        ).filter((F.col("run") != run) | (F.col("batch") < batch_id))
+        seen = rows.select(*new_keys)
+        if loaded is not None:
+            seen = seen.unionByName(loaded(spark).select(*new_keys))
+        return span.keep(seen, time_column) if span else seen
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if not runs:
             runs.append(_run_of(spark, checkpoint))
         run = runs[0]
-        keys = new_keys or dedup_keys
-        rows = keep_one(batch, keys, order_by) if keys else batch
-        if not new_keys:
-            _write_part(rows, path, run, batch_id, time_column, gather_days=bool(keys))
-            return
-        rows = rows.persist()
-        try:
-            span = _Span.of(rows, time_column) if time_column in new_keys else None
-            earlier = read_files(
-                spark,
-                _days_path(path, span.path_days() if span else None),
-                _parts_schema(schema),
-                PARTS_DEPTH - 1,
-                missing_ok=True,
-                base_path=path,
-            ).filter((F.col("run") != run) | (F.col("batch") < batch_id))
-            seen = earlier.select(*new_keys)
-            if loaded is not None:
-                seen = seen.unionByName(loaded(spark).select(*new_keys))
-            if span:
-                seen = span.keep(seen, time_column)
+        rows = prepare(batch) if prepare else batch
+        gather_days = False
+        if new_keys:
+            # Reads the batch's raw rows once more, which costs little next to preparing them.
+            span = _Span.of(batch, time_column) if time_column in new_keys else None
+            rows = keep_new(rows, earlier_rows(spark, run, batch_id, span), new_keys, order_by)
             # A batch of recent rows lies in one or two days and needs no gathering.
-            gather = span is None or len(span.days) > 2
-            _write_part(not_loaded(rows, seen, new_keys), path, run, batch_id, time_column, gather)
-        finally:
-            rows.unpersist()
+            gather_days = span is None or len(span.days) > 2
+        elif dedup_keys:
+            rows = keep_one(rows, dedup_keys, order_by)
+            gather_days = True
+        _write_part(rows, path, run, batch_id, time_column, gather_days)
 
     if new_keys:
         # An empty part to find, for the first batch of a new table.

@@ -4,7 +4,7 @@ import pytest
 from conftest import at, plan_of
 from pyspark.sql import functions as F
 
-from strandline.operators import after, cutoff_of, keep_one, not_loaded, union_parts, up_to
+from strandline.operators import after, cutoff_of, keep_new, keep_one, union_parts, up_to
 from strandline.sources import read_bronze
 
 
@@ -39,13 +39,13 @@ def test_out_of_order_row_needs_the_key_handoff_h1(envelope_of):
     listed = envelope_of([("t", 1, "1"), ("t", 3, "3")])
     later = envelope_of([("t", 1, "1"), ("t", 2, "late"), ("t", 3, "3"), ("t", 4, "4")])
     assert "late" not in texts(union_parts(listed, after(later, cutoff_of(listed))))
-    by_key = union_parts(listed, not_loaded(later, listed, ["timestamp"]))
+    by_key = union_parts(listed, keep_new(later, listed, ["timestamp"]))
     assert texts(by_key) == ["1", "3", "4", "late"]
 
 
 def test_null_equals_null_in_key_handoff(envelope_of):
     loaded = envelope_of([("t", None, "n")])
-    assert not_loaded(envelope_of([("t", None, "n"), ("t", 1, "1")]), loaded, ["timestamp"]).count() == 1
+    assert keep_new(envelope_of([("t", None, "n"), ("t", 1, "1")]), loaded, ["timestamp"]).count() == 1
 
 
 def test_empty_load_is_no_cutoff(spark, envelope_of, bronze):
@@ -83,8 +83,17 @@ def test_cutoff_is_pushed_to_parquet_p10(spark, bronze, tmp_path):
     assert "topic" not in plan.split("ReadSchema")[1]
 
 
-def test_hot_key_handoff_is_joined_once_per_key(spark):
-    rows = spark.range(90_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id % 2 AS v")
-    loaded = spark.range(0, 90_000, 2).select(F.col("id").alias("k"))
-    out = not_loaded(keep_one(rows, ["k"]), loaded, ["k"])
-    assert out.count() == 30_000
+def test_hot_key_handoff_is_one_shuffle(spark):
+    rows = spark.range(90_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id % 2 AS v", "'x' AS w")
+    loaded = spark.range(0, 90_000, 2).select(F.col("id").alias("k"), F.lit(1).alias("unused"))
+    out = keep_new(rows, loaded, ["k"])
+    assert out.columns == ["k", "v", "w"]
+    plan = plan_of(out)
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "unused" not in plan
+    assert {r["k"] for r in out.collect()} == {k for k in range(90_000) if k % 3 and k % 2}
+
+
+def test_keep_new_takes_the_first_by_order(spark):
+    rows = spark.createDataFrame([(1, 5), (1, 2), (2, 9)], "k INT, v INT")
+    loaded = spark.createDataFrame([(2,), (2,)], "k INT")
+    assert [tuple(r) for r in keep_new(rows, loaded, ["k"], ["v"]).collect()] == [(1, 2)]

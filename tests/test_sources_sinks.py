@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strandline import CONDITIONS, ENVELOPE
+from strandline.operators import screen
 from strandline.plans import backfill, silver_view
 from strandline.plans.backfill import silver_rows
 from strandline.session import scratch_dir
@@ -28,6 +29,7 @@ from strandline.sources import (
     read_bronze,
     read_landed_json,
     read_topic,
+    reported_offsets,
     spread,
     topic_options,
 )
@@ -60,6 +62,21 @@ def test_end_offsets_s8(spark):
     assert {tuple(r) for r in end_offsets(log).collect()} == {("a", 0, 5), ("a", 1, 1), ("b", 0, 10)}
 
 
+def test_reported_offsets_s8(spark):
+    progress = json.dumps({"sources": [{"latestOffset": {"a": {"0": 5, "1": 1}, "b": {"0": 10}}}]})
+    assert {tuple(r) for r in reported_offsets(spark, progress).collect()} == {("a", 0, 5), ("a", 1, 1), ("b", 0, 10)}
+
+
+def test_good_rows_and_side_table_in_one_write_h5(spark, envelope_of, tmp_path):
+    bronze = envelope_of([("t", 1, '{"name":"a"}'), ("t", 2, "junk"), ("t", 3, '{"name":"b","cod":"x"}')])
+    report = batch_overwrite(screen(bronze, CONDITIONS), f"{tmp_path}/q", partition_by="verdict")
+    assert report.rows == 3
+    read = spark.read.parquet(f"{tmp_path}/q")
+    assert {(r["verdict"], r["city_name"], r["raw"]) for r in read.collect()} == {
+        ("good", "a", None), ("malformed", None, "junk"), ("partial", "b", '{"name":"b","cod":"x"}'),
+    }
+
+
 def test_glob_s4_h17(spark, envelope_of, tmp_path):
     base = f"{tmp_path}/b"
     envelope_of([("x", 1, "1"), ("y", 2, "2")]).write.partitionBy("topic").parquet(base)

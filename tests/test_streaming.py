@@ -1,5 +1,6 @@
 """Streams (S3, S5, K1, K2, T1-T11, H1, H8, H12, H18)."""
 
+import inspect
 import os
 
 import pytest
@@ -235,10 +236,17 @@ def test_landed_json_stream_s10(spark, tmp_path):
     assert names(spark.read.parquet(f"{tmp_path}/o")) == ["a", "b"]
 
 
-def test_processing_time_trigger_t1(spark, land, tmp_path):
+def test_interval_trigger_keeps_running_t1(spark, land, tmp_path):
     land(("t", 1, "1"))
-    query = stream_append(stream_bronze(spark, land.path), f"{tmp_path}/o", f"{tmp_path}/cp", every="5 minutes", name="five")
+    query = stream_append(stream_bronze(spark, land.path), f"{tmp_path}/o", f"{tmp_path}/cp", every="1 second", name="every")
     query.processAllAvailable()
-    assert query.name == "five" and query.isActive
+    land(("t", 2, "2"))
+    query.processAllAvailable()
+    assert query.name == "every" and query.isActive
     query.stop()
-    assert texts(read_bronze(spark, f"{tmp_path}/o")) == ["1"]
+    assert texts(read_bronze(spark, f"{tmp_path}/o")) == ["1", "2"]
+
+
+def test_default_interval_t1():
+    for start in (stream_append, stream_parts, ingest, incremental, fan_out):
+        assert inspect.signature(start).parameters["every"].default == "5 minutes"

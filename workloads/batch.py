@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.contracts import AIR_QUALITY, CONDITIONS, Feed
 from strandline.functions import utf8_text
-from strandline.operators import after, envelope, keep_one, not_loaded, parse, screen, to_silver, union_parts, up_to
+from strandline.operators import after, envelope, keep_new, keep_one, parse, screen, to_silver, union_parts, up_to
 from strandline.operators.parse import flatten
 from strandline.plans.backfill import backfill, silver_rows
 from strandline.session import scratch_dir
@@ -270,7 +270,7 @@ def handoff_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1: one topic reached bronze late; the stream reads everything and adds what is not loaded"""
     bronze = envelope(props_messages(events(spark, sf_dir)), keep=["offset"])
     first = up_to(bronze, sql.CUTOFF).filter(F.col("topic") != "error")
-    second = not_loaded(keep_one(replayed(bronze), ["topic", "offset"]), first, ["topic", "offset"])
+    second = keep_new(replayed(bronze), first, ["topic", "offset"])
     return naive(_labelled_parts(first, second))
 
 
