@@ -30,7 +30,7 @@ def after(df: DataFrame, cutoff: str | Column | None, column: str = "timestamp")
 def up_to(df: DataFrame, cutoff: str | Column | None, column: str = "timestamp") -> DataFrame:
     """The complement of :func:`after`: the batch half, NULL times included."""
     if cutoff is None:
-        return df.limit(0)
+        return df.filter(F.lit(False))
     return df.filter((F.col(column) <= instant(cutoff)) | F.col(column).isNull())
 
 

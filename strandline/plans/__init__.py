@@ -1,9 +1,9 @@
 """The jobs, put together from the operators."""
 
 from strandline.plans.backfill import backfill
-from strandline.plans.health import check_files
+from strandline.plans.health import check_files, setup_checks
 from strandline.plans.incremental import incremental
 from strandline.plans.ingest import fan_out, ingest
 from strandline.plans.silver import silver_schema, silver_view
 
-__all__ = ["backfill", "check_files", "fan_out", "incremental", "ingest", "silver_schema", "silver_view"]
+__all__ = ["backfill", "check_files", "fan_out", "incremental", "ingest", "setup_checks", "silver_schema", "silver_view"]

@@ -1,16 +1,27 @@
-"""Freshness of file tables."""
+"""Health of a running setup: its log, its topics and its file tables."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.contracts import FRESHNESS_SECONDS
+from strandline.contracts import ACTIVITY_WINDOW_SECONDS, FRESHNESS_SECONDS, STAGES
 from strandline.functions import instant
-from strandline.operators.health import freshness, latest_by
+from strandline.operators.health import (
+    RESULT,
+    activity_checks,
+    all_checks,
+    freshness,
+    freshness_checks,
+    guarded,
+    latest_by,
+    reachable,
+    recent_activity,
+    topic_checks,
+)
 from strandline.sources.files import file_inventory
 
 
@@ -41,3 +52,48 @@ def check_files(
 
 def _newest(files: DataFrame) -> DataFrame:
     return latest_by(files, "stage", "modificationTime").select("stage", F.unix_micros("latest").alias("micros"))
+
+
+def setup_checks(
+    spark: SparkSession,
+    as_of: datetime,
+    topics: Sequence[str],
+    log: Callable[[], DataFrame],
+    messages: Callable[[], DataFrame],
+    tables: Mapping[str, Sequence[tuple[str, str]]],
+    running: Mapping[str, bool] | None = None,
+    stage: str | None = None,
+    activity_seconds: int = ACTIVITY_WINDOW_SECONDS,
+    freshness_seconds: int = FRESHNESS_SECONDS,
+) -> DataFrame:
+    """All checks in flow order, or those of one stage.
+
+    * producers: each topic has a row in ``log`` within ``activity_seconds``.
+    * kafka: each topic exists in ``messages`` and its end offsets sum to more than zero.
+    * bronze, silver: each ``(name, location)`` of ``tables[stage]`` has a file younger than
+      ``freshness_seconds``. ``running[stage]`` tells whether its writer runs; if not, the files are not
+      looked at.
+
+    A source that can not be read fails its rows. Feed the result to ``operators.health.stage_report`` for
+    the state per stage, and to ``verdict`` for the whole.
+    """
+    up = running or {}
+
+    def table_checks(name: str) -> DataFrame:
+        if not up.get(name, True):
+            rows = [(name, table, False, "") for table, _ in tables[name]]
+            return guarded(spark.createDataFrame(rows, RESULT), False, "writer is not running")
+        return freshness_checks(check_files(spark, tables[name], as_of, freshness_seconds), name)
+
+    def producers() -> DataFrame:
+        recent = recent_activity(log(), topics, instant(as_of), activity_seconds)
+        return activity_checks(recent, activity_seconds)
+
+    checks = {
+        "producers": (topics, producers),
+        "kafka": (topics, lambda: topic_checks(messages(), topics)),
+        "bronze": ([name for name, _ in tables["bronze"]], lambda: table_checks("bronze")),
+        "silver": ([name for name, _ in tables["silver"]], lambda: table_checks("silver")),
+    }
+    chosen = STAGES if stage is None else (stage,)
+    return all_checks(*(reachable(spark, name, *checks[name]) for name in chosen))

@@ -109,6 +109,13 @@ def test_unreachable_source_gives_failed_rows_c8(spark):
     ).collect()
     assert [(r["check"], r["ok"]) for r in rows] == [("a", False), ("b", False)]
     assert all(r["detail"].startswith("unreachable:") for r in rows)
+
+    def broken():
+        raise OSError("no route\nmore")
+
+    assert health.reachable(spark, "s", ["x"], broken).first()["detail"] == "unreachable: no route"
+    late = health.reachable(spark, "s", ["x"], lambda: checks_of(spark, [("s", "x", True)]).withColumn("ok", F.raise_error(F.lit("boom")).cast("boolean")))
+    assert late.first()["ok"] is False
     fine = health.reachable(spark, "s", ["x"], lambda: checks_of(spark, [("s", "x", True)]))
     assert fine.first()["ok"]
 

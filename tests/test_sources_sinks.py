@@ -21,6 +21,7 @@ from strandline.sinks import (
     register_external,
     register_view,
     run_sql,
+    send_to_topic,
 )
 from strandline.sources import (
     end_offsets,
@@ -173,6 +174,19 @@ def test_publish_k4_f3(spark):
     assert json.loads(bytes(row["value"]).decode("utf-8")) == {"id": 1, "text": 'say "hi"\n'}
 
 
+def test_sending_needs_the_connector_k4(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        send_to_topic(publish_json(spark.range(1), "t"), "h:1")
+
+
+@pytest.mark.parametrize("cluster", [False, True])
+def test_backfill_of_an_empty_table(spark, envelope_of, tmp_path, cluster):
+    envelope_of([]).write.parquet(f"{tmp_path}/b")
+    report = backfill(read_bronze(spark, f"{tmp_path}/b"), CONDITIONS, f"{tmp_path}/s", cluster=cluster)
+    assert (report.rows, report.cutoff) == (0, None)
+    assert silver_view(spark, CONDITIONS, f"{tmp_path}/s", f"{tmp_path}/none").count() == 0
+
+
 def test_external_table_is_redefinable_k5_k6_q2(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/one")
     spark.range(5).selectExpr("id", "id * 2 AS twice").write.parquet(f"{tmp_path}/two")

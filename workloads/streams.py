@@ -13,7 +13,7 @@ from strandline.plans.incremental import incremental
 from strandline.plans.ingest import fan_out, fan_out_one_stream, ingest
 from strandline.plans.silver import silver_schema, silver_view
 from strandline.session import scratch_dir
-from strandline.sources import read_bronze
+from strandline.sources import read_bronze, spread
 from strandline.streaming import first_within_watermark, read_parts, stream_append, stream_parts, watch
 from workloads import sql
 from workloads.messages import (
@@ -124,8 +124,17 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dedup inside each micro-batch"""
     base = scratch_dir(spark, "microbatch")
-    silver = to_silver(replayed(conditions_bronze(events_stream(spark, sf_dir))), CONDITIONS)
-    finish(stream_parts(silver, f"{base}/rows", f"{base}/checkpoint", NOW, dedup_keys=["timestamp"]))
+    finish(
+        stream_parts(
+            replayed(conditions_bronze(events_stream(spark, sf_dir))),
+            f"{base}/rows",
+            f"{base}/checkpoint",
+            NOW,
+            dedup_keys=["timestamp"],
+            # The batch is shuffled for its dedup anyway, so the parse may use all cores, too.
+            prepare=lambda rows: to_silver(spread(rows), CONDITIONS),
+        )
+    )
     return naive(read_parts(spark, f"{base}/rows", silver_schema(spark, CONDITIONS)))
 
 
