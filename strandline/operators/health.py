@@ -26,11 +26,16 @@ def expected_rows(spark: SparkSession, column: str, names: Sequence[str]) -> Dat
     return spark.createDataFrame([(n,) for n in names], f"{column} STRING")
 
 
+# A label list of this many entries is a few hundred kilobytes.
+BROADCAST_LABELS = 10_000
+
+
 def labelled(df: DataFrame, column: str, labels: Mapping[str, str]) -> DataFrame:
-    """Add ``label`` by looking ``column`` up in a short configured list; unlisted rows go."""
+    """Add ``label`` by looking ``column`` up in a configured list; unlisted rows go."""
     table = df.sparkSession.createDataFrame(list(labels.items()), f"{column} STRING, label STRING")
-    # The list is written by hand in the configuration, so its size is known to be small.
-    return df.join(F.broadcast(table), column, "inner")
+    if len(labels) <= BROADCAST_LABELS:
+        table = F.broadcast(table)
+    return df.join(table, column, "inner")
 
 
 def topic_presence(observed: DataFrame, expected: Sequence[str], column: str = "topic") -> DataFrame:

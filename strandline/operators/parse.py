@@ -54,6 +54,11 @@ def to_silver(bronze: DataFrame, feed: Feed) -> DataFrame:
     return flatten(parse(bronze, feed), feed)
 
 
+def has_no_values(feed: Feed) -> Column:
+    """True for a silver row that holds nothing but its ingestion time, as malformed text gives."""
+    return reduce(lambda a, b: a & b, (F.col(column.name).isNull() for column in feed.columns))
+
+
 def is_blank(data: Column, feed_fields: list[str]) -> Column:
     """True when the payload gave nothing at all: a NULL struct, or every top-level field NULL."""
     return ~reduce(lambda a, b: a | b, (data.getField(f).isNotNull() for f in feed_fields))

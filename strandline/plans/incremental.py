@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strandline.contracts import TRIGGER_INTERVAL, Feed
 from strandline.operators.handoff import after
-from strandline.operators.parse import to_silver
+from strandline.operators.parse import has_no_values, to_silver
 from strandline.plans.silver import silver_schema
 from strandline.sources.files import read_files
 from strandline.streaming.sinks import stream_parts
@@ -30,9 +30,10 @@ def incremental(
 
     By time, the default: rows after ``cutoff``, no shuffle. Exact when rows reach bronze in time order.
 
-    By key: ``new_keys`` with ``backfill_path`` and no cutoff drops rows that silver already holds. It costs
-    a shuffle of the micro-batch and a read of silver's key columns in its time range, and is exact for any
-    order of arrival, replays included (H1, T11).
+    By key: ``new_keys``, silver columns, with ``backfill_path`` and no cutoff leave out what silver already
+    holds. It costs a shuffle of the micro-batch and a read of silver's key columns in its time range, and is
+    exact for any order of arrival, replays included (H1, T11). Within a micro-batch a parsed row wins over a
+    malformed one of the same key (H5).
     """
     loaded = None
     if new_keys and backfill_path:
@@ -48,6 +49,7 @@ def incremental(
         every=every,
         new_keys=new_keys,
         loaded=loaded,
+        order_by=[has_no_values(feed)],
         prepare=lambda rows: to_silver(rows, feed),
         name=name,
     )

@@ -2,7 +2,7 @@
 
 from strandline.sinks.files import WriteReport, batch_overwrite
 from strandline.sinks.messages import publish_json, send_to_topic
-from strandline.sinks.tables import ensure_namespace, register_external, register_view, run_sql
+from strandline.sinks.tables import ensure_namespace, register_external, register_union, register_view, run_sql
 
 __all__ = [
     "WriteReport",
@@ -10,6 +10,7 @@ __all__ = [
     "ensure_namespace",
     "publish_json",
     "register_external",
+    "register_union",
     "register_view",
     "run_sql",
     "send_to_topic",

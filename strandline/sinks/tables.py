@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.sources.files import glob_of
@@ -33,6 +35,24 @@ def register_view(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def run_sql(spark: SparkSession, text: str, **args) -> DataFrame:
-    """Any SQL over registered tables, values as named parameters (Q1, L1)."""
+def register_union(spark: SparkSession, name: str, tables: Sequence[str]) -> DataFrame:
+    """Create or redefine a catalog view over all rows of some tables, e.g. the two silver parts."""
+    # Names can not be parameters inside a view's text, so let the catalog confirm each one first.
+    for table in tables:
+        if not spark.catalog.tableExists(table):
+            raise ValueError(f"no table {table}")
+    columns = ", ".join(f"`{c}`" for c in spark.table(tables[0]).columns)
+    parts = " UNION ALL ".join(f"SELECT {columns} FROM {table}" for table in tables)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {parts}")
+    return spark.table(name)
+
+
+def run_sql(spark: SparkSession, text: str, refresh: Sequence[str] = (), **args) -> DataFrame:
+    """Any SQL over registered tables, values as named parameters (Q1, L1).
+
+    Spark remembers the files of an external table. Name the tables to ``refresh`` to see files that came
+    after their last use.
+    """
+    for table in refresh:
+        spark.catalog.refreshTable(table)
     return spark.sql(text, args=args or None)

@@ -19,6 +19,7 @@ from strandline.sinks import (
     ensure_namespace,
     publish_json,
     register_external,
+    register_union,
     register_view,
     run_sql,
     send_to_topic,
@@ -200,6 +201,21 @@ def test_external_table_is_redefinable_k5_k6_q2(spark, tmp_path):
     assert run_sql(spark, "SELECT * FROM it_s.t ORDER BY id LIMIT 2").count() == 2
 
 
+def test_table_sees_new_files_after_refresh_q1(spark, tmp_path):
+    ensure_namespace(spark, "fresh", f"{tmp_path}/fresh.db")
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_path}/a")
+    spark.range(10, 12).coalesce(1).write.parquet(f"{tmp_path}/b")
+    register_external(spark, "fresh.a", f"{tmp_path}/a")
+    register_external(spark, "fresh.b", f"{tmp_path}/b")
+    register_union(spark, "fresh.both", ["fresh.a", "fresh.b"])
+    assert run_sql(spark, "SELECT count(*) FROM fresh.both").first()[0] == 5
+    spark.range(20, 24).coalesce(1).write.mode("append").parquet(f"{tmp_path}/b")
+    both = run_sql(spark, "SELECT count(*) FROM fresh.both", refresh=["fresh.a", "fresh.b"])
+    assert both.first()[0] == 9
+    with pytest.raises(ValueError, match="no table"):
+        register_union(spark, "fresh.bad", ["fresh.zz"])
+
+
 def test_view_q1(spark):
     register_view(spark, "v", spark.range(2))
     assert register_view(spark, "v", spark.range(7)).count() == 7

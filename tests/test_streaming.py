@@ -109,6 +109,13 @@ def test_handoff_by_key_takes_late_rows_and_no_copies_h1(spark, land, tmp_path):
     assert names(view) == ["a", "d", "e", "late", "no time"]
 
 
+def test_parsed_row_beats_malformed_in_a_batch_h5(spark, land, tmp_path):
+    land(("t", 1, "junk"), ("t", 1, message("good")), ("t", 2, "junk only"))
+    run(incremental(stream_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/o", f"{tmp_path}/cp", every=None,
+                    new_keys=["timestamp"]))
+    assert names(silver_view(spark, CONDITIONS, f"{tmp_path}/none", f"{tmp_path}/o")) == [None, "good"]
+
+
 def test_file_sink_loses_rows_after_a_reset_and_parts_do_not_h8(spark, land, tmp_path):
     land(("t", 1, "1"), ("t", 2, "2"))
     for kind in ("old", "new"):

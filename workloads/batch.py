@@ -11,8 +11,15 @@ from strandline.operators import after, envelope, keep_new, keep_one, parse, scr
 from strandline.operators.parse import flatten
 from strandline.plans.backfill import backfill, silver_rows
 from strandline.session import scratch_dir
-from strandline.sinks import ensure_namespace, publish_json, register_external, run_sql
-from strandline.sources import glob_of, read_files, read_landed_json
+from strandline.sinks import (
+    batch_overwrite,
+    ensure_namespace,
+    publish_json,
+    register_external,
+    register_union,
+    run_sql,
+)
+from strandline.sources import glob_of, read_landed_json
 from workloads import sql
 from workloads.messages import (
     air_quality_bronze,
@@ -372,3 +379,24 @@ def external_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         """,
         above=280.0,
     )
+
+
+@query("SELECT event_type AS condition_main, count(*) AS n, min(ts) AS earliest, max(ts) AS latest FROM events GROUP BY event_type")
+def external_table_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One view over the two silver halves, each an external table of its own"""
+    bronze = conditions_bronze(events(spark, sf_dir), keep=["partition", "offset"])
+    base = scratch_dir(spark, "halves")
+    name = "halves_" + base.rsplit("-", 1)[-1].lower()
+    ensure_namespace(spark, name, f"{base}/namespace")
+    backfill(up_to(bronze, sql.CUTOFF), CONDITIONS, f"{base}/first", keys=LOG_KEY, cluster=True)
+    batch_overwrite(to_silver(after(bronze, sql.CUTOFF), CONDITIONS), f"{base}/second")
+    for half in ("first", "second"):
+        register_external(spark, f"{name}.{half}", f"{base}/{half}")
+    register_union(spark, f"{name}.conditions", [f"{name}.first", f"{name}.second"])
+    return naive(
+        run_sql(
+            spark,
+            "SELECT condition_main, count(*) AS n, min(timestamp) AS earliest, max(timestamp) AS latest "
+            f"FROM {name}.conditions GROUP BY condition_main",
+        )
+    )
