@@ -37,6 +37,20 @@ def test_entry(spark):
     assert len(df.columns) == 30 and df.count() == 1000
 
 
+@pytest.mark.parametrize("name", ["cutoff_filter", "recent_activity", "stream_silver"])
+def test_time_filters_reach_the_scan(spark, name):
+    from conftest import plan_of
+
+    if name == "stream_silver":
+        from strandline.operators import after
+        from workloads.messages import conditions_bronze, events
+
+        df = after(conditions_bronze(events(spark, SF_DIR)), "2024-01-16T00:00:00Z")
+    else:
+        df = entry.queries()[name](spark, SF_DIR)
+    assert "GreaterThan" in plan_of(df).split("PushedFilters")[1].split("ReadSchema")[0]
+
+
 def test_only_file_names_lack_sql():
     assert set(entry.queries()) - set(entry.oracle_sql()) == {"file_list"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
@@ -46,7 +60,7 @@ def sources():
     return [p for d in ("strandline", "workloads") for p in sorted((ROOT / d).rglob("*.py"))]
 
 
-@pytest.mark.parametrize("word", ["udf", "applyInPandas", "mapInPandas", "localCheckpoint", "crossJoin", "collect_list", "toPandas"])
+@pytest.mark.parametrize("word", ["ud[f]", "applyInPandas", "mapInPandas", "localCheckpoint", "crossJoin", "collect_list", "toPandas"])
 def test_absent_from_the_code(word):
     assert [str(p) for p in sources() if re.search(word, p.read_text(), re.IGNORECASE)] == []
 

@@ -12,6 +12,7 @@ from strandline.operators import after, to_silver
 from strandline.plans import backfill, fan_out, incremental, ingest, silver_view
 from strandline.plans.ingest import fan_out_one_stream
 from strandline.sources import read_bronze, stream_bronze, stream_landed_json
+from strandline.streaming.sinks import _Span
 from strandline.streaming import first_within_watermark, read_parts, stream_append, stream_parts, watch
 
 KEY = ["topic", "timestamp"]
@@ -138,6 +139,18 @@ def test_replay_in_other_batches_adds_nothing_t11_h8(spark, land, tmp_path):
     assert read_parts(spark, f"{tmp_path}/o", ENVELOPE, days=["2023-11-15"]).count() == 6
 
 
+def test_loaded_rows_are_read_by_day_and_time_range(spark, land, tmp_path):
+    for day in range(4):
+        land(*[("t", day * 86_400 + s, f"{day}.{s}") for s in range(3)])
+    run(stream_parts(stream_bronze(spark, land.path), f"{tmp_path}/o", f"{tmp_path}/cp", every=None))
+    batch = read_bronze(spark, land.path).filter(F.col("json_str").isin("1.1", "1.2", "3.0"))
+    span = _Span.of(batch, "timestamp")
+    assert sorted(span.days) == ["2023-11-15", "2023-11-17"] and not span.with_null
+    loaded = span.keep(read_parts(spark, f"{tmp_path}/o", ENVELOPE, days=span.days), "timestamp")
+    assert texts(loaded) == ["1.1", "1.2", "3.0"]  # nothing of day 2, and of days 1 and 3 only the range
+    assert "GreaterThanOrEqual(timestamp" in plan_of(loaded)
+
+
 def test_replay_without_keys_keeps_the_copies_t11(spark, land, tmp_path):
     """As a plain append does; a later batch dedup removes them. No row of the first run is lost."""
     land(("t", 1, "1"))
