@@ -8,6 +8,7 @@ from strandline.functions.times import (
     iso_text,
     iso_utc,
     seconds,
+    utc_day,
     within,
 )
 
@@ -21,6 +22,7 @@ __all__ = [
     "json_bytes",
     "json_text",
     "seconds",
+    "utc_day",
     "utf8_text",
     "within",
 ]

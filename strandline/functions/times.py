@@ -61,3 +61,10 @@ def age_seconds(earlier: Column, later: Column) -> Column:
 def iso_text(value: Column) -> Column:
     """ISO text of a timestamp in the session zone."""
     return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+
+
+def utc_day(value: Column) -> Column:
+    """The day in UTC as ``yyyy-mm-dd``, whatever the session zone is."""
+    whole = F.unix_seconds(value)
+    days = (whole - F.pmod(whole, F.lit(86_400))) / F.lit(86_400)
+    return F.date_from_unix_date(days.cast("int")).cast("string")

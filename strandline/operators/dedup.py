@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _has_no_order(data_type: T.DataType) -> bool:
+def has_no_order(data_type: T.DataType) -> bool:
+    """True for types that can be neither compared nor hashed: maps, variants and what contains them."""
     if isinstance(data_type, (T.MapType, T.VariantType)):
         return True
     if isinstance(data_type, T.ArrayType):
-        return _has_no_order(data_type.elementType)
+        return has_no_order(data_type.elementType)
     if isinstance(data_type, T.StructType):
-        return any(_has_no_order(f.dataType) for f in data_type.fields)
+        return any(has_no_order(f.dataType) for f in data_type.fields)
     return False
 
 
@@ -49,7 +50,7 @@ def keep_one(
         lead = [(F.col(c) if isinstance(c, str) else c).alias(f"_order{i}") for i, c in enumerate(order_by)]
         trail = rest
 
-    unordered = [c for c in trail if _has_no_order(df.schema[c].dataType)]
+    unordered = [c for c in trail if has_no_order(df.schema[c].dataType)]
     if unordered:
         # Maps and variants can not be compared; their JSON text breaks the tie instead.
         ranking = F.struct(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from strandline.operators.dedup import has_no_order
 from strandline.operators.handoff import cutoff_metric, cutoff_text
 
 
@@ -37,11 +38,15 @@ def batch_overwrite(
 
     ``cluster_by`` is for large tables that are read by ranges of a column: it sorts the rows into files by
     that column, so a filter on it skips most files. After a dedup by hash each file spans the whole range.
+    Rows that share one value are spread over several files if they are many.
     """
     if max_files and cluster_by:
         raise ValueError("give max_files or cluster_by, not both")
     if cluster_by:
-        df = df.repartitionByRange(F.col(cluster_by)).sortWithinPartitions(cluster_by)
+        # The second range key splits a value that many rows share. It is a hash of the row, and not a random
+        # number, so that a task that is run again sends each row to the same place.
+        whole_row = F.xxhash64(*(f.name for f in df.schema if not has_no_order(f.dataType)))
+        df = df.repartitionByRange(F.col(cluster_by), whole_row).sortWithinPartitions(cluster_by)
     if max_files:
         df = df.repartition(max_files)
     seen = Observation()

@@ -15,7 +15,9 @@ def first_within_watermark(
     Not the batch dedup: a row older than the watermark is dropped even if its key is new, and a key that
     comes back after its state expired is emitted again. In return the state is bounded by ``delay``.
     The number of state partitions is fixed by the first run of a checkpoint, so set
-    ``spark.sql.shuffle.partitions`` for the cluster before that. ``time_column`` must be a timestamp with
+    ``spark.sql.shuffle.partitions`` for the cluster before that. Rows are not reduced ahead of the shuffle; where
+    one key may hold a large share of a micro-batch, use ``stream_parts(new_keys=...)``, which does that, and
+    which is exact for any delay. ``time_column`` must be a timestamp with
     zone semantics.
     """
     return df.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(list(keys))

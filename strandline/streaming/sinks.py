@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strandline.contracts import TRIGGER_INTERVAL
+from strandline.functions import utc_day
 from strandline.operators.dedup import keep_one
 from strandline.operators.handoff import keep_new
 from strandline.sources.files import read_files
@@ -96,7 +97,7 @@ class _Span:
     def of(cls, rows: DataFrame, column: str) -> _Span:
         # One row per day that the batch touches, reduced in each task first.
         per_day = (
-            rows.groupBy(F.date_format(column, "yyyy-MM-dd").alias("day"))
+            rows.groupBy(utc_day(F.col(column)).alias("day"))
             .agg(F.min(F.unix_micros(column)).alias("low"), F.max(F.unix_micros(column)).alias("high"))
             .collect()
         )
@@ -129,7 +130,7 @@ def _write_part(
     rows: DataFrame, path: str, run: str, batch_id: int, time_column: str, gather_days: bool
 ) -> None:
     part = (
-        rows.withColumn("day", F.date_format(time_column, "yyyy-MM-dd"))
+        rows.withColumn("day", utc_day(F.col(time_column)))
         .withColumn("run", F.lit(run))
         .withColumn("batch", F.lit(batch_id))
     )
@@ -161,7 +162,7 @@ def stream_parts(
 
     A batch that is run again overwrites its own directories only. A reset checkpoint starts a new run, and
     so never writes over the rows of an older one, however the batches are cut. The day is that of
-    ``time_column``, in UTC by the session's zone.
+    ``time_column`` in UTC.
 
     * ``dedup_keys``: one row per key within a micro-batch (T8), by ``order_by`` and then all columns.
     * ``new_keys``: one row per key in the whole table (T11, H1). The batch is made unique, then rows

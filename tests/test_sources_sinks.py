@@ -158,6 +158,23 @@ def test_clustered_files_have_separate_ranges(spark, tmp_path):
         batch_overwrite(rows, f"{tmp_path}/d", max_files=2, cluster_by="timestamp")
 
 
+def test_clustering_spreads_a_hot_time_over_files(spark, tmp_path):
+    rows = spark.range(0, 40_000, 1, 8).select(
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 500_000).otherwise(F.col("id") * 25)).alias("timestamp"), "id",
+        F.create_map(F.lit("a"), F.col("id")).alias("m"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        batch_overwrite(rows, f"{tmp_path}/c", cluster_by="timestamp")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = spark.read.parquet(f"{tmp_path}/c").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in sizes) == 40_000
+    assert max(r["count"] for r in sizes) < 13_000  # a hot third lies in more than one file
+    hot = spark.read.parquet(f"{tmp_path}/c").filter(F.unix_seconds("timestamp") == 500_000)
+    assert hot.select(F.input_file_name()).distinct().count() > 1
+
+
 def test_backfill_t5(spark, envelope_of, tmp_path):
     bronze = envelope_of([("t", 1, '{"name":"a"}'), ("t", 1, '{"name":"a"}'), ("t", 5, "junk"), ("t", None, "{}"), ("t", None, "{}")])
     for cluster in (False, True):

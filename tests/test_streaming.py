@@ -151,6 +151,20 @@ def test_loaded_rows_are_read_by_day_and_time_range(spark, land, tmp_path):
     assert "GreaterThanOrEqual(timestamp" in plan_of(loaded)
 
 
+def test_days_do_not_depend_on_the_session_zone_h10(spark, land, tmp_path):
+    land(("t", 0, "a"), ("t", 7_200, "b"), ("t", -1_700_000_001, "before 1970"))
+    for attempt, zone in enumerate(("America/New_York", "Asia/Kathmandu", "UTC")):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            run(stream_parts(stream_bronze(spark, land.path), f"{tmp_path}/o", f"{tmp_path}/cp{attempt}", every=None,
+                             new_keys=KEY))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert texts(read_parts(spark, f"{tmp_path}/o", ENVELOPE)) == ["a", "b", "before 1970"]
+    days = {d.split("=")[1] for d in os.listdir(f"{tmp_path}/o") if d.startswith("day=2") or d.startswith("day=1")}
+    assert days == {"2023-11-14", "2023-11-15", "1969-12-31"}
+
+
 def test_replay_without_keys_keeps_the_copies_t11(spark, land, tmp_path):
     """As a plain append does; a later batch dedup removes them. No row of the first run is lost."""
     land(("t", 1, "1"))
