@@ -114,7 +114,9 @@ def recent_activity(
     )
 
 
-def activity_checks(activity: DataFrame, window_seconds: int, feed: str = "topic", stage: str = "producers") -> DataFrame:
+def activity_checks(
+    activity: DataFrame, window_seconds: int, feed: str = "topic", stage: str = "producers"
+) -> DataFrame:
     """:func:`recent_activity` as result rows."""
     return activity.select(
         F.lit(stage).alias("stage"),
@@ -151,13 +153,13 @@ def freshness(
 
 def freshness_checks(fresh: DataFrame, stage: str, group: str = "stage") -> DataFrame:
     """:func:`freshness` as result rows."""
+    age = F.format_string("(%d s old)", "age_seconds")
+    found = F.concat_ws(" ", F.lit("latest"), iso_text(F.col("latest")), age)
     return fresh.select(
         F.lit(stage).alias("stage"),
         F.col(group).alias("check"),
         "ok",
-        F.when(F.col("latest").isNull(), "nothing there")
-        .otherwise(F.concat_ws(" ", F.lit("latest"), iso_text(F.col("latest")), F.format_string("(%d s old)", "age_seconds")))
-        .alias("detail"),
+        F.when(F.col("latest").isNull(), "nothing there").otherwise(found).alias("detail"),
     )
 
 

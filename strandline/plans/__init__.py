@@ -6,4 +6,13 @@ from strandline.plans.incremental import incremental
 from strandline.plans.ingest import fan_out, ingest
 from strandline.plans.silver import silver_schema, silver_view
 
-__all__ = ["backfill", "check_files", "fan_out", "incremental", "ingest", "setup_checks", "silver_schema", "silver_view"]
+__all__ = [
+    "backfill",
+    "check_files",
+    "fan_out",
+    "incremental",
+    "ingest",
+    "setup_checks",
+    "silver_schema",
+    "silver_view",
+]

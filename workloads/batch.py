@@ -236,7 +236,10 @@ def dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT event_type AS topic, count(*) * 3 AS rows_in, count(DISTINCT ts) AS rows_out FROM events GROUP BY event_type"
+    """
+    SELECT event_type AS topic, count(*) * 3 AS rows_in, count(DISTINCT ts) AS rows_out
+    FROM events GROUP BY event_type
+    """
 )
 def dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: rows before and after, in one pass"""
@@ -381,7 +384,12 @@ def external_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT event_type AS condition_main, count(*) AS n, min(ts) AS earliest, max(ts) AS latest FROM events GROUP BY event_type")
+@query(
+    """
+    SELECT event_type AS condition_main, count(*) AS n, min(ts) AS earliest, max(ts) AS latest
+    FROM events GROUP BY event_type
+    """
+)
 def external_table_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One view over the two silver halves, each an external table of its own"""
     bronze = conditions_bronze(events(spark, sf_dir), keep=["partition", "offset"])
