@@ -9,19 +9,22 @@ following them back from the end gives the ids; time grows linearly with a piece
 from __future__ import annotations
 
 import json
+import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-import ahocorasick
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.common import map_texts, text_of
 
-# Pieces of text whose ids a worker remembers, and the longest piece it does remember.
+# Pieces of text whose ids a worker remembers before it starts anew, with the full memory as a second one, and the
+# longest piece it does remember.
 MEMORY_PIECES = 200_000
 MEMORY_LENGTH = 48
+# Pairs of tokens whose compatibility it remembers.
+MEMORY_PAIRS = 500_000
 
 # Fixed value: how the byte-level vocabulary cuts text into pieces before the merges.
 PIECES = (
@@ -29,6 +32,16 @@ PIECES = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 
+# The same cut for text within Latin-1, by the faster standard library: its letters, numbers and white space.
+_LETTERS = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_NUMBERS = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+_SPACES = r"\t-\r \x85\xa0"
+LATIN_PIECES = re.compile(
+    rf" ?[{_LETTERS}]+|'(?:[smdt]|re|ve|ll)| ?[{_NUMBERS}]+| ?[^{_LETTERS}{_NUMBERS}{_SPACES}]+"
+    rf"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
+)
+OUTSIDE_LATIN = re.compile(r"[^\x00-\xff]")
+
 
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary.
@@ -41,6 +54,34 @@ def byte_letters() -> dict[str, int]:
     return letters
 
 
+class SuffixStates:
+    """An automaton whose state is the longest end of the text so far that begins some token.
+
+    ``ends`` has, for each state, all tokens that end there with their lengths, longest first. States and steps
+    are made when a text first needs them.
+    """
+
+    def __init__(self, tokens: dict[str, int]) -> None:
+        self.tokens = tokens
+        self.begun = {text[:k] for text in tokens for k in range(1, len(text) + 1)}
+        self.numbers: dict[str, int] = {"": 0}
+        self.names = [""]
+        self.ends: list[tuple[tuple[int, int], ...]] = [()]
+        self.steps: dict[tuple[int, str], int] = {}
+
+    def step(self, state: int, letter: str) -> int:
+        name = self.names[state] + letter
+        while name not in self.begun:
+            name = name[1:]
+        if name not in self.numbers:
+            self.numbers[name] = len(self.names)
+            self.names.append(name)
+            tails = [name[k:] for k in range(len(name))]
+            self.ends.append(tuple((self.tokens[t], len(t)) for t in tails if t in self.tokens))
+        self.steps[state, letter] = self.numbers[name]
+        return self.numbers[name]
+
+
 class Codec:
     """Encoder and decoder for one byte-level BPE vocabulary, from the text of its JSON file."""
 
@@ -63,17 +104,14 @@ class Codec:
             made = vocab[left + right]
             self.merge[vocab[left], vocab[right]] = rank
             self.parts.setdefault(made, (rank, vocab[left], vocab[right]))
-        self.automaton = ahocorasick.Automaton()
-        self.width: dict[int, int] = {}
-        for number in vocab.values():
-            text = self.text_of_id[number]
-            if len(text) == 1 or number in self.parts:
-                self.width[number] = len(text)
-                self.automaton.add_word(text.decode("latin-1"), number)
-        self.automaton.make_automaton()
+        tokens = {n: self.text_of_id[n].decode("latin-1") for n in vocab.values()}
+        tokens = {n: text for n, text in tokens.items() if len(text) == 1 or n in self.parts}
+        self.width = {n: len(text) for n, text in tokens.items()}
+        self.states = SuffixStates({text: n for n, text in tokens.items()})
         self.edges: dict[int, tuple[list, list]] = {}
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _edges(self, token: int) -> tuple[list, list]:
         """The tokens along the left and the right edge of ``token``, from its byte up, each with the
@@ -99,9 +137,6 @@ class Codec:
         of ``right``'s left edge. The two tokens stay apart unless a rule joins such a pair before one of
         them has been merged away; of equal ranks the place further left goes first.
         """
-        pair = (left, right)
-        if pair in self.known:
-            return self.known[pair]
         before, after = self._edges(left)[1], self._edges(right)[0]
         i = j = 0
         while True:
@@ -117,51 +152,79 @@ class Codec:
                 i += 1
             else:
                 j += 1
-        if len(self.known) >= MEMORY_PIECES * 4:
-            self.known.clear()
-        self.known[pair] = apart
+        self.known[left << 20 | right] = apart
         return apart
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        last = [-1] * (len(piece) + 1)
-        width = self.width
-        for end, token in self.automaton.iter(piece.decode("latin-1")):
-            end += 1
-            if last[end] < 0:
-                start = end - width[token]
-                if start == 0 or (last[start] >= 0 and self.may_follow(last[start], token)):
-                    last[end] = token
-        ids, end = [], len(piece)
-        while end:
-            ids.append(last[end])
-            end -= width[last[end]]
-        ids.reverse()
-        return ids
-
-    def _packed(self, piece: str) -> bytes:
-        ids = array("I", self.encode_piece(piece.encode()))
-        packed = ids.tobytes()
-        if len(piece) <= MEMORY_LENGTH:
-            if len(self.memory) >= MEMORY_PIECES:
-                self.memory.clear()
-            self.memory[piece] = packed
-        return packed
-
-    def _encode_plain(self, text: str) -> Iterable[bytes]:
-        known = self.memory.get
-        for piece in self.pieces.findall(text):
-            yield known(piece) or self._packed(piece)
+    def encode_pieces(self, pieces: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """Each piece (its bytes as Latin-1 letters) with its packed ids.
 
-    def encode(self, text: str) -> bytes:
-        """The ids of ``text``, four bytes each, lowest byte first. Special tokens in the text are one id each."""
-        parts: list[bytes] = []
-        at = 0
-        for found in self.specials.finditer(text) if self.specials else ():
-            parts.extend(self._encode_plain(text[at : found.start()]))
-            parts.append(self.special[found.group()].to_bytes(4, "little"))
+        In sorted order a piece shares its first prefixes with the one before it; what is stored for those
+        is used again.
+        """
+        known, steps, ends, widths = self.known, self.states.steps, self.states.ends, self.width
+        states, last, before = [0], [-1], ""
+        for piece in sorted(pieces):
+            shared = 0
+            for a, b in zip(piece, before, strict=False):
+                if a != b:
+                    break
+                shared += 1
+            del states[shared + 1 :], last[shared + 1 :]
+            state = states[shared]
+            for end in range(shared + 1, len(piece) + 1):
+                letter = piece[end - 1]
+                state = steps.get((state, letter)) or self.states.step(state, letter)
+                for token, width in ends[state]:
+                    if width == end:
+                        break
+                    pair = last[end - width] << 20 | token
+                    if known[pair] if pair in known else self.may_follow(last[end - width], token):
+                        break
+                states.append(state)
+                last.append(token)
+            before, end, ids = piece, len(piece), []
+            while end:
+                token = last[end]
+                ids.append(token)
+                end -= widths[token]
+            ids.reverse()
+            yield piece, array("I", ids).tobytes()
+
+    def _cut(self, text: str) -> list[str]:
+        return (self.pieces if OUTSIDE_LATIN.search(text) else LATIN_PIECES).findall(text)
+
+    def _split(self, text: str) -> list[str]:
+        """Pieces and special tokens, in order."""
+        if not self.specials or not self.specials.search(text):
+            return self._cut(text)
+        out, at = [], 0
+        for found in self.specials.finditer(text):
+            out += [*self._cut(text[at : found.start()]), found.group()]
             at = found.end()
-        parts.extend(self._encode_plain(text[at:] if at else text))
-        return b"".join(parts)
+        return out + self._cut(text[at:])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each, lowest byte first. Special tokens in a text are one id each."""
+        split = [self._split(text) for text in texts]
+        if len(self.memory) >= MEMORY_PIECES:
+            self.older, self.memory = self.memory, {}
+        if len(self.known) >= MEMORY_PAIRS:
+            self.known.clear()
+        memory = self.memory
+        new = set().union(*split).difference(memory)
+        memory |= {piece: self.special[piece].to_bytes(4, "little") for piece in new if piece in self.special}
+        memory |= {piece: self.older[piece] for piece in new if piece in self.older}
+        new.difference_update(memory)
+        octets = {piece if piece.isascii() else piece.encode().decode("latin-1"): piece for piece in new}
+        memory.update((octets[piece], packed) for piece, packed in self.encode_pieces(octets))
+        out = [b"".join(map(memory.__getitem__, pieces)) for pieces in split]
+        for piece in new:
+            if len(piece) > MEMORY_LENGTH:
+                del memory[piece]
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, packed: bytes) -> str:
         """The text of packed ids, special tokens included. Bytes that are no UTF-8 become U+FFFD."""
@@ -200,9 +263,8 @@ def encode_decode(docs: DataFrame, spec: str) -> DataFrame:
         own = codec(sent.value)
 
         def work(doc_ids, texts):
-            for doc_id, text in zip(doc_ids, texts, strict=True):
-                packed = own.encode(text)
-                yield doc_id, packed, own.decode(packed)
+            packed = own.encode_all(texts)
+            return zip(doc_ids, packed, map(own.decode, packed), strict=True)
 
         return work
 
