@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm.exact import drop_exact_copies
+from strandline.llm import decontaminate, exact, simhash, toxicity
+from strandline.llm.common import table
 from strandline.llm.queries import encoded
 from strandline.session import scratch_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject. It learns from ``docs`` and the table ``labels``."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each text."""
-    return drop_exact_copies(docs)
+    return exact.drop_exact_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an item of the table ``benchmark``."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +36,10 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", drop_contaminated),
     ("bpe", bpe),
 ]
 
@@ -32,8 +49,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``, each to what the one before it wrote."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    place = f"{scratch_dir(spark, 'pipeline')}/{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    place = scratch_dir(spark, "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         out = f"{place}/{number}_{name}"
         stage(spark, docs, sf_dir).write.parquet(out)

@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, exact
+from strandline.llm import bpe, decontaminate, exact, simhash, toxicity
 from strandline.llm.common import table
 from strandline.session import pin_utc
 
@@ -47,6 +47,42 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query(
+    r"""
+    WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+    i AS (SELECT item_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+    dg AS (
+      SELECT DISTINCT id AS doc_id, array_to_string(w[p:p + 4], ' ') AS g
+      FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS p FROM d)
+    ),
+    ig AS (
+      SELECT DISTINCT id AS item_id, array_to_string(w[p:p + 4], ' ') AS g
+      FROM (SELECT id, w, unnest(range(1, len(w) - 3)) AS p FROM i)
+    ),
+    n AS (SELECT item_id, count(*) AS n_shingles FROM ig GROUP BY item_id),
+    s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM dg JOIN ig USING (g) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+    FROM s JOIN n USING (item_id) WHERE n_shared * 10 >= n_shingles * 8
+    """
+)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds."""
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the smallest document it is linked with."""
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 @query(
     r"""
     WITH d AS (
