@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -33,6 +34,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def importable(rows: DataFrame) -> DataFrame:
+    """``rows``, with this library's folder on the import path of workers that share the driver's disk.
+
+    A cluster gets the library as it gets any other package.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    rows.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return rows
+
+
 def map_texts(
     rows: DataFrame,
     schema: str,
@@ -57,7 +68,7 @@ def map_texts(
                     [pa.array(values, type=kind) for values, kind in zip(columns, types, strict=True)], names=names
                 )
 
-    return rows.mapInArrow(run, schema)
+    return importable(rows).mapInArrow(run, schema)
 
 
 ARROW_TYPES = {

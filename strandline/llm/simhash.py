@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, join_ids, map_texts, text_of
+from strandline.llm.common import cut, importable, join_ids, map_texts, text_of
 
 RADIUS = 4
 SHINGLE_WORDS = 4
@@ -194,7 +194,7 @@ def links(codes: DataFrame, tree_members: int = TREE_MEMBERS) -> DataFrame:
         if held:
             yield spanning_links(pd.concat(held, ignore_index=True))
 
-    return dealt.mapInPandas(run, "a long, b long")
+    return importable(dealt).mapInPandas(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

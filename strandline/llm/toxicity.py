@@ -20,20 +20,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, is_held_out, map_texts, sample_by_hash, text_of
+from strandline.llm.common import cut, importable, is_held_out, map_texts, sample_by_hash, text_of
 
 # Insults that stand for themselves in English text.
 INSULTS = "clown disgusting dumb fool hate idiot imbecile jerk loser moron pathetic scum stupid trash ugly worthless".split()
 BEGINNINGS = range(3, 8)
 # Labelled rows of each class that the fit reads: a bound on the classifier's sample.
 FIT_ROWS = 6_000
-# A mined term stands in so many toxic rows at least, and in a clean row at most once for so many toxic ones.
+# A mined term stands in so many toxic rows at least, and so many times as often among their words as among others'.
 TERM_ROWS = 4
-TERM_ODDS = 20
-TERMS = 96
+TERM_ODDS = 6
+TERMS = 64
+TERM_ACCURACY = 0.35
+TERM_SHARE = 0.015  # of the toxic rows
+# Log-odds by which a given label speaks for its class in the label model: a voter that errs once in fifty times.
+LABEL_ODDS = 4.0
+# What a lexicon voter says: its term is absent, stands once, or more often.
+LEVELS = 3
 # Conditional correlation from which two voters share a table, and most voters in one.
 CORRELATED = 0.15
-FAMILY = 4
+FAMILY = 3
 THRESHOLD = 0.7
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -73,19 +79,30 @@ def patterns(text: str, n_words: int) -> list[float]:
 PATTERN_LIMITS = (0.15, 0.02, 0.02)
 
 
+def _together(hits, terms, n_words) -> list:
+    """All hits of all terms: how many, of how many terms, and their share of the words."""
+    return [np.log1p(hits), terms / 3, np.minimum(1.0, 20 * hits / np.maximum(1, n_words))]
+
+
 def features(text: str, terms: Terms) -> list[float]:
     words = WORD.findall(text.lower())
-    row = [0.0] * len(terms.number)
+    counts = [0] * len(terms.number)
     for number, count in Counter(map(terms.__getitem__, words)).items():
         if number >= 0:
-            row[number] = log1p(count)
-    return row + patterns(text, len(words))
+            counts[number] = count
+    together = _together(sum(counts), sum(map(bool, counts)), len(words))
+    more = [float(count > 1) for count in counts]
+    return [log1p(count) for count in counts] + more + [float(x) for x in together] + patterns(text, len(words))
+
+
+OTHERS = 7  # features behind the two of each term
 
 
 def votes(matrix: np.ndarray) -> np.ndarray:
-    """Which voters speak for each row of features."""
-    lexicon = matrix[:, : -len(PATTERN_LIMITS) - 1] > 0
-    shape = matrix[:, -len(PATTERN_LIMITS) - 1 : -1] > np.array(PATTERN_LIMITS)
+    """What each voter says of each row of features: 0 for nothing, else 1 or 2."""
+    terms = (matrix.shape[1] - OTHERS) // 2
+    lexicon = np.minimum(np.rint(np.expm1(matrix[:, :terms])), LEVELS - 1)
+    shape = matrix[:, -4:-1] > np.array(PATTERN_LIMITS)
     return np.hstack([lexicon, shape]).astype(np.int64)
 
 
@@ -101,29 +118,31 @@ class LabelModel:
     prior: float
     accuracy: np.ndarray
 
-    def posterior(self, spoken: np.ndarray) -> np.ndarray:
-        odds = np.full(len(spoken), np.log(self.prior / (1 - self.prior)))
+    def posterior(self, spoken: np.ndarray, anchor: np.ndarray | float = 0.0) -> np.ndarray:
+        odds = np.log(self.prior / (1 - self.prior)) + anchor + np.zeros(len(spoken))
         for family, table in zip(self.families, self.log_odds, strict=True):
-            odds += table[spoken[:, family] @ (1 << np.arange(len(family)))]
+            odds += table[spoken[:, family] @ LEVELS ** np.arange(len(family))]
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
 def _maximise(spoken: np.ndarray, weight: np.ndarray, families: list[list[int]]) -> LabelModel:
     tables = []
     for family in families:
-        code, size = spoken[:, family] @ (1 << np.arange(len(family))), 1 << len(family)
+        code, size = spoken[:, family] @ LEVELS ** np.arange(len(family)), LEVELS ** len(family)
         toxic = np.bincount(code, weight, size) + 0.05
         clean = np.bincount(code, 1 - weight, size) + 0.05
         tables.append(np.log(toxic / toxic.sum()) - np.log(clean / clean.sum()))
     prior = float(np.clip(weight.mean(), 1e-4, 1 - 1e-4))
-    says = (spoken * weight[:, None]).sum(0) + 0.5
-    return LabelModel(families, tables, prior, says / (spoken.sum(0) + 1))
+    says = spoken > 0
+    accuracy = (weight @ says + 0.5) / (says.sum(0) + 1)
+    return LabelModel(families, tables, prior, accuracy)
 
 
 def _families(spoken: np.ndarray, weight: np.ndarray) -> list[list[int]]:
     """Voters joined by what is left of their correlation once the class is known, strongest first."""
     voters = spoken.shape[1]
     left = np.zeros((voters, voters))
+    spoken = (spoken > 0).astype(float)
     for w in (weight, 1 - weight):
         mean = (spoken * w[:, None]).sum(0) / max(w.sum(), 1e-9)
         around = (spoken - mean) * np.sqrt(w)[:, None]
@@ -140,18 +159,21 @@ def _families(spoken: np.ndarray, weight: np.ndarray) -> list[list[int]]:
     return [list(f) for f in dict.fromkeys(map(tuple, family))]
 
 
-def fit_label_model(spoken: np.ndarray, first: np.ndarray, turns: int = 15) -> LabelModel:
-    """Estimate accuracies, then correlations, then accuracies of the families; ``first`` are starting beliefs."""
-    weight, families = first, [[k] for k in range(spoken.shape[1])]
+def fit_label_model(spoken: np.ndarray, anchor: np.ndarray, turns: int = 15) -> LabelModel:
+    """Estimate accuracies, then correlations, then accuracies of the families.
+
+    ``anchor`` has the log-odds that are known of each row besides its votes, 0 where nothing is.
+    """
+    weight, families = 1 / (1 + np.exp(-anchor)), [[k] for k in range(spoken.shape[1])]
     for turn in range(turns):
         if turn == turns // 2:
             families = _families(spoken, weight)
         model = _maximise(spoken, weight, families)
-        weight = model.posterior(spoken)
+        weight = model.posterior(spoken, anchor)
     return model
 
 
-def fit_logistic(matrix: np.ndarray, target: np.ndarray, ridge: float = 1e-3, turns: int = 40) -> np.ndarray:
+def fit_logistic(matrix: np.ndarray, target: np.ndarray, ridge: float = 1e-4, turns: int = 40) -> np.ndarray:
     """Weights and bias of a ridge logistic regression on soft targets, by Newton steps."""
     x = np.hstack([matrix, np.ones((len(matrix), 1))])
     weights = np.zeros(x.shape[1])
@@ -188,29 +210,44 @@ class ToxicityModel:
 
 
 def mine_terms(labelled: DataFrame) -> list[str]:
-    """Whole words (ending in ``$``) and word beginnings that mark toxic rows, the most frequent first.
+    """Word beginnings that mark toxic rows, those that tell most first.
 
-    Tasks count rows for each term and class, Spark adds them up. A term gives way to a shorter beginning that is
-    mined as well. At most ``TERMS`` are kept; that is the size of the model.
+    Tasks count words and rows for each beginning and class, Spark adds them up. A beginning is left out if it
+    continues or begins one that tells more. At most ``TERMS`` are kept; that is the size of the model.
     """
 
     def start():
         def work(texts, toxic):
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            words: tuple[Counter, Counter] = (Counter(), Counter())
+            rows: Counter = Counter()
             for text, label in zip(texts, toxic, strict=True):
-                words = set(WORD.findall(text.lower()))
-                seen[label].update({w[:n] for w in words for n in BEGINNINGS if len(w) >= n} | {w + "$" for w in words})
-            return [(t, seen[0][t], seen[1][t]) for t in seen[0].keys() | seen[1].keys()]
+                own = Counter(WORD.findall(text.lower()))
+                terms: Counter = Counter()
+                for word, count in own.items():
+                    for n in BEGINNINGS:
+                        if len(word) >= n:
+                            terms[word[:n]] += count
+                words[label].update(terms)
+                words[label][""] += own.total()
+                if label:
+                    rows.update(terms.keys())
+            return [(t, words[0][t], words[1][t], rows[t]) for t in words[0].keys() | words[1].keys()]
 
         return work
 
-    counts = map_texts(labelled.select(text_of(), "toxic"), "term string, clean long, toxic long", start)
-    counts = counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    pure = counts.where((F.col("toxic") >= TERM_ROWS) & (F.col("toxic") >= TERM_ODDS * F.col("clean")))
+    counts = map_texts(labelled.select(text_of(), "toxic"), "term string, clean long, toxic long, toxic_rows long", start)
+    counts = counts.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "toxic_rows")))
+    total = counts.where("term = ''").first()
+    if not total or not total["toxic"]:
+        return []
+    least = max(TERM_ROWS, TERM_SHARE * labelled.where("toxic = 1").count())
+    odds = (F.col("toxic") / float(total["toxic"])) / ((F.col("clean") + 1) / float(total["clean"] + 1))
+    telling = counts.where((F.col("term") != "") & (F.col("toxic_rows") >= least) & (odds >= TERM_ODDS))
+    telling = telling.orderBy((F.col("toxic_rows") * F.log(odds)).desc(), F.length("term").desc(), "term")
     found: list[str] = []
-    for row in pure.orderBy(F.col("toxic").desc(), F.length("term"), "term").limit(TERMS * 20).collect():
+    for row in telling.limit(TERMS * 50).collect():
         term = row["term"]
-        if len(found) < TERMS and not any(term.startswith(known) for known in found):
+        if len(found) < TERMS and not any(term.startswith(known) or known.startswith(term) for known in found):
             found.append(term)
     return found
 
@@ -228,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     # The sample's bound is what makes it fit for a broadcast, and its texts for a second reading.
     labelled = cut(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"))
     terms = [f"{word}$" for word in INSULTS]
-    terms += [t for t in mine_terms(labelled) if t not in terms]
+    terms += [t for t in mine_terms(labelled) if not any(word.startswith(t) or t.startswith(word) for word in INSULTS)]
 
     def start():
         own = Terms(terms)
@@ -237,14 +274,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     rows = map_texts(labelled.select(text_of(), "toxic"), "toxic long, x array<double>", start).collect()
     # A few plain rows keep the model defined where there are no labelled ones.
     lexicon = len(terms)
-    plain = [[0.0] * lexicon + [0.05, 0.0, 0.0, 0.5]] * 4
-    insult = [[log1p(1.0) * (k == j) for k in range(lexicon)] + [0.05, 0.0, 0.0, 0.5] for j in range(len(INSULTS))]
+    plain = [[0.0] * (2 * lexicon + 3) + [0.05, 0.0, 0.0, 0.5]] * 8
+    one, at = [log1p(1), 1 / 3, 0.2, 0.05, 0.0, 0.0, 0.5], log1p(1)
+    insult = [[at * (k == j) for k in range(2 * lexicon)] + one for j in range(len(INSULTS))]
     matrix = np.array([row["x"] for row in rows] + plain + insult)
     label = np.array([row["toxic"] for row in rows] + [0] * len(plain) + [1] * len(insult), float)
     spoken = votes(matrix)
-    hits = spoken[:, :lexicon].any(1)
-    model = fit_label_model(spoken, np.where(hits, 0.9, 0.1) * 0.5 + label * 0.5)
-    return ToxicityModel(terms, fit_logistic(matrix, model.posterior(spoken)), model)
+    anchor = np.where(label > 0, LABEL_ODDS, -LABEL_ODDS)
+    # Terms that turn out to be inaccurate voters are dismissed, and the rest is fitted again.
+    right = fit_label_model(spoken, anchor).accuracy[:lexicon] >= TERM_ACCURACY
+    right |= np.arange(lexicon) < len(INSULTS)
+    terms = [term for term, good in zip(terms, right, strict=True) if good]
+    counts = np.rint(np.expm1(matrix[:, :lexicon][:, right]))
+    shape = matrix[:, -4:]
+    together = _together(counts.sum(1), (counts > 0).sum(1), np.expm1(10 * shape[:, -1]))
+    matrix = np.hstack([np.log1p(counts), counts > 1, np.stack(together, 1), shape])
+    spoken = votes(matrix)
+    model = fit_label_model(spoken, anchor)
+    return ToxicityModel(terms, fit_logistic(matrix, model.posterior(spoken, anchor)), model)
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -281,4 +328,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
             texts = batch.column(batch.schema.get_field_index("text"))
             yield batch.filter(pa.array([own(text.as_py() or "") < threshold for text in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return importable(docs).mapInArrow(run, docs.schema)
