@@ -160,13 +160,13 @@ def _families(spoken: np.ndarray, weight: np.ndarray) -> list[list[int]]:
 
 
 def fit_label_model(spoken: np.ndarray, anchor: np.ndarray, turns: int = 15) -> LabelModel:
-    """Estimate accuracies, then correlations, then accuracies of the families.
+    """Estimate correlations and accuracies, then both again from what they say of each row.
 
     ``anchor`` has the log-odds that are known of each row besides its votes, 0 where nothing is.
     """
-    weight, families = 1 / (1 + np.exp(-anchor)), [[k] for k in range(spoken.shape[1])]
+    weight = 1 / (1 + np.exp(-anchor))
     for turn in range(turns):
-        if turn == turns // 2:
+        if turn in (0, turns // 2):  # what is known besides the votes can't be misled by voters that say the same
             families = _families(spoken, weight)
         model = _maximise(spoken, weight, families)
         weight = model.posterior(spoken, anchor)

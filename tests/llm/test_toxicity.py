@@ -61,7 +61,7 @@ def test_label_model_finds_accuracies_and_families():
     spoken = np.stack([first, first, speak(0.6, 0.1), speak(0.5, 0.02), speak(0.3, 0.3)], 1).astype(int)
     label = truth ^ (rng.random(4_000) < 0.25)  # labels that are right three times in four
     model = toxicity.fit_label_model(spoken, np.where(label, np.log(3), -np.log(3)))
-    assert [0, 1] in model.families  # the copy counts once
+    assert any({0, 1} <= set(family) for family in model.families)  # the copy counts once
     right = ((model.posterior(spoken) > 0.5) == truth).mean()
     assert right > 0.86
     want = [(truth & (spoken[:, k] > 0)).sum() / spoken[:, k].sum() for k in range(5)]
