@@ -31,7 +31,7 @@ def is_held_out(doc_id: Column) -> Column:
 
 def text_of(column: str = "text") -> Column:
     """The whole text; null counts as empty."""
-    return F.coalesce(F.col(column), F.lit(""))
+    return F.coalesce(F.col(column), F.lit("")).alias(column)
 
 
 def importable(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, decontaminate, exact, simhash, toxicity
+from strandline.llm import bpe, decontaminate, exact, langid, quality, simhash, toxicity
 from strandline.llm.common import table
 from strandline.session import pin_utc
 
@@ -47,6 +47,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its predicted language."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 @query()
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its toxicity score."""
@@ -83,6 +90,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score."""
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     r"""
     WITH d AS (
