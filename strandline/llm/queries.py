@@ -8,7 +8,18 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, decontaminate, exact, langid, quality, simhash, toxicity
+from strandline.llm import (
+    bpe,
+    decontaminate,
+    exact,
+    langid,
+    licenses,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+    urls,
+)
 from strandline.llm.common import table
 from strandline.session import pin_utc
 
@@ -61,6 +72,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query()
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licence notices in it."""
+    return licenses.scan_notices(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query()
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the verdict on its URL."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 @query(
     r"""
     WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
@@ -84,6 +107,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the secrets in it."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.span_digests(secrets.find_secrets(docs, secrets.fit(docs)))
+
+
 @query()
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest document it is linked with."""
