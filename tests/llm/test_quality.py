@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from tests.llm.conftest import rows_of
+
+from strandline.llm import quality
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    rows = quality.score_documents(docs, labels).join(labels.select("doc_id", "quality"), "doc_id")
+    rows = [r for r in rows.collect() if r["held_out"]]
+    assert sum(r["predicted"] == r["quality"] for r in rows) / len(rows) > 0.97
+    good = [r for r in rows if r["quality"] == 1]
+    assert sum(r["predicted"] for r in good) / len(good) > 0.98
+
+
+def test_scores_equal_those_of_two_normal_distributions():
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(0, 1, (400, 3)), rng.normal(1, 2, (600, 3))])
+    label = np.repeat([0, 1], [400, 600])
+    count = np.array([400.0, 600.0])
+    total = np.stack([x[label == k].sum(0) for k in (0, 1)])
+    squares = np.stack([x[label == k].T @ x[label == k] for k in (0, 1)])
+    model = quality.discriminant(count, total, squares)
+    covs = [np.cov(x[label == k].T, bias=True) for k in (0, 1)]
+    pooled = 0.4 * covs[0] + 0.6 * covs[1]
+    logs = []
+    for k in (0, 1):
+        s = 0.9 * covs[k] + 0.1 * pooled
+        s = 0.95 * s + np.diag(0.05 * np.diag(s) + 1e-3)
+        d = x - total[k] / count[k]
+        far = np.einsum("ij,jk,ik->i", d, np.linalg.inv(s), d)
+        logs.append(-0.5 * far - 0.5 * np.log(np.linalg.det(s)) + np.log((count[k] + 0.5) / 1001))
+    assert model.score(x) == pytest.approx(1 / (1 + np.exp(logs[0] - logs[1])), abs=1e-9)
+
+
+def test_statistics_of_plain_cases():
+    assert len(quality.statistics("")) == len(quality.statistics("A b.\nA b.")) == quality.STATISTICS
+    assert all(np.isfinite(quality.statistics(t)).all() for t in ("", " ", "\n", "x", "é", "🙂" * 5, "a " * 100_000))
+
+
+def test_edges(spark, docs_of):
+    rows = [(1, None), (2, ""), (3, "word " * 100_000), (None, "fine words here"), (4, "fine words here"), (4, "fine words here")]
+    docs = docs_of(rows)
+    for labels, share in (([], 0.5), ([(1, None, None), (2, 0, 0), (2, 1, 1), (4, 1, 0)], None)):
+        got = quality.score_documents(docs, spark.createDataFrame(labels, LABELS))
+        assert rows_of(got, "doc_id") == sorted([(1,), (2,), (3,), (None,), (4,), (4,)], key=repr)
+        scores = [r["score"] for r in got.collect()]
+        assert all(0 <= s <= 1 for s in scores) and (share is None or set(scores) == {share})
+    assert quality.score_documents(docs_of([]), spark.createDataFrame([], LABELS)).count() == 0
