@@ -1,16 +1,20 @@
 """Batch-to-stream handoff: which rows belong to which half.
 
-Two exactness levels (H1):
+Three ways (H1):
 
 * by time: the cutoff is the largest ``timestamp`` the backfill really loaded. It needs no shuffle. A row
-  that reaches bronze later with an older ``timestamp`` is in neither half.
+  that reaches bronze later with an older or the very same ``timestamp`` is in neither half, so it is exact only
+  where times strictly rise.
+* by place in the log: the backfill reports the largest offset of each topic and partition it loaded, and the
+  stream takes what lies behind them. It needs no shuffle either and is exact, ties in time included, because
+  offsets rise within a partition.
 * by key: the stream drops the keys that are already loaded, see :func:`keep_new`. It is exact for any
   order of arrival.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +52,26 @@ def cutoff_of(df: DataFrame, column: str = "timestamp") -> str | None:
     return cutoff_text(df.agg(cutoff_metric(column)).first()[0])
 
 
+def positions_of(df: DataFrame) -> dict[tuple[str, int], int]:
+    """Largest ``offset`` of each ``(topic, partition)``: one entry for each partition of the log (T5, H1)."""
+    rows = df.groupBy("topic", "partition").agg(F.max("offset").alias("offset")).collect()
+    return {(r["topic"], r["partition"]): r["offset"] for r in rows}
+
+
+def after_positions(df: DataFrame, positions: Mapping[tuple[str, int], int]) -> DataFrame:
+    """Rows behind the given places in the log, and all of partitions that are not among them.
+
+    The places are a literal of the plan, so rows are neither shuffled nor joined.
+    """
+    if not positions:
+        return df
+    place = lambda topic, partition: F.concat_ws("/", partition.cast("string"), topic)
+    keys = F.array(*(F.lit(f"{partition}/{topic}") for topic, partition in positions))
+    known = F.map_from_arrays(keys, F.array(*(F.lit(offset).cast("bigint") for offset in positions.values())))
+    last = F.try_element_at(known, place(F.col("topic"), F.col("partition")))
+    return df.filter(last.isNull() | (F.col("offset") > last))
+
+
 def keep_new(
     df: DataFrame, loaded: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ()
 ) -> DataFrame:

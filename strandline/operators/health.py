@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,21 +21,36 @@ from strandline.sources.topics import end_offsets
 RESULT = "stage STRING, check STRING, ok BOOLEAN, detail STRING"
 OK, FAIL, BLOCKED = "OK", "FAIL", "BLOCKED"
 
+# What Spark says of a source that does not exist or has no connector.
+NOT_THERE = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "DATA_SOURCE_NOT_FOUND", "FAILED_READ_FILE.FILE_NOT_EXIST")
 
-def expected_rows(spark: SparkSession, column: str, names: Sequence[str]) -> DataFrame:
-    """A configured list as a table."""
-    return spark.createDataFrame([(n,) for n in names], f"{column} STRING")
+
+def listed(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
+    """A configured list as literal rows of the plan.
+
+    Spark knows their size, so its own threshold decides whether they are broadcast.
+    """
+    if not rows:
+        return spark.createDataFrame([], schema)
+    fields = spark.createDataFrame([], schema).schema.fields
+    values, marks = {}, []
+    for row in rows:
+        for field, value in zip(fields, row, strict=True):
+            marks.append(f"CAST(:v{len(values)} AS {field.dataType.simpleString()})")
+            values[f"v{len(values)}"] = value
+    width = len(fields)
+    table = ", ".join(f"({', '.join(marks[at : at + width])})" for at in range(0, len(marks), width))
+    return spark.sql(f"SELECT * FROM VALUES {table}", args=values).toDF(*(f.name for f in fields))
 
 
-# A label list of this many entries is a few hundred kilobytes.
-BROADCAST_LABELS = 10_000
+def expected_rows(spark: SparkSession, column: str, names: Sequence[str]) -> DataFrame:
+    """A list of names as a table of one column."""
+    return listed(spark, f"{column} STRING", [(n,) for n in names])
 
 
 def labelled(df: DataFrame, column: str, labels: Mapping[str, str]) -> DataFrame:
     """Add ``label`` by looking ``column`` up in a configured list; unlisted rows go."""
-    table = df.sparkSession.createDataFrame(list(labels.items()), f"{column} STRING, label STRING")
-    if len(labels) <= BROADCAST_LABELS:
-        table = F.broadcast(table)
+    table = listed(df.sparkSession, f"{column} STRING, label STRING", list(labels.items()))
     return df.join(table, column, "inner")
 
 
@@ -68,17 +84,27 @@ def topic_totals(offsets: DataFrame) -> DataFrame:
 
 
 def topic_checks(messages: DataFrame, expected: Sequence[str], stage: str = "kafka") -> DataFrame:
-    """Topic exists and its offsets add up to more than zero."""
-    spark = messages.sparkSession
-    totals = topic_totals(end_offsets(messages.filter(F.col("topic").isin(list(expected)))))
+    """Topic exists and its offsets add up to more than zero (C4, A4, J1, P15), from its retained messages.
+
+    It reads every message there is. :func:`offset_checks` takes offsets that somebody already knows.
+    """
+    return offset_checks(end_offsets(messages.filter(F.col("topic").isin(list(expected)))), expected, stage)
+
+
+def offset_checks(offsets: DataFrame, expected: Sequence[str], stage: str = "kafka") -> DataFrame:
+    """:func:`topic_checks` from ``(topic, partition, end_offset)``, as a broker or a query's progress reports them.
+
+    A topic whose messages have all expired still has its end offsets, and passes.
+    """
+    totals = topic_totals(offsets.filter(F.col("topic").isin(list(expected))))
     return (
-        expected_rows(spark, "topic", expected)
+        expected_rows(offsets.sparkSession, "topic", expected)
         .join(totals, "topic", "left")
         .select(
             F.lit(stage).alias("stage"),
             F.col("topic").alias("check"),
             F.coalesce(F.col("total") > 0, F.lit(False)).alias("ok"),
-            F.when(F.col("total").isNull(), "no such topic")
+            F.when(F.col("total").isNull(), "no offsets of this topic")
             .otherwise(F.format_string("end offsets sum to %d", "total"))
             .alias("detail"),
         )
@@ -131,6 +157,25 @@ def latest_by(df: DataFrame, group: str, time: str) -> DataFrame:
     return df.groupBy(group).agg(F.max(time).alias("latest"))
 
 
+def bounded_latest(
+    df: DataFrame, group: str, time: str, expected: Sequence[str], as_of: Column, limit_seconds: int
+) -> DataFrame:
+    """Latest time of each expected group, reading old rows only where there is no recent one.
+
+    A healthy group has a row within the limit, and the bound on the time reaches the scan. Groups without one
+    are looked up in full, to say how old they are. One row per expected group comes to the driver.
+    """
+    wanted = df.filter(F.col(group).isin(list(expected)))
+    recent = latest_by(wanted.filter(F.col(time) >= as_of - seconds(limit_seconds)), group, time)
+    micros = lambda latest: [(r[0], r[1]) for r in latest.select(group, F.unix_micros("latest")).collect()]
+    rows = micros(recent)
+    stale = [name for name in expected if name not in dict(rows)]
+    if stale:
+        rows += micros(latest_by(df.filter(F.col(group).isin(stale)), group, time))
+    found = listed(df.sparkSession, f"{group} STRING, micros BIGINT", rows)
+    return found.select(group, F.timestamp_micros("micros").alias("latest"))
+
+
 def freshness(
     latest: DataFrame,
     expected: Sequence[str],
@@ -183,10 +228,14 @@ def reachable(
     """
     try:
         rows = checks().select("stage", "check", "ok", "detail").collect()
+    except AnalysisException as error:
+        if error.getCondition() not in NOT_THERE:  # a misspelt column is a fault of the check, not a finding
+            raise
+        rows = [(stage, name, False, f"unreachable: {error.getCondition()}") for name in expected]
     except Exception as error:  # whatever keeps the source from being read is a finding, not a crash
         reason = (str(error).splitlines() or [type(error).__name__])[0]
         rows = [(stage, name, False, f"unreachable: {reason}") for name in expected]
-    return spark.createDataFrame(rows, RESULT)
+    return listed(spark, RESULT, rows)
 
 
 def only_stage(checks: DataFrame, stage: str | None) -> DataFrame:
@@ -200,7 +249,7 @@ def stage_report(checks: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame
     A stage without any check row counts as failed (A7).
     """
     spark = checks.sparkSession
-    order = spark.createDataFrame(list(enumerate(stages)), "ord INT, stage STRING")
+    order = listed(spark, "ord INT, stage STRING", list(enumerate(stages)))
     per_stage = checks.groupBy("stage").agg(
         F.bool_and(F.coalesce("ok", F.lit(False))).alias("ok"),
         F.count_if(~F.coalesce("ok", F.lit(False))).alias("n_failed"),

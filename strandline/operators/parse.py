@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,9 @@ from strandline.functions import first_element, from_epoch_seconds, instant
 
 CORRUPT = "_corrupt_record"
 
+# A key that names one message: its place in the log (H2).
+LOG_KEY = ("topic", "partition", "offset")
+
 GOOD = "good"
 PARTIAL = "partial"
 MALFORMED = "malformed"
@@ -49,14 +53,18 @@ def flatten(parsed: DataFrame, feed: Feed, *extra: Column | str) -> DataFrame:
     )
 
 
-def to_silver(bronze: DataFrame, feed: Feed) -> DataFrame:
-    """Parse and flatten. Keeps every row, malformed ones with NULLs (H5). No shuffle."""
-    return flatten(parse(bronze, feed), feed)
+def to_silver(bronze: DataFrame, feed: Feed, keep: Sequence[str] = ()) -> DataFrame:
+    """Parse and flatten. Keeps every row, malformed ones with NULLs (H5). No shuffle.
+
+    ``keep`` names envelope columns that silver has behind its own, such as those of :data:`LOG_KEY` (H2).
+    """
+    return flatten(parse(bronze, feed), feed, *keep)
 
 
-def has_no_values(feed: Feed) -> Column:
-    """True for a silver row that holds nothing but its ingestion time, as malformed text gives."""
-    return reduce(lambda a, b: a & b, (F.col(column.name).isNull() for column in feed.columns))
+def missing_values(feed: Feed) -> Column:
+    """How many silver columns of a row are NULL. Of the rows of one key the one with the fewest is the best,
+    in the batch and in the stream alike (H5): a full reading before an error reply, that before malformed text."""
+    return reduce(lambda a, b: a + b, (F.col(column.name).isNull().cast("int") for column in feed.columns))
 
 
 def is_blank(data: Column, feed_fields: list[str]) -> Column:
@@ -73,6 +81,7 @@ def screen(
     feed: Feed,
     earliest: str | None = None,
     latest: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Silver columns plus ``verdict``, and the text of the rows that need a look.
 
@@ -86,7 +95,7 @@ def screen(
     flat = flatten(
         parsed,
         feed,
-        "topic",
+        *dict.fromkeys([*keep, "topic"]),
         F.col("json_str").alias("raw"),
         F.coalesce(is_blank(data, payload_fields(parsed)), F.lit(True)).alias("_blank"),
         data.isNull().alias("_no_struct"),
@@ -104,3 +113,25 @@ def screen(
     return judged.withColumn("raw", F.when(F.col("verdict") != GOOD, F.col("raw"))).drop(
         "_blank", "_no_struct", "_corrupt"
     )
+
+
+SILVER, QUARANTINE = "silver", "quarantine"
+REJECTED = (MALFORMED, OUT_OF_RANGE)
+
+
+def routed(
+    bronze: DataFrame,
+    feed: Feed,
+    earliest: str | None = None,
+    latest: str | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`screen` with ``part``: where a row belongs.
+
+    Malformed and out-of-range rows go to the quarantine with their text, all others to silver. One write with
+    ``part`` as the first directory level makes both tables in a single pass.
+    """
+    judged = screen(bronze, feed, earliest, latest, keep)
+    part = F.when(F.col("verdict").isin(*REJECTED), QUARANTINE).otherwise(SILVER)
+    raw = F.when(F.col("verdict").isin(*REJECTED), F.col("raw"))
+    return judged.withColumns({"part": part, "raw": raw})

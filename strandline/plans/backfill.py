@@ -3,35 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.contracts import Feed
+from strandline.functions import utc_day
 from strandline.operators.dedup import keep_one
-from strandline.operators.parse import flatten, is_blank, parse, payload_fields, to_silver
+from strandline.operators.handoff import positions_of
+from strandline.operators.parse import LOG_KEY, SILVER, flatten, missing_values, parse, routed, to_silver
 from strandline.sinks.files import WriteReport, batch_overwrite
 
 
 def silver_rows(
-    bronze: DataFrame, feed: Feed, keys: Sequence[str] = ("timestamp",), raw_dedup: bool = False
+    bronze: DataFrame,
+    feed: Feed,
+    keys: Sequence[str] = ("timestamp",),
+    raw_dedup: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Parsed rows, one per key (A1).
 
-    Among rows of one key a parsed one wins over a malformed one (H5). ``keys`` may name envelope columns
-    that silver does not have, such as ``topic``, ``partition`` and ``offset`` (H2).
+    Of the rows of one key the one with the most values wins, then the smallest (H5). ``keys`` may name envelope
+    columns that silver does not have, such as ``topic``, ``partition`` and ``offset`` (H2); those of ``keep``
+    it does have.
 
     ``raw_dedup`` removes duplicates before the parse. That saves parsing copies, and fits where copies are
     byte-identical, as after a replay; with different texts under one key the first text wins, parsed or not.
     """
     if raw_dedup:
-        return to_silver(keep_one(bronze, keys), feed)
+        return to_silver(keep_one(bronze, keys), feed, keep)
     parsed = parse(bronze, feed)
-    envelope_keys = [k for k in keys if k != "timestamp"]
-    blank = F.coalesce(is_blank(F.col("data"), payload_fields(parsed)), F.lit(True)).alias("_blank")
-    flat = flatten(parsed, feed, *(F.col(k).alias(f"_key_{k}") for k in envelope_keys), blank)
-    stored = [f"_key_{k}" if k in envelope_keys else k for k in keys]
-    return keep_one(flat, stored, ["_blank"]).drop("_blank", *(f"_key_{k}" for k in envelope_keys))
+    unseen = [k for k in keys if k != "timestamp" and k not in keep]
+    flat = flatten(parsed, feed, *keep, *(F.col(k).alias(f"_key_{k}") for k in unseen))
+    stored = [f"_key_{k}" if k in unseen else k for k in keys]
+    return keep_one(flat, stored, [missing_values(feed)]).drop(*(f"_key_{k}" for k in unseen))
+
+
+def routed_rows(
+    bronze: DataFrame,
+    feed: Feed,
+    keys: Sequence[str] = ("timestamp",),
+    earliest: str | None = None,
+    latest: str | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`silver_rows` and the rejected rows beside them, by ``part``.
+
+    Rejected rows take no part in the choice of a key's survivor: each different text stays, once.
+    """
+    kept = list(dict.fromkeys([*keep, *(k for k in keys if k != "timestamp")]))
+    rows = routed(bronze, feed, earliest, latest, kept)
+    return keep_one(rows, [*keys, "part", "raw"], [missing_values(feed)])
 
 
 def backfill(
@@ -42,14 +66,39 @@ def backfill(
     max_files: int | None = None,
     raw_dedup: bool = False,
     cluster: bool = False,
+    by_day: bool = False,
+    keep: Sequence[str] = (),
+    quarantine: bool = False,
+    earliest: str | None = None,
+    latest: str | None = None,
 ) -> WriteReport:
-    """Write silver from all of bronze and return what the stream has to know: the cutoff (T5, H1, K3).
+    """Write silver from all of bronze and return what the stream has to know: cutoff and positions (T5, H1, K3).
 
     The cutoff is the largest ``timestamp`` that was really loaded, not the time the job ended. So rows that
-    reached bronze during the job are left to the stream, and none falls between.
+    reached bronze during the job are left to the stream, and none falls between. With the columns of ``LOG_KEY``
+    in ``keep`` the report also has the largest offset of each partition of the log, which is the exact cutoff.
 
-    ``cluster`` sorts the files by ``timestamp``, for one more shuffle. Worth it on a large table: a stream
-    that adds by key then reads only the files of its own time range.
+    * ``cluster`` sorts the files by ``timestamp``, for one more shuffle.
+    * ``by_day`` writes ``day=<yyyy-mm-dd>`` directories, so a stream that adds by key lists and reads the days
+      of its own rows only, a late row's day among them.
+    * ``quarantine`` writes silver to ``part=silver`` and the rejected rows, malformed or not between ``earliest`` and
+      ``latest``, with their text to ``part=quarantine`` below ``path``, in the same pass.
     """
-    rows = silver_rows(bronze, feed, keys, raw_dedup)
-    return batch_overwrite(rows, path, max_files, cluster_by="timestamp" if cluster else None)
+    if quarantine:
+        rows = routed_rows(bronze, feed, keys, earliest, latest, keep)
+    else:
+        rows = silver_rows(bronze, feed, keys, raw_dedup, keep)
+    levels = ["part"] * quarantine + ["day"] * by_day
+    if by_day:
+        # After the keyed shuffle every task holds rows of every day. AQE splits a large day by size.
+        rows = rows.withColumn("day", utc_day(F.col("timestamp"))).hint("rebalance", F.col("day"))
+    positions = positions_of(bronze) if set(LOG_KEY) <= set(keep) else {}
+    report = batch_overwrite(
+        rows,
+        path,
+        max_files,
+        partition_by=levels or None,
+        cluster_by="timestamp" if cluster else None,
+        counted=F.col("part") == SILVER if quarantine else None,
+    )
+    return replace(report, positions=positions)

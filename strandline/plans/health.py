@@ -18,6 +18,8 @@ from strandline.operators.health import (
     freshness_checks,
     guarded,
     latest_by,
+    listed,
+    offset_checks,
     reachable,
     recent_activity,
     topic_checks,
@@ -42,7 +44,7 @@ def check_files(
     recent = _newest(file_inventory(spark, locations, modified_after=since.strftime("%Y-%m-%dT%H:%M:%S")))
     # One row per location.
     seen = [tuple(row) for row in recent.collect()]
-    newest = spark.createDataFrame(seen, "stage STRING, micros BIGINT")
+    newest = listed(spark, "stage STRING, micros BIGINT", seen)
     stale = [pair for pair in locations if pair[0] not in dict(seen)]
     if stale:
         newest = newest.unionByName(_newest(file_inventory(spark, stale)))
@@ -65,11 +67,13 @@ def setup_checks(
     stage: str | None = None,
     activity_seconds: int = ACTIVITY_WINDOW_SECONDS,
     freshness_seconds: int = FRESHNESS_SECONDS,
+    offsets: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """All checks in flow order, or those of one stage.
 
     * producers: each topic has a row in ``log`` within ``activity_seconds``.
-    * kafka: each topic exists in ``messages`` and its end offsets sum to more than zero.
+    * kafka: each topic has end offsets that sum to more than zero. ``offsets`` gives them as a query's progress or
+      the broker reports them (``sources.reported_offsets``); without it all retained ``messages`` are read.
     * bronze, silver: each ``(name, location)`` of ``tables[stage]`` has a file younger than
       ``freshness_seconds``. ``running[stage]`` tells whether its writer runs; if not, the files are not
       looked at.
@@ -82,7 +86,7 @@ def setup_checks(
     def table_checks(name: str) -> DataFrame:
         if not up.get(name, True):
             rows = [(name, table, False, "") for table, _ in tables[name]]
-            return guarded(spark.createDataFrame(rows, RESULT), False, "writer is not running")
+            return guarded(listed(spark, RESULT, rows), False, "writer is not running")
         return freshness_checks(check_files(spark, tables[name], as_of, freshness_seconds), name)
 
     def producers() -> DataFrame:
@@ -91,7 +95,10 @@ def setup_checks(
 
     checks = {
         "producers": (topics, producers),
-        "kafka": (topics, lambda: topic_checks(messages(), topics)),
+        "kafka": (
+            topics,
+            lambda: offset_checks(offsets(), topics) if offsets else topic_checks(messages(), topics),
+        ),
         "bronze": ([name for name, _ in tables["bronze"]], lambda: table_checks("bronze")),
         "silver": ([name for name, _ in tables["silver"]], lambda: table_checks("silver")),
     }

@@ -16,12 +16,13 @@ def ingest(
     path: str,
     checkpoint: str,
     every: str | None = TRIGGER_INTERVAL,
-    parts: bool = False,
+    parts: bool = True,
     name: str | None = None,
 ) -> StreamingQuery:
     """Append envelope rows to bronze as they are, unparsed (K1).
 
-    ``parts=True`` takes the sink without a log, which a checkpoint reset can not silence (H8).
+    The sink without a log is the default: a batch that runs again replaces its own rows, and a checkpoint
+    reset can not silence it (H8). Read it with ``streaming.read_parts``. ``parts=False`` takes Spark's file sink.
     """
     sink = stream_parts if parts else stream_append
     return sink(messages, path, checkpoint, every=every, name=name)
@@ -32,7 +33,7 @@ def fan_out(
     base: str,
     checkpoints: str,
     every: str | None = TRIGGER_INTERVAL,
-    parts: bool = False,
+    parts: bool = True,
 ) -> dict[str, StreamingQuery]:
     """One independent query, location and checkpoint per feed (S3, T3). Watch them with ``streaming.watch``."""
     return {

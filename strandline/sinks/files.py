@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strandline.operators.dedup import has_no_order
@@ -16,6 +16,8 @@ class WriteReport:
     path: str
     rows: int
     cutoff: str | None
+    rejected: int = 0
+    positions: dict[tuple[str, int], int] = field(default_factory=dict)
 
 
 def batch_overwrite(
@@ -26,6 +28,7 @@ def batch_overwrite(
     partition_by: str | list[str] | None = None,
     cluster_by: str | None = None,
     time_column: str = "timestamp",
+    counted: Column | None = None,
 ) -> WriteReport:
     """Overwrite a Parquet location, and report rows written and the cutoff (K3, K7, T5).
 
@@ -39,6 +42,8 @@ def batch_overwrite(
     ``cluster_by`` is for large tables that are read by ranges of a column: it sorts the rows into files by
     that column, so a filter on it skips most files. After a dedup by hash each file spans the whole range.
     Rows that share one value are spread over several files if they are many.
+
+    ``counted`` tells the rows of the table from rejected ones that are written beside it.
     """
     if max_files and cluster_by:
         raise ValueError("give max_files or cluster_by, not both")
@@ -50,7 +55,8 @@ def batch_overwrite(
     if max_files:
         df = df.repartition(max_files)
     seen = Observation()
-    metrics = [F.count(F.lit(1)).alias("rows")]
+    counted = F.lit(True) if counted is None else counted
+    metrics = [F.count_if(counted).alias("rows"), F.count_if(~counted).alias("rejected")]
     if time_column in df.columns:
         metrics.append(cutoff_metric(time_column))
     writer = df.observe(seen, *metrics).write.mode("overwrite")
@@ -61,4 +67,6 @@ def batch_overwrite(
     writer.parquet(path)
     # A query that turns out to be empty may finish without any task to observe.
     got = seen.get
-    return WriteReport(path, got.get("rows") or 0, cutoff_text(got.get("cutoff_micros")))
+    return WriteReport(
+        path, got.get("rows") or 0, cutoff_text(got.get("cutoff_micros")), got.get("rejected") or 0
+    )

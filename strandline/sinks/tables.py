@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from strandline.sources.files import glob_of
 
 
+def quoted(parts: Sequence[str]) -> str:
+    """A name for use inside SQL text, each part in backticks."""
+    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in parts)
+
+
 def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create a database unless it exists (K6)."""
     if spark.catalog.databaseExists(name):
@@ -23,8 +28,13 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 def register_external(spark: SparkSession, table: str, path: str, depth: int = 0) -> DataFrame:
     """Create or redefine an external table over the Parquet files of a location (K5, Q2).
 
-    The schema comes from the file footers. Dropping the old definition does not touch its files.
+    The schema comes from the file footers. The old definition must be that of an external table, whose files
+    stay as they are. A managed table or a view of that name raises, since dropping it would lose what it holds.
     """
+    if spark.catalog.tableExists(table):
+        kind = spark.catalog.getTable(table).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{table} is not an external table but {kind}")
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:table)", args={"table": table})
     return spark.catalog.createTable(table, path=glob_of(path, depth), source="parquet")
 
@@ -41,9 +51,9 @@ def register_union(spark: SparkSession, name: str, tables: Sequence[str]) -> Dat
     for table in tables:
         if not spark.catalog.tableExists(table):
             raise ValueError(f"no table {table}")
-    columns = ", ".join(f"`{c}`" for c in spark.table(tables[0]).columns)
-    parts = " UNION ALL ".join(f"SELECT {columns} FROM {table}" for table in tables)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {parts}")
+    columns = ", ".join(map(quoted, ([c] for c in spark.table(tables[0]).columns)))
+    parts = " UNION ALL ".join(f"SELECT {columns} FROM {quoted(table.split('.'))}" for table in tables)
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name.split('.'))} AS {parts}")
     return spark.table(name)
 
 

@@ -6,7 +6,6 @@ from strandline.sources.files import (
     read_bronze,
     read_files,
     read_landed_json,
-    spread,
     stream_bronze,
     stream_files,
     stream_landed_json,
@@ -31,7 +30,6 @@ __all__ = [
     "read_topics",
     "reported_offsets",
     "scan_topics",
-    "spread",
     "stream_bronze",
     "stream_files",
     "stream_landed_json",

@@ -101,20 +101,6 @@ def stream_landed_json(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return _landed(spark.readStream.format("text").load(path), topic)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Let all cores work on a batch scan that has fewer splits than there are cores.
-
-    For files that can not be split, such as a Parquet file of one row group, ahead of work that costs far
-    more per row than a shuffle does, such as the JSON parse. A scan with enough splits, and so any large
-    table, passes unchanged.
-    """
-    if df.isStreaming:
-        return df
-    splits = df.rdd.getNumPartitions()
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, 16 * splits)
-    return df.repartition(wanted) if splits < wanted else df
-
-
 INVENTORY = "stage STRING, path STRING, modificationTime TIMESTAMP, length BIGINT"
 
 

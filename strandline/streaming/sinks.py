@@ -42,6 +42,8 @@ def stream_append(
     """Append a stream to a Parquet location with its own checkpoint.
 
     With ``partition_by="topic"`` one stream feeds all topics (T9); read that with ``depth=1``.
+    Read it through the directory, by Spark's sink log, or live with copies: a batch that was written but not
+    committed is written again on restart, and a glob shows both. :func:`stream_parts` has no such trap.
     Do not let a batch job write to the same location: read both halves from places of their own (H9).
     Do not reset the checkpoint and keep the location: the sink log would take the new batches for old
     ones and skip them silently (H8).
@@ -68,7 +70,7 @@ def _parts_schema(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField("run", StringType()), StructField("batch", LongType())])
 
 
-def _days_path(path: str, days: Sequence[str] | None) -> str:
+def days_path(path: str, days: Sequence[str] | None) -> str:
     """The location with its first level narrowed to some days, so that no other day is even listed."""
     return path.rstrip("/") + ("/day=*" if days is None else "/day={" + ",".join(days) + "}")
 
@@ -78,19 +80,20 @@ def read_parts(
     path: str,
     schema: str | StructType,
     days: Sequence[str] | None = None,
-    missing_ok: bool = True,
+    missing_ok: bool = False,
 ) -> DataFrame:
-    """All rows that :func:`stream_parts` wrote, or those of some ingestion days (``yyyy-mm-dd``)."""
-    return read_files(spark, _days_path(path, days), schema, depth=PARTS_DEPTH - 1, missing_ok=missing_ok)
+    """All rows that :func:`stream_parts` wrote, or those of some ingestion days (``yyyy-mm-dd``).
+
+    A location that holds nothing raises, as a mistyped one would; ``missing_ok`` gives an empty table instead.
+    """
+    return read_files(spark, days_path(path, days), schema, depth=PARTS_DEPTH - 1, missing_ok=missing_ok)
 
 
 @dataclass(frozen=True)
 class _Span:
-    """The ingestion days and the time range of a micro-batch."""
+    """The ingestion days of a micro-batch, each with its range of times in microseconds."""
 
-    days: list[str]
-    low: int | None
-    high: int | None
+    days: list[tuple[str, int, int]]
     with_null: bool
 
     @classmethod
@@ -101,46 +104,39 @@ class _Span:
             .agg(F.min(F.unix_micros(column)).alias("low"), F.max(F.unix_micros(column)).alias("high"))
             .collect()
         )
-        dated = [r for r in per_day if r["day"] is not None]
-        return cls(
-            [r["day"] for r in dated],
-            min((r["low"] for r in dated), default=None),
-            max((r["high"] for r in dated), default=None),
-            len(dated) < len(per_day),
-        )
+        dated = sorted((r["day"], r["low"], r["high"]) for r in per_day if r["day"] is not None)
+        return cls(dated, len(dated) < len(per_day))
 
     def path_days(self) -> list[str]:
         # The day of rows without a time also holds the empty part, so there is always something to find.
-        return [*self.days, NO_DAY]
+        return [*(day for day, _, _ in self.days), NO_DAY]
 
     def keep(self, loaded: DataFrame, column: str) -> DataFrame:
-        """The loaded rows that can share a key with the batch. The bounds are literals, so Parquet skips
-        the row groups outside of them."""
+        """The loaded rows that can share a key with the batch: one range for each day, so that a late row
+        does not widen the others. The bounds are literals, so Parquet skips the row groups outside of them."""
         inside = F.lit(False)
-        if self.low is not None:
-            inside = F.col(column).between(
-                F.timestamp_micros(F.lit(self.low)), F.timestamp_micros(F.lit(self.high))
-            )
+        for _, low, high in self.days:
+            inside |= F.col(column).between(F.timestamp_micros(F.lit(low)), F.timestamp_micros(F.lit(high)))
         if self.with_null:
-            inside = inside | F.col(column).isNull()
+            inside |= F.col(column).isNull()
         return loaded.filter(inside)
 
 
 def _write_part(
-    rows: DataFrame, path: str, run: str, batch_id: int, time_column: str, gather_days: bool
+    rows: DataFrame, path: str, run: str, batch_id: int, time_column: str, shuffled: bool, split_by: str | None
 ) -> None:
     part = (
         rows.withColumn("day", utc_day(F.col(time_column)))
         .withColumn("run", F.lit(run))
         .withColumn("batch", F.lit(batch_id))
     )
-    if gather_days:
+    if shuffled:
         # After a shuffle by key every task holds rows of every day. AQE splits a large day by size.
         part = part.hint("rebalance", F.col("day"))
     (
         part.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "run", "batch")
+        .partitionBy(*([split_by] if split_by else []), "day", "run", "batch")
         .parquet(path)
     )
 
@@ -152,11 +148,13 @@ def stream_parts(
     every: str | None = TRIGGER_INTERVAL,
     dedup_keys: Sequence[str] = (),
     new_keys: Sequence[str] = (),
-    loaded: Callable[[SparkSession], DataFrame] | None = None,
+    loaded: Callable[..., DataFrame] | None = None,
     order_by: Sequence[str | Column] = (),
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     time_column: str = "timestamp",
     name: str | None = None,
+    time_bounded: bool | None = None,
+    split_by: str | None = None,
 ) -> StreamingQuery:
     """Write each micro-batch to ``day=<day>/run=<query id>/batch=<n>`` under ``path``.
 
@@ -166,29 +164,35 @@ def stream_parts(
 
     * ``dedup_keys``: one row per key within a micro-batch (T8), by ``order_by`` and then all columns.
     * ``new_keys``: one row per key in the whole table (T11, H1). The batch is made unique, then rows
-      whose key an earlier batch, an earlier run or the ``loaded`` table holds are left out. With
-      ``time_column`` among the keys only the days that the batch touches are listed, and of these and of
-      ``loaded`` only the batch's time range is read; without it the whole table's keys are.
+      whose key an earlier batch, an earlier run or the ``loaded`` table holds are left out. ``loaded`` is called
+      with the session and the days in question, or None for all. With ``time_bounded``, which is the default where
+      ``time_column`` is among the keys, a key says what its row's time is. Then only the days that
+      the batch touches are listed, and of these only the batch's range of times is read; without it the whole
+      table's keys are.
+    * ``split_by``: a column of the rows that becomes the first directory level, as for a side table.
 
     Without keys the rows pass as they are, with no shuffle (T6). ``prepare`` is applied to each micro-batch
     before that; it must keep ``time_column``.
     """
     schema = (prepare(df) if prepare else df).schema
     runs: list[str] = []
+    bounded = time_column in new_keys if time_bounded is None else time_bounded
 
     def earlier_rows(spark: SparkSession, run: str, batch_id: int, span: _Span | None) -> DataFrame:
+        days = span.path_days() if span else None
         rows = read_files(
             spark,
-            _days_path(path, span.path_days() if span else None),
+            days_path(path.rstrip("/") + (f"/{split_by}=*" if split_by else ""), days),
             _parts_schema(schema),
             PARTS_DEPTH - 1,
             missing_ok=True,
             base_path=path,
         ).filter((F.col("run") != run) | (F.col("batch") < batch_id))
-        seen = rows.select(*new_keys)
+        timed = [time_column] if span and time_column not in new_keys else []
+        seen = rows.select(*new_keys, *timed)
         if loaded is not None:
-            seen = seen.unionByName(loaded(spark).select(*new_keys))
-        return span.keep(seen, time_column) if span else seen
+            seen = seen.unionByName(loaded(spark, days).select(*new_keys, *timed))
+        return span.keep(seen, time_column).select(*new_keys) if span else seen
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -196,22 +200,21 @@ def stream_parts(
             runs.append(_run_of(spark, checkpoint))
         run = runs[0]
         rows = prepare(batch) if prepare else batch
-        gather_days = False
         if new_keys:
             # Reads the batch's raw rows once more, which costs little next to preparing them.
-            span = _Span.of(batch, time_column) if time_column in new_keys else None
+            span = _Span.of(batch, time_column) if bounded else None
             rows = keep_new(rows, earlier_rows(spark, run, batch_id, span), new_keys, order_by)
-            # A batch of recent rows lies in one or two days and needs no gathering.
-            gather_days = span is None or len(span.days) > 2
         elif dedup_keys:
             rows = keep_one(rows, dedup_keys, order_by)
-            gather_days = True
-        _write_part(rows, path, run, batch_id, time_column, gather_days)
+        _write_part(rows, path, run, batch_id, time_column, bool(new_keys or dedup_keys), split_by)
 
     if new_keys:
         # An empty part to find, for the first batch of a new table.
         nothing = df.sparkSession.createDataFrame([], schema)
-        nothing.write.mode("ignore").parquet(f"{path.rstrip('/')}/day={NO_DAY}/run=none/batch=-1")
+        first = f"/{split_by}={NO_DAY}" if split_by else ""
+        nothing.drop(*([split_by] if split_by else [])).write.mode("ignore").parquet(
+            f"{path.rstrip('/')}{first}/day={NO_DAY}/run=none/batch=-1"
+        )
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         writer = writer.queryName(name)

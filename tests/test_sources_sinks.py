@@ -32,7 +32,6 @@ from strandline.sources import (
     read_landed_json,
     read_topic,
     reported_offsets,
-    spread,
     topic_options,
 )
 
@@ -112,14 +111,6 @@ def test_inventory_s7_p11(spark, envelope_of, tmp_path):
     assert file_inventory(spark, [("a", f"{tmp_path}/a")], modified_after="2999-01-01T00:00:00").count() == 0
 
 
-def test_spread_only_small_scans(spark, tmp_path):
-    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/one")
-    one = spark.read.parquet(f"{tmp_path}/one")
-    assert "RoundRobinPartitioning" in plan_of(spread(one))
-    many = spark.range(0, 1000, 1, 64)
-    assert spread(many) is many
-
-
 def test_overwrite_reports_what_it_wrote_k3_k7_h11(envelope_of, tmp_path):
     df = envelope_of([("t", s, str(s)) for s in range(50)]).repartition(8)
     report = batch_overwrite(df, f"{tmp_path}/o", max_files=2)

@@ -297,7 +297,7 @@ def backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "backfill")
     reports = {
         "conditions": backfill(conditions_bronze(rows), CONDITIONS, f"{base}/conditions"),
-        "air_quality": backfill(air_quality_bronze(rows), AIR_QUALITY, f"{base}/air_quality", max_files=2),
+        "air_quality": backfill(air_quality_bronze(rows), AIR_QUALITY, f"{base}/air_quality"),
     }
     # One row per feed.
     report = spark.createDataFrame(

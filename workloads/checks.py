@@ -11,11 +11,11 @@ from strandline.contracts import CONDITIONS
 from strandline.functions import instant
 from strandline.operators import health
 from strandline.operators import envelope
-from strandline.plans.backfill import backfill
+from strandline.operators.parse import to_silver
 from strandline.plans.health import check_files
 from strandline.session import scratch_dir
 from strandline.sources import end_offsets, file_inventory
-from workloads.messages import conditions_bronze, events, naive, props_messages
+from workloads.messages import EVENTS_SCHEMA, conditions_bronze, events, logged, naive, props_messages
 from workloads.registry import query
 
 # "refund" is expected but has no messages.
@@ -66,14 +66,12 @@ def topic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT topic, CAST(sum(end_offset) AS BIGINT) AS total
-    FROM (SELECT event_type AS topic, user_id % 4, max(event_id) + 1 AS end_offset FROM events GROUP BY 1, 2)
-    GROUP BY topic
+    SELECT event_type AS topic, count(*) AS total FROM events GROUP BY 1
     """
 )
 def topic_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8 A4"""
-    return health.topic_totals(end_offsets(props_messages(events(spark, sf_dir))))
+    """End offsets of a log whose offsets count the messages of each partition add up to their number"""
+    return health.topic_totals(end_offsets(logged(events(spark, sf_dir))))
 
 
 def _activity_sql(as_of: str, marker: str | None = None) -> str:
@@ -110,48 +108,83 @@ def _fresh_sql(as_of: str) -> str:
 @query(_fresh_sql(END_SQL))
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 A7 P14 C5 F13"""
-    latest = health.latest_by(_log(spark, sf_dir), "topic", "timestamp")
+    latest = health.bounded_latest(_log(spark, sf_dir), "topic", "timestamp", TOPICS, instant(END), 1800)
     return naive(health.freshness(latest, TOPICS, instant(END), group="topic"))
 
 
 def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four stages: activity and topics of the log, then the age of two tables made from it."""
-    log = _log(spark, sf_dir)
-    producers = health.activity_checks(health.recent_activity(log, PRESENT, instant(END), 86_400), 86_400)
-    topics = health.topic_checks(props_messages(events(spark, sf_dir)), PRESENT)
-    bronze = health.freshness_checks(
-        health.freshness(health.latest_by(log, "topic", "timestamp"), TOPICS, instant(END), 86_400, "topic"),
-        "bronze",
-        "topic",
-    )
-    silver = health.freshness_checks(
-        health.freshness(health.latest_by(log, "topic", "timestamp"), PRESENT, instant(END), 86_400, "topic"),
-        "silver",
-        "topic",
-    )
-    return health.all_checks(producers, topics, bronze, silver)
-
+    """All four stages: activity and offsets of the log, then the age of bronze and of a silver table made from it."""
+    log, day = _log(spark, sf_dir), 86_400
+    producers = health.activity_checks(health.recent_activity(log, PRESENT, instant(END), day), day)
+    topics = health.topic_checks(logged(events(spark, sf_dir)), PRESENT)
+    latest = health.bounded_latest(log, "topic", "timestamp", TOPICS, instant(END), day)
+    bronze = health.freshness_checks(health.freshness(latest, TOPICS, instant(END), day, "topic"), "bronze", "topic")
+    # Silver: condition_main is the event type.
+    table = to_silver(conditions_bronze(events(spark, sf_dir)), CONDITIONS)
+    latest = health.bounded_latest(table, "condition_main", "timestamp", PRESENT, instant(END), day)
+    silver = health.freshness(latest, PRESENT, instant(END), day, "condition_main")
+    return health.all_checks(producers, topics, bronze, health.freshness_checks(silver, "silver", "condition_main"))
+
+
+_AGE_SQL = f"""
+    CASE WHEN latest IS NULL THEN 'nothing there'
+         ELSE 'latest ' || strftime(latest, '%Y-%m-%dT%H:%M:%S.%f') || 'Z (' ||
+              CAST(floor(epoch({END_SQL})) - floor(epoch(latest)) AS BIGINT) || ' s old)' END
+"""
 
 _CHECKS_SQL = f"""
     WITH seen AS (
         SELECT event_type AS topic, max(ts) AS latest,
                count(*) FILTER (WHERE ts >= {END_SQL} - INTERVAL 86400 SECOND AND ts <= {END_SQL}) AS n_recent,
-               max(event_id) + 1 AS end_offset
+               count(*) AS total
         FROM events GROUP BY 1),
     checks AS (
-        SELECT 'producers' AS stage, topic AS "check", coalesce(n_recent > 0, FALSE) AS ok
+        SELECT 'producers' AS stage, topic AS "check", coalesce(n_recent > 0, FALSE) AS ok,
+               coalesce(n_recent, 0) || ' records in the last 86400 s' AS detail
         FROM {PRESENT_SQL} LEFT JOIN seen USING (topic)
         UNION ALL
-        SELECT 'kafka', topic, coalesce(end_offset > 0, FALSE) FROM {PRESENT_SQL} LEFT JOIN seen USING (topic)
+        SELECT 'kafka', topic, coalesce(total > 0, FALSE),
+               coalesce('end offsets sum to ' || total, 'no offsets of this topic')
+        FROM {PRESENT_SQL} LEFT JOIN seen USING (topic)
         UNION ALL
-        SELECT 'bronze', topic, coalesce(latest >= {END_SQL} - INTERVAL 86400 SECOND, FALSE)
+        SELECT 'bronze', topic, coalesce(latest >= {END_SQL} - INTERVAL 86400 SECOND, FALSE), {_AGE_SQL}
         FROM {TOPICS_SQL} LEFT JOIN seen USING (topic)
         UNION ALL
-        SELECT 'silver', topic, coalesce(latest >= {END_SQL} - INTERVAL 86400 SECOND, FALSE)
+        SELECT 'silver', topic, coalesce(latest >= {END_SQL} - INTERVAL 86400 SECOND, FALSE), {_AGE_SQL}
         FROM {PRESENT_SQL} LEFT JOIN seen USING (topic))
 """
 
 
+@query(f'{_CHECKS_SQL} SELECT stage, "check", ok, detail FROM checks')
+def stage_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check with what it found, as text"""
+    return _checks(spark, sf_dir)
+
+
+@query(
+    f"""
+    SELECT 'producers' AS stage, topic AS "check", coalesce(n > 0, FALSE) AS ok,
+           coalesce(n, 0) || ' records in the last 1800 s' AS detail
+    FROM {TOPICS_SQL} LEFT JOIN (
+        SELECT event_type AS topic, count(*) AS n FROM events
+        WHERE ts >= {AS_OF_SQL} - INTERVAL 1800 SECOND AND ts <= {AS_OF_SQL} GROUP BY 1) USING (topic)
+    UNION ALL
+    SELECT 'bronze', topic, FALSE, 'unreachable: PATH_NOT_FOUND' FROM {TOPICS_SQL}
+    """
+)
+def source_unreachable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is not there fails its checks, and only those"""
+    log = lambda path: envelope(props_messages(spark.read.schema(EVENTS_SCHEMA).parquet(path)))
+    parts = [
+        health.reachable(
+            spark, stage, TOPICS,
+            lambda path=path: health.activity_checks(health.recent_activity(log(path), TOPICS, instant(AS_OF)), 1800, stage="producers"),
+        )
+        for stage, path in (("producers", f"{sf_dir}/events.parquet"), ("bronze", f"{sf_dir}/no_such_table.parquet"))
+    ]
+    return health.all_checks(*parts)
+
+
 @query(
     f"""
     {_CHECKS_SQL},
@@ -199,27 +232,39 @@ def stage_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ files
 
 
-def _silver_files(spark: SparkSession, sf_dir: str) -> str:
-    path = f"{scratch_dir(spark, 'files')}/conditions"
-    backfill(conditions_bronze(events(spark, sf_dir)), CONDITIONS, path)
+def _event_files(spark: SparkSession, sf_dir: str) -> str:
+    """Events in a directory for each type, with one file that is no Parquet."""
+    path = f"{scratch_dir(spark, 'files')}/events"
+    rows = events(spark, sf_dir)
+    rows.hint("rebalance", F.col("event_type")).write.partitionBy("event_type").parquet(path)
+    rows.groupBy("event_type").count().coalesce(1).write.mode("append").csv(path)
     return path
 
 
-@query(None)
+@query("SELECT event_type, '.parquet' AS suffix, count(*) AS n_rows, TRUE AS all_have_bytes FROM events GROUP BY 1")
 def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names and sizes differ from run to run, so there is no SQL for it"""
-    return naive(file_inventory(spark, [("silver", _silver_files(spark, sf_dir))]))
+    """The files that the listing finds, with the rows that are in them"""
+    path = _event_files(spark, sf_dir)
+    plain = lambda column: F.regexp_replace(column, "^file:/+", "/")
+    listed = file_inventory(spark, [("events", path)]).select(plain("path").alias("path"), "length")
+    held = spark.read.parquet(f"{path}/*/*.parquet").groupBy(plain("_metadata.file_path").alias("path")).count()
+    found = listed.join(held, "path", "left").withColumns(
+        {"event_type": F.regexp_extract("path", "event_type=([^/]*)/", 1), "suffix": F.regexp_extract("path", r"\.[a-z]+$", 0)}
+    )
+    return found.groupBy("event_type", "suffix").agg(
+        F.sum("count").alias("n_rows"), F.bool_and(F.col("length") > 0).alias("all_have_bytes")
+    )
 
 
 @query(
     """
-    SELECT stage, has_files, ok FROM (VALUES ('conditions', TRUE, TRUE), ('nowhere', FALSE, FALSE))
-    AS expected(stage, has_files, ok) WHERE (SELECT count(*) FROM events) > 0
+    SELECT event_type AS stage, TRUE AS has_files, TRUE AS ok FROM events GROUP BY 1
+    UNION ALL SELECT 'refund', FALSE, FALSE
     """
 )
 def file_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table was written just now, the other location does not exist"""
-    path = _silver_files(spark, sf_dir)
+    """Tables that were written just now, and one that does not exist"""
+    path = _event_files(spark, sf_dir)
     as_of = datetime.now(timezone.utc) + timedelta(seconds=5)
-    fresh = check_files(spark, [("conditions", path), ("nowhere", f"{path}-nowhere")], as_of)
+    fresh = check_files(spark, [(t, f"{path}/event_type={t}") for t in TOPICS], as_of)
     return fresh.select("stage", F.col("latest").isNotNull().alias("has_files"), "ok")

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import json_bytes
 from strandline.operators import envelope
-from strandline.sources import spread
 
 EVENTS_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -114,17 +113,26 @@ def messages(rows: DataFrame, value: Column) -> DataFrame:
     )
 
 
+def logged(rows: DataFrame) -> DataFrame:
+    """Events in a log whose offsets count from 0 in each partition, in the order of the events.
+
+    The topics' partitions are windows of their own, as a broker keeps them.
+    """
+    order = Window.partitionBy("topic", "partition").orderBy("timestamp", "offset")
+    return props_messages(rows).withColumn("offset", F.row_number().over(order).cast("bigint") - 1)
+
+
 def props_messages(rows: DataFrame) -> DataFrame:
     """Events with their own ``props`` text as the message."""
     return messages(rows, F.encode("props", "UTF-8"))
 
 
 def conditions_bronze(rows: DataFrame, keep: Sequence[str] = (), **damage: str) -> DataFrame:
-    return envelope(messages(spread(rows), conditions_payload(**damage)), keep)
+    return envelope(messages(rows, conditions_payload(**damage)), keep)
 
 
 def air_quality_bronze(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return envelope(messages(spread(rows), air_quality_payload()), keep)
+    return envelope(messages(rows, air_quality_payload()), keep)
 
 
 def cut_short(bronze: DataFrame, topic: str) -> DataFrame:

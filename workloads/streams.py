@@ -13,7 +13,7 @@ from strandline.plans.incremental import incremental
 from strandline.plans.ingest import fan_out, fan_out_one_stream, ingest
 from strandline.plans.silver import silver_schema, silver_view
 from strandline.session import scratch_dir
-from strandline.sources import read_bronze, spread
+from strandline.sources import read_bronze
 from strandline.streaming import first_within_watermark, read_parts, stream_append, stream_parts, watch
 from workloads import sql
 from workloads.messages import (
@@ -43,7 +43,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "bronze")
     stream = envelope(props_messages(events_stream(spark, sf_dir)))
     finish(ingest(stream, f"{base}/rows", f"{base}/checkpoint", NOW))
-    return naive(read_bronze(spark, f"{base}/rows"))
+    return naive(read_parts(spark, f"{base}/rows", ENVELOPE))
 
 
 @query(sql.select(sql.CONDITIONS, where=f"ts > {sql.CUTOFF_SQL}"))
@@ -99,7 +99,7 @@ def stream_per_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "air_quality": air_quality_bronze(events_stream(spark, sf_dir)),
     }
     finish(*fan_out(streams, f"{base}/bronze", f"{base}/checkpoints", NOW).values())
-    parts = [read_bronze(spark, f"{base}/bronze/{feed}").withColumn("feed", F.lit(feed)) for feed in streams]
+    parts = [read_parts(spark, f"{base}/bronze/{feed}", ENVELOPE).withColumn("feed", F.lit(feed)) for feed in streams]
     rows = parts[0].unionByName(parts[1])
     return naive(
         rows.groupBy("feed").agg(
@@ -131,8 +131,7 @@ def dedup_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{base}/checkpoint",
             NOW,
             dedup_keys=["timestamp"],
-            # The batch is shuffled for its dedup anyway, so the parse may use all cores, too.
-            prepare=lambda rows: to_silver(spread(rows), CONDITIONS),
+            prepare=lambda rows: to_silver(rows, CONDITIONS),
         )
     )
     return naive(read_parts(spark, f"{base}/rows", silver_schema(spark, CONDITIONS)))
