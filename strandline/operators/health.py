@@ -21,8 +21,8 @@ from strandline.sources.topics import end_offsets
 RESULT = "stage STRING, check STRING, ok BOOLEAN, detail STRING"
 OK, FAIL, BLOCKED = "OK", "FAIL", "BLOCKED"
 
-# What Spark says of a source that does not exist or has no connector.
-NOT_THERE = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "DATA_SOURCE_NOT_FOUND", "FAILED_READ_FILE.FILE_NOT_EXIST")
+# What Spark says of a check that is itself wrong, as by a misspelt column.
+FAULTY_CHECK = ("UNRESOLVED_", "DATATYPE_MISMATCH", "FIELD_NOT_FOUND", "AMBIGUOUS_")
 
 
 def listed(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
@@ -104,7 +104,7 @@ def offset_checks(offsets: DataFrame, expected: Sequence[str], stage: str = "kaf
             F.lit(stage).alias("stage"),
             F.col("topic").alias("check"),
             F.coalesce(F.col("total") > 0, F.lit(False)).alias("ok"),
-            F.when(F.col("total").isNull(), "no offsets of this topic")
+            F.when(F.col("total").isNull(), "no such topic")
             .otherwise(F.format_string("end offsets sum to %d", "total"))
             .alias("detail"),
         )
@@ -224,14 +224,17 @@ def reachable(
 ) -> DataFrame:
     """Run checks now; if their source can not be read, one failed row per expected name.
 
-    The result has one row per expected name, so taking it to the driver is safe.
+    The result has one row per expected name, so taking it to the driver is safe. A check that names a column
+    that is not there is wrong itself, and raises.
     """
     try:
         rows = checks().select("stage", "check", "ok", "detail").collect()
     except AnalysisException as error:
-        if error.getCondition() not in NOT_THERE:  # a misspelt column is a fault of the check, not a finding
+        condition = error.getCondition() or ""
+        if condition.startswith(FAULTY_CHECK):
             raise
-        rows = [(stage, name, False, f"unreachable: {error.getCondition()}") for name in expected]
+        reason = str(error).splitlines()[0] if condition.startswith("_LEGACY") or not condition else condition
+        rows = [(stage, name, False, f"unreachable: {reason}") for name in expected]
     except Exception as error:  # whatever keeps the source from being read is a finding, not a crash
         reason = (str(error).splitlines() or [type(error).__name__])[0]
         rows = [(stage, name, False, f"unreachable: {reason}") for name in expected]

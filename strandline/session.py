@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,14 +45,12 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh location that all executors can reach.
+    """A fresh location that all executors can reach, below the session's checkpoint folder.
 
-    It lies under ``spark.checkpoint.dir``. Only a local master may do without that setting; its
-    executors share the driver's disk, so a temporary folder is good enough there.
+    That is ``spark.checkpoint.dir``, or what ``SparkContext.setCheckpointDir`` was given. Without either it raises:
+    a folder of the driver's own would work on one machine and lose files on a cluster.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/strandline/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix=f"strandline-{label}-")
+    return f"{shared.rstrip('/')}/strandline/{label}-{uuid.uuid4().hex}"

@@ -1,13 +1,22 @@
 """Structured Streaming sinks, stream dedup and supervision."""
 
 from strandline.streaming.dedup import first_within_watermark
-from strandline.streaming.sinks import PARTS_DEPTH, read_parts, stream_append, stream_parts
+from strandline.streaming.sinks import (
+    PARTS_DEPTH,
+    compact_parts,
+    read_compacted,
+    read_parts,
+    stream_append,
+    stream_parts,
+)
 from strandline.streaming.supervise import QueryOutcome, watch
 
 __all__ = [
     "PARTS_DEPTH",
     "QueryOutcome",
+    "compact_parts",
     "first_within_watermark",
+    "read_compacted",
     "read_parts",
     "stream_append",
     "stream_parts",

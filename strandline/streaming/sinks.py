@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -19,7 +20,7 @@ from strandline.contracts import TRIGGER_INTERVAL
 from strandline.functions import utc_day
 from strandline.operators.dedup import keep_one
 from strandline.operators.handoff import keep_new
-from strandline.sources.files import read_files
+from strandline.sources.files import is_missing, read_files
 
 # day=<ingestion day>/run=<query id>/batch=<batch id>/
 PARTS_DEPTH = 3
@@ -219,3 +220,62 @@ def stream_parts(
     if name:
         writer = writer.queryName(name)
     return _triggered(writer, every).start()
+
+
+# ------------------------------------------------------------------ compaction
+
+
+def _committed(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch that a query has committed, -1 before the first. Later ones may still be written again."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{checkpoint.rstrip('/')}/commits/[0-9]*")
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return -1
+    last = files.select(F.regexp_extract("path", r"/(\d+)$", 1).cast("bigint").alias("batch")).agg(F.max("batch"))
+    return -1 if (batch := last.first()[0]) is None else batch
+
+
+def _placed(schema: StructType) -> StructType:
+    return StructType([*_parts_schema(schema).fields, StructField("day", StringType())])
+
+
+def compact_parts(
+    spark: SparkSession, path: str, merged: str, schema: StructType, checkpoint: str, days: Sequence[str]
+) -> None:
+    """Merge the many small files that a :func:`stream_parts` query wrote for some days.
+
+    The rows of committed batches go to ``day=<day>/run=<query id>`` below ``merged``, in files sized by AQE, together
+    with their batch number. Nothing is removed: :func:`read_compacted` takes merged batches from there and
+    all others from ``path``, so a batch that runs at the same time, or comes late, is neither lost nor read
+    twice. A day may be merged again; that replaces its directory. Merged parts can be deleted at any later time.
+    """
+    run = _run_of(spark, checkpoint)
+    rows = read_files(spark, days_path(path, days), _placed(schema), PARTS_DEPTH - 1, base_path=path)
+    rows = rows.filter((F.col("run") == run) & (F.col("batch") <= _committed(spark, checkpoint)))
+    (
+        rows.hint("rebalance", F.col("day"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "run")
+        .parquet(merged)
+    )
+
+
+def read_compacted(spark: SparkSession, path: str, merged: str, schema: StructType) -> DataFrame:
+    """All rows of :func:`stream_parts`, merged ones from ``merged``.
+
+    What is merged is found from one number for each merged day and run. It becomes a filter on
+    directories, so merged parts are not opened.
+    """
+    done = read_files(spark, merged, _placed(schema), depth=2, missing_ok=True, base_path=merged)
+    known = done.groupBy("day", "run").agg(F.max("batch").alias("batch")).collect()
+    parts = read_files(spark, days_path(path, None), _placed(schema), PARTS_DEPTH - 1, base_path=path)
+    if known:
+        places = F.array(*(F.lit(f"{r['day'] or NO_DAY}/{r['run']}") for r in known))
+        last = F.map_from_arrays(places, F.array(*(F.lit(r["batch"]) for r in known)))
+        own = F.concat_ws("/", F.coalesce("day", F.lit(NO_DAY)), "run")
+        parts = parts.filter(F.col("batch") > F.coalesce(F.try_element_at(last, own), F.lit(-1)))
+    columns = schema.fieldNames()
+    return done.select(*columns).unionByName(parts.select(*columns))

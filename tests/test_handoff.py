@@ -97,3 +97,22 @@ def test_keep_new_takes_the_first_by_order(spark):
     rows = spark.createDataFrame([(1, 5), (1, 2), (2, 9)], "k INT, v INT")
     loaded = spark.createDataFrame([(2,), (2,)], "k INT")
     assert [tuple(r) for r in keep_new(rows, loaded, ["k"], ["v"]).collect()] == [(1, 2)]
+
+
+# ------------------------------------------------------------------ by place in the log
+
+
+def log_rows(spark, rows):
+    return spark.createDataFrame(rows, "topic STRING, partition INT, offset BIGINT")
+
+
+def test_positions_cut_each_partition_by_its_own_offset(spark):
+    from strandline.operators.handoff import after_positions, positions_of
+
+    log = log_rows(spark, [("a", 0, 1), ("a", 0, 5), ("a", 1, 9), ("b", 0, 2)])
+    assert positions_of(log) == {("a", 0): 5, ("a", 1): 9, ("b", 0): 2}
+    later = log_rows(spark, [("a", 0, 5), ("a", 0, 6), ("a", 1, 8), ("b", 0, 3), ("c", 0, 0), ("b", 1, 1)])
+    got = after_positions(later, positions_of(log))
+    assert sorted(map(tuple, got.collect())) == [("a", 0, 6), ("b", 0, 3), ("b", 1, 1), ("c", 0, 0)]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert after_positions(later, {}) is later

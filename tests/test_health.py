@@ -132,3 +132,32 @@ def test_file_freshness_by_age_of_files_c5(spark, tmp_path):
     assert {n: fresh[n]["ok"] for n in names} == {"new": True, "old": False, "edge": True, "empty": False, "none": False}
     assert {n: fresh[n]["age_seconds"] for n in names} == {"new": 60, "old": 7200, "edge": 1800, "empty": None, "none": None}
     assert by(check_files(spark, [("new", f"{tmp_path}/new")], at(0) + timedelta(days=1)), "stage")["new"]["ok"] is False
+
+
+def test_a_misspelt_column_is_no_finding(spark):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException, match="UNRESOLVED_COLUMN"):
+        health.reachable(spark, "s", ["x"], lambda: spark.range(1).select("no_such_column"))
+
+
+def test_offsets_of_a_topic_whose_messages_are_gone(spark):
+    offsets = spark.createDataFrame([("a", 0, 6), ("b", 0, 0)], "topic STRING, partition INT, end_offset BIGINT")
+    rows = by(health.offset_checks(offsets, ["a", "b", "c"]), "check")
+    assert [(rows[t]["ok"], rows[t]["detail"]) for t in "abc"] == [
+        (True, "end offsets sum to 6"), (False, "end offsets sum to 0"), (False, "no such topic")]
+
+
+def test_old_rows_are_read_for_silent_groups_only(spark, envelope_of):
+    from conftest import at
+
+    log = envelope_of([("a", 0, ""), ("a", 100, ""), ("b", -5_000, ""), ("z", 1, "")])
+    latest = health.bounded_latest(log, "topic", "timestamp", ["a", "b", "c"], F.lit(at(200)), 1_000)
+    assert {r["topic"]: r["latest"].timestamp() for r in latest.collect()} == {"a": at(100).timestamp(), "b": at(-5_000).timestamp()}
+
+
+def test_lists_are_literal_rows_of_the_plan(spark):
+    table = health.listed(spark, "name STRING, n BIGINT", [("a'b", 1), (None, None), ("c", 2**40)])
+    assert sorted(map(tuple, table.collect()), key=repr) == sorted([("a'b", 1), (None, None), ("c", 2**40)], key=repr)
+    assert "LocalTableScan" in table._jdf.queryExecution().executedPlan().toString()
+    assert health.listed(spark, "name STRING", []).count() == 0

@@ -84,7 +84,7 @@ def test_late_event_time_is_accepted(spark, land, tmp_path):
     land(("t", 100, message("old reading", -1_000_000)), ("t", 1, message("before")))
     run(incremental(stream_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/o", f"{tmp_path}/cp",
                     cutoff=at(50).isoformat(), every=None))
-    view = silver_view(spark, CONDITIONS, f"{tmp_path}/none", f"{tmp_path}/o")
+    view = silver_view(spark, CONDITIONS, f"{tmp_path}/none", f"{tmp_path}/o", missing_ok=True)
     assert names(view) == ["old reading"]
 
 
@@ -114,7 +114,7 @@ def test_parsed_row_beats_malformed_in_a_batch_h5(spark, land, tmp_path):
     land(("t", 1, "junk"), ("t", 1, message("good")), ("t", 2, "junk only"))
     run(incremental(stream_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/o", f"{tmp_path}/cp", every=None,
                     new_keys=["timestamp"]))
-    assert names(silver_view(spark, CONDITIONS, f"{tmp_path}/none", f"{tmp_path}/o")) == [None, "good"]
+    assert names(silver_view(spark, CONDITIONS, f"{tmp_path}/none", f"{tmp_path}/o", missing_ok=True)) == [None, "good"]
 
 
 def test_file_sink_loses_rows_after_a_reset_and_parts_do_not_h8(spark, land, tmp_path):
@@ -145,8 +145,9 @@ def test_loaded_rows_are_read_by_day_and_time_range(spark, land, tmp_path):
     run(stream_parts(stream_bronze(spark, land.path), f"{tmp_path}/o", f"{tmp_path}/cp", every=None))
     batch = read_bronze(spark, land.path).filter(F.col("json_str").isin("1.1", "1.2", "3.0"))
     span = _Span.of(batch, "timestamp")
-    assert sorted(span.days) == ["2023-11-15", "2023-11-17"] and not span.with_null
-    loaded = span.keep(read_parts(spark, f"{tmp_path}/o", ENVELOPE, days=span.days), "timestamp")
+    days = [day for day, _, _ in span.days]
+    assert days == ["2023-11-15", "2023-11-17"] and not span.with_null
+    loaded = span.keep(read_parts(spark, f"{tmp_path}/o", ENVELOPE, days=days), "timestamp")
     assert texts(loaded) == ["1.1", "1.2", "3.0"]  # nothing of day 2, and of days 1 and 3 only the range
     assert "GreaterThanOrEqual(timestamp" in plan_of(loaded)
 
@@ -221,8 +222,8 @@ def test_one_stream_by_topic_and_one_stream_each_s3_t9(spark, land, tmp_path):
     streams = {t: stream_bronze(spark, land.path).filter(F.col("topic") == t) for t in ("a", "b")}
     outcomes = watch(fan_out(streams, f"{tmp_path}/each", f"{tmp_path}/cps", every=None), timeout=120)
     assert all(o.ok for o in outcomes)
-    assert texts(read_bronze(spark, f"{tmp_path}/each/a")) == ["1", "3"]
-    assert texts(read_bronze(spark, f"{tmp_path}/each/b")) == ["2"]
+    assert texts(read_parts(spark, f"{tmp_path}/each/a", ENVELOPE)) == ["1", "3"]
+    assert texts(read_parts(spark, f"{tmp_path}/each/b", ENVELOPE)) == ["2"]
 
 
 def test_a_failing_query_leaves_its_sibling_running_t4_h12(spark, land, tmp_path):
@@ -284,3 +285,79 @@ def test_interval_trigger_keeps_running_t1(spark, land, tmp_path):
 def test_default_interval_t1():
     for start in (stream_append, stream_parts, ingest, incremental, fan_out):
         assert inspect.signature(start).parameters["every"].default == "5 minutes"
+
+
+def test_a_mistyped_backfill_raises(spark, land, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    land(("t", 1, '{"k":1}'))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        incremental(
+            stream_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/out", f"{tmp_path}/cp", None,
+            every=None, new_keys=["timestamp"], backfill_path=f"{tmp_path}/nowhere",
+        )
+
+
+def test_a_batch_whose_commit_was_lost_gives_no_copies(spark, land, tmp_path):
+    import os
+
+    out, cp = f"{tmp_path}/out", f"{tmp_path}/cp"
+    land(*[("t", s, str(s)) for s in range(10)])
+    run(ingest(stream_bronze(spark, land.path), out, cp, None))
+    for name in ("commits/0", "commits/.0.crc"):
+        if os.path.exists(f"{cp}/{name}"):
+            os.remove(f"{cp}/{name}")
+    run(ingest(stream_bronze(spark, land.path), out, cp, None))
+    assert texts(read_parts(spark, out, ENVELOPE)) == sorted(str(s) for s in range(10))
+
+
+def test_a_late_row_reads_its_own_day_only(spark, land, tmp_path, monkeypatch):
+    from strandline.plans.silver import silver_schema
+    from strandline.streaming import sinks
+
+    day, year = 86_400, 365 * 86_400
+    land(*[("t", k * day, f'{{"cod":{k}}}') for k in range(-10, 3)], ("t", -year, '{"cod":99}'))
+    backfill(read_bronze(spark, land.path), CONDITIONS, f"{tmp_path}/back", by_day=True)
+    opened = []
+    read = sinks.read_files
+    monkeypatch.setitem(incremental.__globals__, "read_files", lambda *a, **k: opened.append(a[1]) or read(*a, **k))
+    land(("t", 2 * day + 5, '{"cod":1}'), ("t", -year + 5, '{"cod":2}'), ("t", 2 * day, '{"cod":2}'))
+    run(
+        incremental(
+            stream_bronze(spark, land.path, max_files_per_trigger=100), CONDITIONS, f"{tmp_path}/out", f"{tmp_path}/cp",
+            every=None, new_keys=["timestamp"], backfill_path=f"{tmp_path}/back", backfill_by_day=True,
+        )
+    )
+    rows = read_parts(spark, f"{tmp_path}/out", silver_schema(spark, CONDITIONS)).collect()
+    assert sorted(r["response_code"] for r in rows) == [1, 2]
+    span = sinks._Span.of(spark.createDataFrame([(at(0),), (at(-year),)], "timestamp TIMESTAMP"), "timestamp")
+    assert len(span.path_days()) == 3  # two days, and that of rows without a time
+    assert all("day={" in path for path in opened[1:])
+
+
+def test_merged_parts_are_the_same_rows_in_fewer_files(spark, land, tmp_path):
+    import glob
+
+    from strandline.functions import utc_day
+    from strandline.streaming import compact_parts, read_compacted
+
+    out, cp, merged = f"{tmp_path}/out", f"{tmp_path}/cp", f"{tmp_path}/merged"
+    schema = spark.createDataFrame([], ENVELOPE).schema
+
+    def more(*values):
+        for s in values:
+            land(("t", s, str(s)))
+            run(ingest(stream_bronze(spark, land.path), out, cp, None))
+
+    more(1, 2, 3, 4)
+    assert texts(read_compacted(spark, out, merged, schema)) == ["1", "2", "3", "4"]  # nothing merged yet
+    days = [r[0] for r in read_parts(spark, out, ENVELOPE).select(utc_day("timestamp")).distinct().collect()]
+    for _ in range(2):  # merging again replaces
+        compact_parts(spark, out, merged, schema, cp, days)
+        assert texts(read_compacted(spark, out, merged, schema)) == ["1", "2", "3", "4"]
+    assert len(glob.glob(f"{merged}/*/*/*.parquet")) < len(glob.glob(f"{out}/*/*/*/*.parquet"))
+    assert len(read_compacted(spark, out, merged, schema).inputFiles()) <= 8
+    more(5)
+    assert texts(read_compacted(spark, out, merged, schema)) == ["1", "2", "3", "4", "5"]
+    compact_parts(spark, out, merged, schema, cp, days)
+    assert texts(read_compacted(spark, out, merged, schema)) == ["1", "2", "3", "4", "5"]

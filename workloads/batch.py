@@ -64,7 +64,7 @@ def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql.select(sql.CONDITIONS))
 def silver_shape_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P3 P5 P6 P7 P9 F4"""
+    """P3 P5 P6 P7 P9 F4 F7"""
     return naive(to_silver(conditions_bronze(events(spark, sf_dir)), CONDITIONS))
 
 
@@ -174,7 +174,7 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql.one_per(sql.CONDITIONS, ["timestamp"]))
 def dedup_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The backfill's rows, parsed before the dedup"""
+    """The backfill's rows, parsed before the dedup"""
     return naive(silver_rows(replayed(conditions_bronze(events(spark, sf_dir))), CONDITIONS))
 
 
@@ -342,23 +342,37 @@ def landed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ tables and SQL
 
 
-def _silver_tables(spark: SparkSession, sf_dir: str) -> str:
-    """Both silver tables in files and registered, in a namespace of this run's own."""
+# Namespaces that this process has made. Those of earlier runs go when a new one is made; their files stay.
+_NAMESPACES: list[str] = []
+
+
+def new_namespace(spark: SparkSession, base: str) -> str:
+    """A namespace of this run's own, below ``base``."""
+    while _NAMESPACES:
+        spark.sql("DROP DATABASE IF EXISTS IDENTIFIER(:name) CASCADE", args={"name": _NAMESPACES.pop()})
+    name = "strandline_" + base.rsplit("-", 1)[-1].lower()
+    ensure_namespace(spark, name, f"{base}/namespace")
+    _NAMESPACES.append(name)
+    return name
+
+
+def _silver_tables(spark: SparkSession, sf_dir: str, *feeds: str) -> str:
+    """Silver tables in files and registered, in a namespace of this run's own."""
     rows = events(spark, sf_dir)
     base = scratch_dir(spark, "silver")
-    name = "silver_" + base.rsplit("-", 1)[-1].lower()
-    ensure_namespace(spark, name, f"{base}/namespace")
-    backfill(conditions_bronze(rows), CONDITIONS, f"{base}/conditions")
-    backfill(air_quality_bronze(rows), AIR_QUALITY, f"{base}/air_quality")
-    register_external(spark, f"{name}.conditions", f"{base}/conditions")
-    register_external(spark, f"{name}.air_quality", f"{base}/air_quality")
+    name = new_namespace(spark, base)
+    bronze = {"conditions": (conditions_bronze, CONDITIONS), "air_quality": (air_quality_bronze, AIR_QUALITY)}
+    for feed in feeds:
+        made, contract = bronze[feed]
+        backfill(made(rows), contract, f"{base}/{feed}")
+        register_external(spark, f"{name}.{feed}", f"{base}/{feed}")
     return name
 
 
 @query(f"{sql.one_per(sql.CONDITIONS, ['timestamp'])} ORDER BY \"timestamp\" LIMIT 10")
 def external_table_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 K6 Q1 L1"""
-    name = _silver_tables(spark, sf_dir)
+    name = _silver_tables(spark, sf_dir, "conditions")
     return naive(run_sql(spark, f"SELECT * FROM {name}.conditions ORDER BY timestamp LIMIT 10"))
 
 
@@ -372,7 +386,7 @@ def external_table_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def external_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1: free SQL over both tables"""
-    name = _silver_tables(spark, sf_dir)
+    name = _silver_tables(spark, sf_dir, "conditions", "air_quality")
     return run_sql(
         spark,
         f"""
@@ -394,8 +408,7 @@ def external_table_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One view over the two silver halves, each an external table of its own"""
     bronze = conditions_bronze(events(spark, sf_dir), keep=["partition", "offset"])
     base = scratch_dir(spark, "halves")
-    name = "halves_" + base.rsplit("-", 1)[-1].lower()
-    ensure_namespace(spark, name, f"{base}/namespace")
+    name = new_namespace(spark, base)
     backfill(up_to(bronze, sql.CUTOFF), CONDITIONS, f"{base}/first", keys=LOG_KEY, cluster=True)
     batch_overwrite(to_silver(after(bronze, sql.CUTOFF), CONDITIONS), f"{base}/second")
     for half in ("first", "second"):

@@ -86,7 +86,7 @@ def _activity_sql(as_of: str, marker: str | None = None) -> str:
 
 @query(_activity_sql(AS_OF_SQL))
 def recent_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S9 A6 C3 F9 F10"""
+    """S9 A6 C3 F8 F9 F10"""
     return health.recent_activity(_log(spark, sf_dir), TOPICS, instant(AS_OF))
 
 
@@ -144,7 +144,7 @@ _CHECKS_SQL = f"""
         FROM {PRESENT_SQL} LEFT JOIN seen USING (topic)
         UNION ALL
         SELECT 'kafka', topic, coalesce(total > 0, FALSE),
-               coalesce('end offsets sum to ' || total, 'no offsets of this topic')
+               coalesce('end offsets sum to ' || total, 'no such topic')
         FROM {PRESENT_SQL} LEFT JOIN seen USING (topic)
         UNION ALL
         SELECT 'bronze', topic, coalesce(latest >= {END_SQL} - INTERVAL 86400 SECOND, FALSE), {_AGE_SQL}

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.contracts import CONDITIONS, ENVELOPE
-from strandline.operators import envelope, keep_new, to_silver, up_to
+from strandline.functions import utc_day
+from strandline.operators import after, envelope, keep_new, to_silver, up_to
 from strandline.operators.parse import LOG_KEY, missing_values
 from strandline.plans.backfill import backfill, silver_rows
 from strandline.plans.incremental import incremental
+from strandline.plans.ingest import ingest
 from strandline.plans.silver import silver_schema, silver_view
 from strandline.session import scratch_dir
-from strandline.sinks import ensure_namespace, register_external, run_sql
-from strandline.sources import read_files
-from strandline.streaming import read_parts
+from strandline.sinks import register_external, run_sql
+from strandline.sources import read_files, stream_files
+from strandline.streaming import compact_parts, read_compacted, read_parts
 from workloads import sql
-from workloads.batch import PROPS
+from workloads.batch import PROPS, new_namespace
 from workloads.messages import conditions_bronze, cut_short, events, events_stream, naive, props_messages
 from workloads.registry import query
 from workloads.streams import NOW, finish
@@ -187,11 +189,27 @@ def stream_quarantine_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_redefined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 Q2: a table that is registered again, over other files with other columns"""
     base = scratch_dir(spark, "redefined")
-    name = "redefined_" + base.rsplit("-", 1)[-1].lower()
+    name = new_namespace(spark, base)
     rows = events(spark, sf_dir)
-    ensure_namespace(spark, name, f"{base}/namespace")
     rows.filter("event_type = 'click'").select("event_id").write.parquet(f"{base}/first")
     rows.filter("event_type = 'view'").select("event_id", "value").write.parquet(f"{base}/second")
     for version in ("first", "second"):
         register_external(spark, f"{name}.seen", f"{base}/{version}")
     return run_sql(spark, f"SELECT event_id, value FROM {name}.seen")
+
+
+@query(sql.select(sql.ENVELOPE))
+def compacted_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small files of finished days, merged while the stream goes on"""
+    base = scratch_dir(spark, "compact")
+    bronze = envelope(props_messages(events(spark, sf_dir)))
+    schema = bronze.schema
+    earlier, later = up_to(bronze, sql.CUTOFF), after(bronze, sql.CUTOFF)
+    for half in (earlier, later):
+        half.repartitionByRange(4, "timestamp").write.mode("append").parquet(f"{base}/landed")
+        source = stream_files(spark, f"{base}/landed", schema, max_files_per_trigger=1)
+        finish(ingest(source, f"{base}/rows", f"{base}/checkpoint", NOW))
+        if half is earlier:
+            days = [r["day"] for r in bronze.select(utc_day(F.col("timestamp")).alias("day")).distinct().collect()]
+            compact_parts(spark, f"{base}/rows", f"{base}/merged", schema, f"{base}/checkpoint", days)
+    return naive(read_compacted(spark, f"{base}/rows", f"{base}/merged", schema))

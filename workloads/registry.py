@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from functools import wraps
 
@@ -15,13 +16,20 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+def with_folder(spark: SparkSession) -> SparkSession:
+    """The session, with a checkpoint folder of its own if nobody has set one, as on a developer's machine."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandline-"))
+    return spark
+
+
 def query(sql: str | None) -> Callable[[Query], Query]:
     """Register a query under its function name, with the SQL that gives the same rows."""
 
     def register(function: Query) -> Query:
         @wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(pin_utc(spark), sf_dir.rstrip("/"))
+            return function(with_folder(pin_utc(spark)), sf_dir.rstrip("/"))
 
         QUERIES[function.__name__] = run
         if sql is not None:
