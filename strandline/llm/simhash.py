@@ -27,6 +27,8 @@ HASH_SEED = 42
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 # Members of one BK-tree. A larger shard is split, and its members are searched in all of its trees.
 TREE_MEMBERS = 2_000
+# Codes that one task searches in one tree, so that the rows it holds are bounded whatever the shard's size.
+BLOCK_QUERIES = 50_000
 # Rows of whole shards that one step of a task works on, and node visits it holds at one time.
 STEP_ROWS = 200_000
 STEP_VISITS = 1_000_000
@@ -126,16 +128,17 @@ def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 
 def spanning_links(rows: pd.DataFrame, radius: int = RADIUS) -> pd.DataFrame:
-    """Links that connect what the trees of ``rows`` (``shard``, ``part``, ``code``, ``member``) connect.
+    """Links that connect what the trees of ``rows`` connect: ``shard``, ``part``, ``block``, ``code``, and whether it
+    is a ``member`` of that tree and is searched in it (``query``).
 
     Each code is linked with the first one of its set at most once, so a dense shard of n codes gives n links
     and not n² pairs.
     """
     codes = rows["code"].to_numpy().view(np.uint64)
-    tree = pd.factorize(pd.MultiIndex.from_frame(rows[["shard", "part"]]))[0]
+    tree = pd.factorize(pd.MultiIndex.from_frame(rows[["shard", "part", "block"]]))[0]
     member = np.flatnonzero(rows["member"].to_numpy())
     sizes = np.bincount(tree[member], minlength=tree.max() + 1)
-    queries = np.flatnonzero(np.bincount(tree)[tree] > 1)
+    queries = np.flatnonzero((np.bincount(tree)[tree] > 1) & rows["query"].to_numpy())
     queries = queries[sizes[tree[queries]] > 0]
     if not len(queries):
         return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
@@ -160,23 +163,35 @@ def _shards(code: Column) -> Column:
     return F.array(*(F.lit(k).cast("bigint") * (1 << 22) + bits[i] * (1 << 11) + bits[j] for k, (i, j) in pairs))
 
 
-def links(codes: DataFrame, tree_members: int = TREE_MEMBERS) -> DataFrame:
+def links(
+    codes: DataFrame, tree_members: int = TREE_MEMBERS, block_queries: int = BLOCK_QUERIES
+) -> DataFrame:
     """Links ``a``, ``b`` that connect the different ``code`` values exactly as all pairs within ``RADIUS`` would.
 
     A shard above ``tree_members`` is split into parts with a tree each. Its codes are members of one part
-    and are searched in that and all later ones, so every pair is still compared, by several tasks.
+    and are searched in that and all later ones, so every pair is still compared, by several tasks. If they are more
+    than ``block_queries`` they come in blocks, each with a copy of the tree's members.
     """
     keyed = codes.select("code", F.explode(_shards(F.col("code"))).alias("shard"))
     large = keyed.groupBy("shard").count().where(F.col("count") > tree_members)
-    large = large.select("shard", F.ceil(F.col("count") / tree_members).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("code"), F.col("parts")).cast("int")
+    large = large.select(
+        "shard",
+        F.ceil(F.col("count") / tree_members).cast("int").alias("parts"),
+        F.ceil(F.col("count") / block_queries).cast("int").alias("blocks"),
+    )
+    place = lambda many, seed: F.pmod(F.xxhash64("code", F.lit(seed)), many).cast("int")
+    copies = "transform(sequence(0, blocks - 1), b -> struct(own AS part, b AS block, true AS member, b = mine AS query))"
+    others = (
+        "transform(filter(sequence(0, parts - 1), p -> p > own), "
+        "p -> struct(p AS part, mine AS block, false AS member, true AS query))"
+    )
     dealt = (
         keyed.join(large, "shard", "left")
-        .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .select("shard", "code", own.alias("own"), F.explode(F.sequence(own, F.col("parts") - 1)).alias("part"))
-        .select("shard", "part", "code", (F.col("own") == F.col("part")).alias("member"))
-        .repartition("shard", "part")
-        .sortWithinPartitions("shard", "part")
+        .withColumns({"parts": F.coalesce("parts", F.lit(1)), "blocks": F.coalesce("blocks", F.lit(1))})
+        .withColumns({"own": place(F.col("parts"), 0), "mine": place(F.col("blocks"), 1)})
+        .select("shard", "code", F.expr(f"inline(concat({copies}, {others}))"))
+        .repartition("shard", "part", "block")
+        .sortWithinPartitions("shard", "part", "block")
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,7 +200,8 @@ def links(codes: DataFrame, tree_members: int = TREE_MEMBERS) -> DataFrame:
             held.append(batch)
             if sum(map(len, held)) >= STEP_ROWS:
                 rows = pd.concat(held, ignore_index=True)
-                last = (rows["shard"] == rows["shard"].iat[-1]) & (rows["part"] == rows["part"].iat[-1])
+                key = rows[["shard", "part", "block"]]
+                last = (key == key.iloc[-1]).all(axis=1)
                 if not last.all():
                     yield spanning_links(rows[~last].reset_index(drop=True))
                     held = [rows[last]]

@@ -66,10 +66,10 @@ def clusters(seed: int, n: int) -> list[int]:
     return out + [int(x) for x in rng.integers(0, 2**63, n)]
 
 
-def linked(spark, codes: list[int], tree_members: int) -> dict[int, int]:
+def linked(spark, codes: list[int], *sizes: int) -> dict[int, int]:
     signed = sorted({c - 2**64 if c >= 2**63 else c for c in codes})
     table = spark.createDataFrame([(c,) for c in signed], "code long")
-    found = simhash.components(simhash.links(table, tree_members))
+    found = simhash.components(simhash.links(table, *sizes))
     rows = found.collect()
     assert len({r["node"] for r in rows}) == len(rows)
     return {c: next((r["root"] for r in rows if r["node"] == c), c) for c in signed}
@@ -81,9 +81,9 @@ def test_components_equal_those_of_all_pairs(spark):
     classes = {}
     for k, c in enumerate(dict.fromkeys(codes)):
         classes.setdefault(want[k], set()).add(c - 2**64 if c >= 2**63 else c)
-    for tree_members in (2_000, 7):  # 7: shards are split into parts
+    for sizes in ((2_000, 50_000), (7, 50_000), (7, 11)):  # small: shards are split into parts, then into blocks
         by_root = {}
-        for c, root in linked(spark, codes, tree_members).items():
+        for c, root in linked(spark, codes, *sizes).items():
             by_root.setdefault(root, set()).add(c)
         assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, classes.values()))
 
@@ -98,7 +98,7 @@ def test_components_of_chains_and_stars(spark):
 
 def test_spanning_links_stay_few():
     codes = np.arange(1_500, dtype=np.int64)  # within few bits of each other
-    rows = pd.DataFrame({"shard": 1, "part": 0, "code": codes, "member": True})
+    rows = pd.DataFrame({"shard": 1, "part": 0, "block": 0, "code": codes, "member": True, "query": True})
     assert len(simhash.spanning_links(rows)) == 1_499
 
 
