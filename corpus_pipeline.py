@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strandline.llm import decontaminate, exact, simhash, toxicity
-from strandline.llm.common import table
+from strandline.llm.common import table, with_folder
 from strandline.llm.queries import encoded
 from strandline.session import scratch_dir
 
@@ -50,7 +50,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``, each to what the one before it wrote."""
     docs = table(spark, sf_dir, "documents")
-    place = scratch_dir(spark, "pipeline")
+    place = scratch_dir(with_folder(spark), "pipeline")
     for number, (name, stage) in enumerate(STAGES):
         out = f"{place}/{number}_{name}"
         stage(spark, docs, sf_dir).write.parquet(out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -84,17 +85,23 @@ ARROW_TYPES = {
 }
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from those files.
+def with_folder(spark: SparkSession) -> SparkSession:
+    """``spark`` with a checkpoint folder: the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in tests, a
-    temporary folder takes its place.
+    Only where that is unset and all executors are in this process, as in tests, a temporary folder takes its place.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-        )
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return spark
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from those files."""
+    with_folder(df.sparkSession)
     return df.checkpoint()
 
 
