@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable
 from functools import wraps
@@ -17,8 +18,9 @@ SQL: dict[str, str] = {}
 
 
 def with_folder(spark: SparkSession) -> SparkSession:
-    """The session, with a checkpoint folder of its own if nobody has set one, as on a developer's machine."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+    """The session, with a checkpoint folder of its own if nobody has set one and all executors are in this process."""
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    if unset and re.match(r"local(\[|$)", spark.sparkContext.master):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandline-"))
     return spark
 
