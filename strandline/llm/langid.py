@@ -166,20 +166,29 @@ def _gram_tables(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return shares, backoffs
 
 
-def _arrays(rows: list, value: str, languages: list[str], order: int, missing: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the n-grams of ``rows`` with a column of ``value`` for each language."""
-    rows = [row for row in rows if row["k"] == order]
-    if not rows:
+def _columns(table: DataFrame) -> list[tuple[list, list, list]]:
+    """``lang``, ``gram`` and the value of each row of each order, as plain columns."""
+    lang, order, gram, value = table.toArrow().to_pydict().values()
+    out: list[tuple[list, list, list]] = [([], [], []) for _ in range(ORDER)]
+    for k, *row in zip(order, lang, gram, value, strict=True):
+        for column, part in zip(out[k - 1], row, strict=True):
+            column.append(part)
+    return out
+
+
+def _arrays(rows: tuple[list, list, list], languages: list[str], missing: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the n-grams of one order with a column of values for each language."""
+    langs, grams, values = rows
+    if not grams:
         return np.empty(0, np.uint64), np.empty((0, len(languages)))
-    grams = sorted({row["gram"] for row in rows})
-    number = {gram: k for k, gram in enumerate(grams)}
+    different = sorted(set(grams))
+    number = {gram: k for k, gram in enumerate(different)}
     column = {language: k for k, language in enumerate(languages)}
-    table = np.full((len(grams), len(languages)), missing)
-    for row in rows:
-        table[number[row["gram"]], column[row["lang"]]] = row[value]
-    hashes, place, _ = _gram_hashes(grams)
-    last = np.array([len(gram) for gram in grams])
-    keys = hashes[last[0] - 1][np.cumsum(last) - 1] if last[0] else np.empty(0, np.uint64)
+    table = np.full((len(different), len(languages)), missing)
+    table[list(map(number.__getitem__, grams)), list(map(column.__getitem__, langs))] = values
+    hashes, _, _ = _gram_hashes(different)
+    size = len(different[0])
+    keys = hashes[size - 1][np.arange(1, len(different) + 1) * size - 1]
     at = np.argsort(keys, kind="stable")
     return keys[at], table[at]
 
@@ -206,13 +215,13 @@ def fit(docs: DataFrame) -> Models:
 
     counted = map_texts(known.where("NOT apart").select("lang", "text"), "lang string, word string, n long", count)
     shares, backoffs = _gram_tables(cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))))
-    shares, backoffs = shares.collect(), backoffs.collect()
-    languages = sorted({row["lang"] for row in shares})
+    shares, backoffs = _columns(shares), _columns(backoffs)
+    languages = sorted(set(shares[0][0]))
     if not languages:
         return Models([], [], [], [], [], 1.0)
-    grams = [_arrays(shares, "share", languages, k, 0.0) for k in range(1, ORDER + 1)]
-    contexts = [_arrays(backoffs, "backoff", languages, k, 1.0) for k in range(2, ORDER + 1)]
-    lowest = {row["lang"]: row["backoff"] for row in backoffs if row["k"] == 1}
+    grams = [_arrays(rows, languages, 0.0) for rows in shares]
+    contexts = [_arrays(rows, languages, 1.0) for rows in backoffs[1:]]
+    lowest = dict(zip(backoffs[0][0], backoffs[0][2], strict=True))
     models = Models(
         languages,
         [keys for keys, _ in grams],
