@@ -51,6 +51,13 @@ def test_time_filters_reach_the_scan(spark, name):
     assert "GreaterThan" in plan_of(df).split("PushedFilters")[1].split("ReadSchema")[0]
 
 
+def test_dedup_has_one_shuffle_and_it_is_by_key(spark):
+    from conftest import plan_of
+
+    plan = plan_of(entry.queries()["dedup_silver"](spark, SF_DIR))
+    assert "RoundRobinPartitioning" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_every_query_has_sql():
     # Those of the training-data subpackage have tests of their own where SQL can't express them.
     lacking = {n for n in set(entry.queries()) - set(entry.oracle_sql()) if not re.match(r"op\d+_|pipeline$", n)}
