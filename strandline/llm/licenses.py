@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 import ahocorasick
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from strandline.llm.common import map_texts, text_of
 
