@@ -217,17 +217,18 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` for every node of ``edges`` (``a``, ``b``); roots are the same within a component.
 
     Stars are made in turns: every node hands its larger neighbours, then its smaller ones, to the smallest
-    neighbour. Each turn is one aggregation and one join, both on a node; edges that repeat go before the next
-    shuffle. A turn that changes nothing is the last.
+    neighbour. Edges that repeat go before the next shuffle. The smallest neighbours are written before they are joined
+    with the edges: so both sides of the join have a shuffle of their own, and AQE can split the edges of a
+    node that is the centre of a large star. A turn that changes nothing is the last.
     """
     edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        least = cut(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")))
         grown = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
         grown = cut(grown.where("a <> b").distinct())
-        down = grown.groupBy("b").agg(F.min("a").alias("m"))
+        down = cut(grown.groupBy("b").agg(F.min("a").alias("m")))
         edges = grown.join(down, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y"))
         edges = cut(edges.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
