@@ -117,11 +117,14 @@ def join_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return rows.join(ids, rows["doc_id"] == ids["_joined_id"], how)
 
 
-def sample_by_hash(rows: DataFrame, group: str, most: int, key: str = "doc_id") -> DataFrame:
+def sample_by_hash(
+    rows: DataFrame, group: str, most: int, key: str = "doc_id", stands_for: str | None = None
+) -> DataFrame:
     """About ``most`` rows of each value of ``group``, all where there are no more; the same ones in every run.
 
     Rows are taken by a hash of ``key`` below a bound that follows from the group's size, so no group
-    is sorted or gathered. The expected number is ``most``; it varies by its square root.
+    is sorted or gathered. The expected number is ``most``; it varies by its square root. A column
+    ``stands_for``, if named, says how many rows of its group each row stands for.
     """
     sizes = {row[0]: row[1] for row in rows.groupBy(group).count().collect()}
     share = F.lit(0.0)
@@ -129,4 +132,5 @@ def sample_by_hash(rows: DataFrame, group: str, most: int, key: str = "doc_id")
         if value is not None:
             share = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, most / count))).otherwise(share)
     place = F.pmod(F.xxhash64(key), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    return rows.where(place < share)
+    taken = rows.where(place < share)
+    return taken if stands_for is None else taken.withColumn(stands_for, F.try_divide(F.lit(1.0), share))

@@ -25,7 +25,7 @@ from strandline.llm.common import cut, importable, is_held_out, map_texts, sampl
 # Insults that stand for themselves in English text.
 INSULTS = "clown disgusting dumb fool hate idiot imbecile jerk loser moron pathetic scum stupid trash ugly worthless".split()
 BEGINNINGS = range(3, 8)
-# Labelled rows of each class that the fit reads: a bound on the classifier's sample.
+# Labelled rows of each class that the fit reads: a bound on the classifier's sample. Weights restore the class ratio.
 FIT_ROWS = 6_000
 # A mined term stands in so many toxic rows at least, and so many times as often among their words as among others'.
 TERM_ROWS = 4
@@ -125,30 +125,34 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def _maximise(spoken: np.ndarray, weight: np.ndarray, families: list[list[int]]) -> LabelModel:
+def _maximise(spoken: np.ndarray, weight: np.ndarray, families: list[list[int]], stands_for: np.ndarray) -> LabelModel:
     tables = []
     for family in families:
         code, size = spoken[:, family] @ LEVELS ** np.arange(len(family)), LEVELS ** len(family)
-        toxic = np.bincount(code, weight, size) + 0.05
-        clean = np.bincount(code, 1 - weight, size) + 0.05
-        tables.append(np.log(toxic / toxic.sum()) - np.log(clean / clean.sum()))
-    prior = float(np.clip(weight.mean(), 1e-4, 1 - 1e-4))
+        sides = []
+        for w in (weight, 1 - weight):  # as many as rows were read, which is what the smoothing is for
+            counts = np.bincount(code, w * stands_for, size) * (w.sum() / max((w * stands_for).sum(), 1e-9)) + 0.05
+            sides.append(np.log(counts / counts.sum()))
+        tables.append(sides[0] - sides[1])
+    prior = float(np.clip((weight * stands_for).sum() / stands_for.sum(), 1e-4, 1 - 1e-4))
     says = spoken > 0
-    accuracy = (weight @ says + 0.5) / (says.sum(0) + 1)
+    accuracy = ((weight * stands_for) @ says + 0.5) / (stands_for @ says + 1)
     return LabelModel(families, tables, prior, accuracy)
 
 
-def _families(spoken: np.ndarray, weight: np.ndarray) -> list[list[int]]:
+def _families(spoken: np.ndarray, weight: np.ndarray, stands_for: np.ndarray) -> list[list[int]]:
     """Voters joined by what is left of their correlation once the class is known, strongest first."""
     voters = spoken.shape[1]
     left = np.zeros((voters, voters))
     spoken = (spoken > 0).astype(float)
     for w in (weight, 1 - weight):
+        rows = w.sum()
+        w = w * stands_for
         mean = (spoken * w[:, None]).sum(0) / max(w.sum(), 1e-9)
         around = (spoken - mean) * np.sqrt(w)[:, None]
         cov = around.T @ around / max(w.sum(), 1e-9)
         scale = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
-        left = np.maximum(left, np.abs(cov / np.outer(scale, scale)) * (w.sum() > 20))
+        left = np.maximum(left, np.abs(cov / np.outer(scale, scale)) * (rows > 20))
     family = [[k] for k in range(voters)]
     pairs = [(left[i, j], i, j) for i in range(voters) for j in range(i) if left[i, j] >= CORRELATED]
     for _, i, j in sorted(pairs, reverse=True):
@@ -159,30 +163,39 @@ def _families(spoken: np.ndarray, weight: np.ndarray) -> list[list[int]]:
     return [list(f) for f in dict.fromkeys(map(tuple, family))]
 
 
-def fit_label_model(spoken: np.ndarray, anchor: np.ndarray, turns: int = 15) -> LabelModel:
+def fit_label_model(
+    spoken: np.ndarray, anchor: np.ndarray, turns: int = 15, stands_for: np.ndarray | None = None
+) -> LabelModel:
     """Estimate correlations and accuracies, then both again from what they say of each row.
 
-    ``anchor`` has the log-odds that are known of each row besides its votes, 0 where nothing is.
+    ``anchor`` has the log-odds that are known of each row besides its votes, 0 where nothing is. ``stands_for`` has
+    the weight of each row, 1 on average.
     """
+    stands_for = np.ones(len(spoken)) if stands_for is None else stands_for
     weight = 1 / (1 + np.exp(-anchor))
     for turn in range(turns):
         if turn in (0, turns // 2):  # what is known besides the votes can't be misled by voters that say the same
-            families = _families(spoken, weight)
-        model = _maximise(spoken, weight, families)
+            families = _families(spoken, weight, stands_for)
+        model = _maximise(spoken, weight, families, stands_for)
         weight = model.posterior(spoken, anchor)
     return model
 
 
-def fit_logistic(matrix: np.ndarray, target: np.ndarray, ridge: float = 1e-4, turns: int = 40) -> np.ndarray:
-    """Weights and bias of a ridge logistic regression on soft targets, by Newton steps."""
+def fit_logistic(
+    matrix: np.ndarray, target: np.ndarray, ridge: float = 1e-4, turns: int = 40, stands_for: np.ndarray | None = None
+) -> np.ndarray:
+    """Weights and bias of a ridge logistic regression on soft targets, by Newton steps.
+
+    ``stands_for`` has the weight of each row, 1 on average."""
+    stands_for = np.ones(len(matrix)) if stands_for is None else stands_for
     x = np.hstack([matrix, np.ones((len(matrix), 1))])
     weights = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge * len(x))
     penalty[-1] = 1e-6
     for _ in range(turns):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        slope = x.T @ (p - target) + penalty * weights
-        curve = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(penalty)
+        slope = x.T @ (stands_for * (p - target)) + penalty * weights
+        curve = (x * (stands_for * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(curve, slope)
         weights = weights - step
         if np.abs(step).max() < 1e-6:
@@ -255,13 +268,14 @@ def mine_terms(labelled: DataFrame) -> list[str]:
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learn from ``text`` of ``docs`` and ``toxic`` of ``labels``, without the held-out rows.
 
-    At most about ``FIT_ROWS`` rows of each class are read, drawn by a hash. Rows without label, and ids that
+    At most about ``FIT_ROWS`` rows of each class are read, drawn by a hash, and weighted so that the classes
+    have the ratio of all labelled rows, whatever their number. Rows without label, and ids that
     are labelled more than once in different ways, are left out. Without labelled rows the fixed
     words alone are the lexicon.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id"))).groupBy("doc_id")
     known = known.agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("most"))
-    known = sample_by_hash(known.where("toxic = most").select("doc_id", "toxic"), "toxic", FIT_ROWS)
+    known = sample_by_hash(known.where("toxic = most").select("doc_id", "toxic"), "toxic", FIT_ROWS, stands_for="stands_for")
     # The sample's bound is what makes it fit for a broadcast, and its texts for a second reading.
     labelled = cut(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"))
     terms = [f"{word}$" for word in INSULTS]
@@ -269,9 +283,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
 
     def start():
         own = Terms(terms)
-        return lambda texts, toxic: [(t, features(text, own)) for text, t in zip(texts, toxic, strict=True)]
+        return lambda texts, *known: [(*k, features(text, own)) for text, *k in zip(texts, *known, strict=True)]
 
-    rows = map_texts(labelled.select(text_of(), "toxic"), "toxic long, x array<double>", start).collect()
+    read = labelled.select(text_of(), "toxic", "stands_for")
+    rows = map_texts(read, "toxic long, stands_for double, x array<double>", start).collect()
     # A few plain rows keep the model defined where there are no labelled ones.
     lexicon = len(terms)
     plain = [[0.0] * (2 * lexicon + 3) + [0.05, 0.0, 0.0, 0.5]] * 8
@@ -279,10 +294,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     insult = [[at * (k == j) for k in range(2 * lexicon)] + one for j in range(len(INSULTS))]
     matrix = np.array([row["x"] for row in rows] + plain + insult)
     label = np.array([row["toxic"] for row in rows] + [0] * len(plain) + [1] * len(insult), float)
+    # 1 on average: the plain rows and insults count as rows of the sample, as the ridge and the smoothing do.
+    weight = np.array([row["stands_for"] for row in rows])
+    stands_for = np.concatenate([weight / (weight.mean() if len(rows) else 1.0), np.ones(len(label) - len(rows))])
     spoken = votes(matrix)
     anchor = np.where(label > 0, LABEL_ODDS, -LABEL_ODDS)
     # Terms that turn out to be inaccurate voters are dismissed, and the rest is fitted again.
-    right = fit_label_model(spoken, anchor).accuracy[:lexicon] >= TERM_ACCURACY
+    right = fit_label_model(spoken, anchor, stands_for=stands_for).accuracy[:lexicon] >= TERM_ACCURACY
     right |= np.arange(lexicon) < len(INSULTS)
     terms = [term for term, good in zip(terms, right, strict=True) if good]
     counts = np.rint(np.expm1(matrix[:, :lexicon][:, right]))
@@ -290,8 +308,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     together = _together(counts.sum(1), (counts > 0).sum(1), np.expm1(10 * shape[:, -1]))
     matrix = np.hstack([np.log1p(counts), counts > 1, np.stack(together, 1), shape])
     spoken = votes(matrix)
-    model = fit_label_model(spoken, anchor)
-    return ToxicityModel(terms, fit_logistic(matrix, model.posterior(spoken, anchor)), model)
+    model = fit_label_model(spoken, anchor, stands_for=stands_for)
+    weights = fit_logistic(matrix, model.posterior(spoken, anchor), stands_for=stands_for)
+    return ToxicityModel(terms, weights, model)
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:

@@ -39,6 +39,24 @@ def test_mined_terms_and_fixed_words(spark, docs_of):
     assert dict(rows_of(toxicity.score(docs_of([(1, "you idiot")]), model), "doc_id", "predicted")) == {1: 1}
 
 
+def test_scores_do_not_follow_the_size_of_the_sample(spark, docs_of, monkeypatch):
+    draw = random.Random(4)
+    rows, labels = [], []
+    for i in range(4_000):
+        toxic = i % 10 == 0
+        words = [draw.choice(["river", "stone", "cloud", "tree", "grass", "bird"]) for _ in range(30)]
+        if draw.random() < (0.8 if toxic else 0.1):  # says little for itself: of such rows about half are toxic
+            words[draw.randrange(30)] = "zargoth"
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    docs, labels = docs_of(rows), spark.createDataFrame(labels, LABELS)
+    whole = dict(rows_of(toxicity.score(docs, toxicity.fit(docs, labels)), "doc_id", "score"))
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 250)  # all toxic rows, a tenth of the clean ones
+    part = dict(rows_of(toxicity.score(docs, toxicity.fit(docs, labels)), "doc_id", "score"))
+    assert 0.3 < max(whole.values()) < 0.65
+    assert max(abs(part[i] - whole[i]) for i in whole) < 0.15
+
+
 def test_edges(spark, docs_of):
     rows = [(1, None), (2, ""), (3, "you are a stupid idiot " * 40_000), (None, "fine words"), (4, "fine words"), (4, "fine words")]
     for labels in ([], [(1, None, None), (2, 1, 0), (2, 1, 1), (3, 0, 1), (4, 1, 0)]):
