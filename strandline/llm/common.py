@@ -134,3 +134,35 @@ def sample_by_hash(
     place = F.pmod(F.xxhash64(key), F.lit(1_000_003)) / F.lit(1_000_003.0)
     taken = rows.where(place < share)
     return taken if stands_for is None else taken.withColumn(stands_for, F.try_divide(F.lit(1.0), share))
+
+
+def share_of_copies(sizes: list[tuple[int, int]], most: int) -> float:
+    """The share of rows at which about ``most`` different values are drawn, if a value with c copies is drawn with
+    probability min(1, c · share). ``sizes`` has pairs of copies and how many values have so many."""
+    if sum(values for _, values in sizes) <= most:
+        return 1.0
+    left = sum(copies * values for copies, values in sizes)
+    for copies, values in sorted(sizes, reverse=True):
+        if copies * most < left:
+            break
+        left, most = left - copies * values, most - values
+    return most / left
+
+
+def sample_by_copies(rows: DataFrame, group: str, most: int, key: str, stands_for: str) -> DataFrame:
+    """About ``most`` rows of each value of ``group``, all where there are no more; the same ones in every run.
+
+    ``rows`` are different values of ``key``, each with its ``copies``. A value is drawn by its hash, the likelier the more
+    copies it has, and always if they are so many that one is sure to be drawn; ``stands_for`` says for how many
+    copies it stands, so that they add up to those of the group. The driver sees a row for each number of copies.
+    """
+    sizes: dict = {}
+    for value, copies, values in rows.groupBy(group, "copies").count().collect():
+        sizes.setdefault(value, []).append((copies, values))
+    share = F.lit(0.0)
+    for value, pairs in sizes.items():
+        if value is not None:
+            share = F.when(F.col(group) == F.lit(value), F.lit(share_of_copies(pairs, most))).otherwise(share)
+    chance = F.least(F.lit(1.0), F.col("copies") * share)
+    place = F.pmod(F.xxhash64(key), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    return rows.where(place < chance).withColumn(stands_for, F.try_divide(F.col("copies"), chance))

@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, sample_by_hash
+from strandline.llm.common import cut, sample_by_copies
 
 # Verdict, host and path of the rules.
 RULES = (
@@ -23,7 +23,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-# Labelled URLs of each verdict that the fit reads.
+# Different labelled URLs of each verdict that the fit reads.
 FIT_ROWS = 6_000
 TREES, DEPTH, SEED = 12, 4, 17
 
@@ -107,22 +107,26 @@ def suffix_statistics(rows: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule`` (or null) and ``verdict`` for every row of ``pages``.
 
-    A rule's verdict holds. Where none fits, boosted trees decide that have learnt from about ``FIT_ROWS`` URLs of
-    each verdict, drawn by a hash of the URL. If the rules give no two verdicts to learn from, such URLs are allowed.
+    A rule's verdict holds. Where none fits, boosted trees decide that have learnt from about ``FIT_ROWS`` different
+    URLs of each verdict, drawn by a hash of the URL and weighted by the rows that they stand for, so that
+    verdicts have the ratio of all decided rows and a URL on many rows its own share of them. If the rules give no two verdicts to learn from, such URLs are allowed.
 
     A null URL, and one without ``://``, has empty host and path, fits no rule and is judged by its features. Null
     and repeated ids and other columns change nothing; an empty table gives an empty result.
     """
-    rows = featured(with_rule(parsed(pages), rules))
-    rows = rows.join(suffix_statistics(rows), "suffix")
+    ruled = with_rule(parsed(pages), rules)
+    rows = featured(ruled)
+    suffixes = suffix_statistics(rows)
+    rows = rows.join(suffixes, "suffix")
     label = (F.col("decided") == "block").cast("double").alias("label")
-    known = sample_by_hash(rows.where("decided IS NOT NULL"), "decided", FIT_ROWS, "url").select(label, *FEATURES)
-    known = cut(known)
+    decided = ruled.where("decided IS NOT NULL").groupBy("url", "host", "path", "decided").agg(F.count("*").alias("copies"))
+    known = featured(sample_by_copies(decided, "decided", FIT_ROWS, "url", "stands_for"))
+    known = cut(known.join(suffixes, "suffix").select(label, "stands_for", *FEATURES))
     columns = ["page_id", "host", "path", "rule"]
     if known.select("label").distinct().count() < 2:
         return rows.select(*columns, F.coalesce("decided", F.lit("allow")).alias("verdict"))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=True)
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, cacheNodeIds=True, weightCol="stands_for")
     model = trees.fit(assembler.transform(known))
     judged = model.transform(assembler.transform(rows))
     own = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")

@@ -11,6 +11,7 @@ from tests.conftest import plan_of
 from tests.llm.conftest import rows_of
 
 from strandline.llm import urls
+from strandline.llm.common import sample_by_copies
 
 PAGES = "page_id long, url string, html string, host string, verdict string, suffix string"
 RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
@@ -85,6 +86,36 @@ def test_rules_hold_and_trees_judge_the_rest(spark):
     assert len(own) > 200 and right / len(own) > 0.95
 
 
+def test_samples_keep_hot_urls_and_the_ratio_of_verdicts(spark):
+    # 2,000 blocked rows of their own URL, 1,000 allowed ones, and 3,000 allowed rows of one URL.
+    rows = [("block", f"b{i}", 1) for i in range(2_000)] + [("allow", f"a{i}", 1) for i in range(1_000)] + [("allow", "hot", 3_000)]
+    table = spark.createDataFrame(rows, "decided string, url string, copies long")
+    got = sample_by_copies(table, "decided", 400, "url", "stands_for").collect()
+    for verdict, total in (("block", 2_000), ("allow", 4_000)):
+        own = [r for r in got if r["decided"] == verdict]
+        assert 320 < len(own) < 480
+        assert sum(r["stands_for"] for r in own) == pytest.approx(total, rel=0.2)
+    assert [r["stands_for"] for r in got if r["url"] == "hot"] == [3_000]
+    assert len(sample_by_copies(table, "decided", 2_000, "url", "stands_for").where("stands_for = copies").collect()) == 3_001
+
+
+def test_verdicts_do_not_follow_the_size_of_the_sample(spark, monkeypatch):
+    draw = random.Random(3)
+    rows = []
+    for i in range(4_400):  # of the URLs with a query a fourth is blocked, of those without none
+        blocked = i % 11 == 0
+        query = "?a=1&b=2" if blocked or draw.random() < 0.3 else ""
+        rows.append((i, f"http://example.org/en/{1 if blocked else 2}{draw.randrange(10**5, 10**6)}{query}"))
+    # No rule knows this host; its letters are those of the other, so that features are alike.
+    rows += [(5_000 + i, f"http://example.gro/en/{1 + i % 2}{draw.randrange(10**5, 10**6)}?a=1&b=2") for i in range(50)]
+    whole = dict(rows_of(urls.judge(pages_of(spark, rows)), "page_id", "verdict"))
+    monkeypatch.setattr(urls, "FIT_ROWS", 400)  # all blocked URLs, a tenth of the allowed ones
+    part = dict(rows_of(urls.judge(pages_of(spark, rows)), "page_id", "verdict"))
+    own = [i for i in whole if i >= 5_000]
+    assert sum(whole[i] != part[i] for i in own) <= 5
+    assert sum(part[i] == "allow" for i in own) >= 45
+
+
 def test_every_page_has_its_verdict(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = urls.judge(pages)
