@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import random
+import zlib
+from itertools import accumulate
+
+from pyspark.sql import functions as F
+from tests.conftest import plan_of
+from tests.llm.conftest import rows_of
+
+from strandline.llm import shards as module
+from strandline.llm.queries import QUERIES
+from strandline.llm.shards import Stretch, cut_points, fill, in_question, shard_documents, smallest_capacity
+
+COLUMNS = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def least_largest(sizes, shards):
+    """By dynamic programming: the least largest sum of ``shards`` stretches."""
+    ends = [0, *accumulate(sizes)]
+    best = list(ends)
+    for _ in range(shards - 1):
+        best = [min(max(best[j], ends[i] - ends[j]) for j in range(i + 1)) for i in range(len(ends))]
+    return best[-1]
+
+
+def test_smallest_capacity_by_dynamic_programming():
+    draw = random.Random(1)
+    for _ in range(300):
+        sizes = [draw.choice([1, draw.randrange(1, 50), draw.randrange(1, 400)]) for _ in range(draw.randrange(1, 25))]
+        shards = draw.randrange(1, 9)
+        got = smallest_capacity(sizes, max(sizes), shards)
+        assert got == least_largest(sizes, shards)
+        assert fill(list(accumulate(sizes)), got, shards)[-1] == len(sizes)
+
+
+def test_cuts_fall_only_into_stretches_in_question():
+    draw = random.Random(2)
+    for _ in range(300):
+        sizes = [draw.choice([draw.randrange(1, 9), draw.randrange(1, 99)]) for _ in range(draw.randrange(20, 200))]
+        shards = draw.randrange(1, 9)
+        bounds = [0, *sorted(draw.sample(range(1, len(sizes)), draw.randrange(1, 19))), len(sizes)]
+        spans = list(zip(bounds, bounds[1:], strict=False))
+        parts = [Stretch(f"{a:04}", sum(sizes[a:b]), b - a, max(sizes[a:b])) for a, b in spans]
+        capacity = smallest_capacity(sizes, max(sizes), shards)
+        open_ = {p.prefix for p in in_question(parts, shards)}
+        for place in fill(list(accumulate(sizes)), capacity, shards)[:-1]:
+            inside = [f"{a:04}" for a, b in spans if a < place < b]
+            assert open_.issuperset(inside)
+
+
+def test_cut_points_open_stretches(spark, monkeypatch):
+    groups = spark.range(3_000).select(
+        F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"), (F.col("id") % 97 + 1).alias("bytes")
+    )
+    rows = sorted((row["digest"].hex().upper(), row["bytes"]) for row in groups.collect())
+    asked = []
+    real = module.stretches
+    monkeypatch.setattr(module, "stretches", lambda g, w: asked.append(real(g, w)) or asked[-1])
+    capacity, points = cut_points(groups, 8)
+    sizes = [size for _, size in rows]
+    assert capacity == least_largest_fast(sizes, 8)
+    starts = [rows[k][0] for k in fill(list(accumulate(sizes)), capacity, 8)[:-1]]
+    assert all(start.startswith(point) for start, point in zip(starts, points, strict=True))
+    assert len(asked) > 1  # the cuts were not known from the first sums
+    assert len(asked[0]) == 256
+    assert sum(len(a) for a in asked[1:]) < 3_000
+
+
+def least_largest_fast(sizes, shards):
+    ends = list(accumulate(sizes))
+    return next(c for c in range(max(sizes), ends[-1] + 1) if fill(ends, c, shards)[-1] == len(ends))
+
+
+def check_law(rows, got, shards=8):
+    text = {}
+    for doc_id, t in rows:
+        text.setdefault(doc_id, []).append(t or "")
+    assert len(got) == len(rows)
+    where: dict = {}
+    sizes = [0] * shards
+    slots: dict = {}
+    for doc_id, size, crc, law, shard, slot, grown in got:
+        t = next(t for t in text[doc_id] if len(t.encode()) + 1 == size and zlib.crc32(t.encode()) == crc)
+        assert law == "bytes"
+        assert grown is None
+        assert where.setdefault(t, shard) == shard  # copies stay together
+        sizes[shard] += size
+        slots.setdefault(shard, []).append(slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    return sizes
+
+
+def test_law_of_bytes(docs_of):
+    draw = random.Random(4)
+    rows = [(i, "é" * draw.randrange(200)) for i in range(500)] + [(600 + i, f"{i}" * 30) for i in range(300)]
+    sizes = check_law(rows, rows_of(shard_documents(docs_of(rows).repartition(5)), *COLUMNS))
+    assert max(sizes) - min(sizes) < 0.25 * sum(sizes) / 8
+
+
+def test_hot_text_is_numbered_in_pieces(docs_of):
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i}") for i in range(900)]
+    docs = docs_of(rows)
+    got = shard_documents(docs, most=20)
+    check_law(rows, rows_of(got, *COLUMNS))
+    hot = {row["shard"] for row in got.where(F.col("text_crc32") == zlib.crc32(b"hot")).collect()}
+    assert len(hot) == 1
+
+
+def test_nulls_repeats_and_empty_tables(docs_of, monkeypatch):
+    monkeypatch.setattr(module, "COPIES", 2)
+    rows = [(None, "a"), (None, "a"), (1, None), (2, ""), (3, "b"), (3, "b"), (3, "b"), (3, "b"), (3, "b"), (4, "x" * 200_000)]
+    got = rows_of(shard_documents(docs_of(rows)), *COLUMNS)
+    check_law(rows, got)
+    assert {row[4] for row in got if row[1] == 1} == {row[4] for row in got if row[0] in (1, 2)}
+    assert shard_documents(docs_of([])).count() == 0
+    assert [row[4:6] for row in rows_of(shard_documents(docs_of([(5, "q")])), *COLUMNS)] == [(0, 0)]
+
+
+def test_same_result_however_the_rows_are_dealt(spark, docs_of):
+    rows = [(i, f"t{i % 70}" * (i % 13)) for i in range(400)]
+    first = rows_of(shard_documents(docs_of(rows)), *COLUMNS)
+    assert rows_of(shard_documents(docs_of(rows[::-1]).repartition(7)), *COLUMNS) == first
+
+
+def test_no_python_in_the_plan(spark):
+    plan = plan_of(QUERIES["op12_shards"](spark, "/root/testdata/sf0.001"))
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
