@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import instant, iso_utc
 from strandline.operators.dedup import keep_one
+from strandline.operators.lists import listed
 
 
 def after(df: DataFrame, cutoff: str | Column | None, column: str = "timestamp") -> DataFrame:
@@ -61,15 +62,37 @@ def positions_of(df: DataFrame) -> dict[tuple[str, int], int]:
 def after_positions(df: DataFrame, positions: Mapping[tuple[str, int], int]) -> DataFrame:
     """Rows behind the given places in the log, and all of partitions that are not among them.
 
-    The places are a literal of the plan, so rows are neither shuffled nor joined.
+    What is surely loaded, at or before the least place of its topic's known partitions, is left out by a filter that reaches the
+    scan. The rest meets its partition's place in a join with literal rows, whose size Spark knows: up to its threshold
+    they are broadcast and rows are not shuffled, and looking one up costs the same whatever their number.
     """
     if not positions:
         return df
-    place = lambda topic, partition: F.concat_ws("/", partition.cast("string"), topic)
-    keys = F.array(*(F.lit(f"{partition}/{topic}") for topic, partition in positions))
-    known = F.map_from_arrays(keys, F.array(*(F.lit(offset).cast("bigint") for offset in positions.values())))
-    last = F.try_element_at(known, place(F.col("topic"), F.col("partition")))
-    return df.filter(last.isNull() | (F.col("offset") > last))
+    known = listed(df.sparkSession, "_topic STRING, _partition INT, _last BIGINT", [(t, p, o) for (t, p), o in positions.items()])
+    same = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition"))
+    joined = df.filter(maybe_new(positions)).join(known, same, "left")
+    return joined.filter(F.col("_last").isNull() | (F.col("offset") > F.col("_last"))).drop("_topic", "_partition", "_last")
+
+
+def maybe_new(positions: Mapping[tuple[str, int], int]) -> Column:
+    """False for rows that are surely loaded: at or before the least place of their topic, in one of its known partitions.
+
+    Comparisons of columns with literals only, so that it can be pushed. Partitions that count on are a range.
+    """
+    keep = F.lit(True)
+    partition = F.col("partition")
+    for topic in dict.fromkeys(topic for topic, _ in positions if topic is not None):
+        own = {number: offset for (name, number), offset in positions.items() if name == topic}
+        numbers = sorted(number for number in own if number is not None)
+        if len(numbers) < len(own):
+            continue
+        if numbers[-1] - numbers[0] + 1 == len(numbers):
+            unknown = (partition < numbers[0]) | (partition > numbers[-1])
+        else:
+            unknown = ~partition.isin(numbers)
+        elsewhere = ~F.col("topic").eqNullSafe(topic) | partition.isNull() | unknown
+        keep &= elsewhere | (F.col("offset") > min(own.values()))
+    return keep
 
 
 def keep_new(

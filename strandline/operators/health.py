@@ -16,38 +16,20 @@ from pyspark.sql import functions as F
 
 from strandline.contracts import ACTIVITY_WINDOW_SECONDS, FRESHNESS_SECONDS, STAGES
 from strandline.functions import age_seconds, iso_text, seconds, within
+from strandline.operators.lists import expected_rows, listed
 from strandline.sources.topics import end_offsets
 
 RESULT = "stage STRING, check STRING, ok BOOLEAN, detail STRING"
 OK, FAIL, BLOCKED = "OK", "FAIL", "BLOCKED"
 
+# How far back a silent group is looked for, and how much further each step goes.
+LOOK_BACK_SECONDS = 90 * 86_400
+LOOK_BACK_FACTOR = 8
+
 # What Spark says of a check that is itself wrong, as by a misspelt column.
 FAULTY_CHECK = ("UNRESOLVED_", "DATATYPE_MISMATCH", "FIELD_NOT_FOUND", "AMBIGUOUS_")
 
 
-def listed(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
-    """A configured list as literal rows of the plan.
-
-    Spark knows their size, so its own threshold decides whether they are broadcast.
-    """
-    if not rows:
-        return spark.createDataFrame([], schema)
-    fields = spark.createDataFrame([], schema).schema.fields
-    values, marks = {}, []
-    for row in rows:
-        for field, value in zip(fields, row, strict=True):
-            marks.append(f"CAST(:v{len(values)} AS {field.dataType.simpleString()})")
-            values[f"v{len(values)}"] = value
-    width = len(fields)
-    table = ", ".join(f"({', '.join(marks[at : at + width])})" for at in range(0, len(marks), width))
-    return spark.sql(f"SELECT * FROM VALUES {table}", args=values).toDF(*(f.name for f in fields))
-
-
-def expected_rows(spark: SparkSession, column: str, names: Sequence[str]) -> DataFrame:
-    """A list of names as a table of one column."""
-    return listed(spark, f"{column} STRING", [(n,) for n in names])
-
-
 def labelled(df: DataFrame, column: str, labels: Mapping[str, str]) -> DataFrame:
     """Add ``label`` by looking ``column`` up in a configured list; unlisted rows go."""
     table = listed(df.sparkSession, f"{column} STRING, label STRING", list(labels.items()))
@@ -158,22 +140,61 @@ def latest_by(df: DataFrame, group: str, time: str) -> DataFrame:
 
 
 def bounded_latest(
-    df: DataFrame, group: str, time: str, expected: Sequence[str], as_of: Column, limit_seconds: int
+    df: DataFrame,
+    group: str,
+    time: str,
+    expected: Sequence[str],
+    as_of: Column,
+    limit_seconds: int,
+    look_back_seconds: int = LOOK_BACK_SECONDS,
 ) -> DataFrame:
     """Latest time of each expected group, reading old rows only where there is no recent one.
 
-    A healthy group has a row within the limit, and the bound on the time reaches the scan. Groups without one
-    are looked up in full, to say how old they are. One row per expected group comes to the driver.
+    A healthy group has a row within the limit, and the bounds on the time reach the scan. Groups without one are looked for
+    further back, step by step, each step ``LOOK_BACK_FACTOR`` times as far and for what is still silent only, until
+    ``look_back_seconds`` before ``as_of``. A group without any row in that time is not there, whatever the history before it holds, so
+    a check never costs more than that. Rows later than ``as_of`` don't count: one with a wrong time must not keep its
+    group fresh; :func:`future_checks` finds them. One row per expected group comes to the driver.
     """
-    wanted = df.filter(F.col(group).isin(list(expected)))
-    recent = latest_by(wanted.filter(F.col(time) >= as_of - seconds(limit_seconds)), group, time)
-    micros = lambda latest: [(r[0], r[1]) for r in latest.select(group, F.unix_micros("latest")).collect()]
-    rows = micros(recent)
-    stale = [name for name in expected if name not in dict(rows)]
-    if stale:
-        rows += micros(latest_by(df.filter(F.col(group).isin(stale)), group, time))
-    found = listed(df.sparkSession, f"{group} STRING, micros BIGINT", rows)
-    return found.select(group, F.timestamp_micros("micros").alias("latest"))
+    found: list[tuple[str, int]] = []
+    silent, near, far = list(expected), 0, limit_seconds
+    while silent:
+        stretch = df.filter(F.col(group).isin(silent) & (F.col(time) >= as_of - seconds(far)))
+        # What the steps before have read is not read again.
+        stretch = stretch.filter(F.col(time) < as_of - seconds(near) if near else F.col(time) <= as_of)
+        rows = latest_by(stretch, group, time).select(group, F.unix_micros("latest").alias("micros")).collect()
+        found += [(row[0], row[1]) for row in rows]
+        silent = [name for name in silent if name not in dict(found)]
+        if far >= look_back_seconds:
+            break
+        near, far = far, min(far * LOOK_BACK_FACTOR, look_back_seconds)
+    latest = listed(df.sparkSession, f"{group} STRING, micros BIGINT", found)
+    return latest.select(group, F.timestamp_micros("micros").alias("latest"))
+
+
+def future_checks(
+    df: DataFrame,
+    group: str,
+    time: str,
+    expected: Sequence[str],
+    as_of: Column,
+    stage: str,
+    tolerance_seconds: int = 0,
+) -> DataFrame:
+    """Result rows: no expected group has rows more than ``tolerance_seconds`` later than ``as_of``.
+
+    Only such rows are read; in a sound table there are none.
+    """
+    ahead = df.filter(F.col(group).isin(list(expected)) & (F.col(time) > as_of + seconds(tolerance_seconds)))
+    counts = ahead.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.max(time).alias("latest"))
+    rows = expected_rows(df.sparkSession, group, expected).join(counts, group, "left")
+    found = F.concat(F.format_string("%d rows are later than now, up to ", "n"), iso_text(F.col("latest")))
+    return rows.select(
+        F.lit(stage).alias("stage"),
+        F.col(group).alias("check"),
+        F.col("n").isNull().alias("ok"),
+        F.when(F.col("n").isNull(), "no row is later than now").otherwise(found).alias("detail"),
+    )
 
 
 def freshness(
@@ -241,6 +262,13 @@ def reachable(
     return listed(spark, RESULT, rows)
 
 
+def run_stages(parts: Mapping[str, Callable[[], DataFrame]], stage: str | None = None) -> DataFrame:
+    """The checks of one stage, or of all in the order given (C1, C6). Nothing of another stage is computed."""
+    if stage is not None and stage not in parts:
+        raise ValueError(f"no stage {stage!r}, there are {list(parts)}")
+    return all_checks(*(part() for name, part in parts.items() if stage in (None, name)))
+
+
 def only_stage(checks: DataFrame, stage: str | None) -> DataFrame:
     """One stage, or all of them."""
     return checks if stage is None else checks.filter(F.col("stage") == stage)

@@ -14,6 +14,7 @@ from strandline.operators.dedup import keep_one
 from strandline.operators.handoff import positions_of
 from strandline.operators.parse import LOG_KEY, SILVER, flatten, missing_values, parse, routed, to_silver
 from strandline.sinks.files import WriteReport, batch_overwrite
+from strandline.sources.files import read_files
 
 
 def silver_rows(
@@ -76,7 +77,9 @@ def backfill(
 
     The cutoff is the largest ``timestamp`` that was really loaded, not the time the job ended. So rows that
     reached bronze during the job are left to the stream, and none falls between. With the columns of ``LOG_KEY``
-    in ``keep`` the report also has the largest offset of each partition of the log, which is the exact cutoff.
+    in ``keep`` the report also has the largest offset of each partition of the log, which is the exact cutoff. They are
+    read back from what was written if ``LOG_KEY`` is the key; other keys may drop the row of the largest offset, so that
+    bronze is scanned for it once more.
 
     * ``cluster`` sorts the files by ``timestamp``, for one more shuffle.
     * ``by_day`` writes ``day=<yyyy-mm-dd>`` directories, so a stream that adds by key lists and reads the days
@@ -92,7 +95,6 @@ def backfill(
     if by_day:
         # After the keyed shuffle every task holds rows of every day. AQE splits a large day by size.
         rows = rows.withColumn("day", utc_day(F.col("timestamp"))).hint("rebalance", F.col("day"))
-    positions = positions_of(bronze) if set(LOG_KEY) <= set(keep) else {}
     report = batch_overwrite(
         rows,
         path,
@@ -101,4 +103,11 @@ def backfill(
         cluster_by="timestamp" if cluster else None,
         counted=F.col("part") == SILVER if quarantine else None,
     )
-    return replace(report, positions=positions)
+    if not set(LOG_KEY) <= set(keep):
+        return report
+    if set(LOG_KEY) <= set(keys):
+        # No place in the log is lost to another one, so what was written tells. Only the three columns are read.
+        written = read_files(bronze.sparkSession, path, bronze.select(*LOG_KEY).schema, depth=len(levels), missing_ok=True)
+    else:
+        written = bronze
+    return replace(report, positions=positions_of(written))

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strandline.contracts import TRIGGER_INTERVAL, Feed
 from strandline.operators.handoff import after, after_positions
+from strandline.operators.intervals import outside_ranges
 from strandline.operators.parse import missing_values, routed, to_silver
 from strandline.plans.silver import silver_schema
 from strandline.sources.files import read_files
@@ -32,10 +33,12 @@ def incremental(
     quarantine: bool = False,
     earliest: str | None = None,
     latest: str | None = None,
+    ranges: DataFrame | None = None,
 ) -> StreamingQuery:
     """Parse what arrives into the stream half of silver.
 
-    By place in the log: rows behind ``positions``, as the backfill reports them. No shuffle, and exact.
+    By place in the log: rows behind ``positions``, as the backfill reports them. No shuffle, and exact where the history has no
+    holes. Else rows outside of ``ranges``, what ``operators.intervals.offset_ranges`` says of the history: exact for any.
 
     By time: rows after ``cutoff``, no shuffle. Exact where times strictly rise.
 
@@ -67,8 +70,11 @@ def incremental(
     def prepare(rows: DataFrame) -> DataFrame:
         return routed(rows, feed, earliest, latest, keep) if quarantine else to_silver(rows, feed, keep)
 
+    wanted = after_positions(after(bronze, cutoff), positions or {})
+    if ranges is not None:
+        wanted = outside_ranges(wanted, ranges)
     return stream_parts(
-        after_positions(after(bronze, cutoff), positions or {}),
+        wanted,
         path,
         checkpoint,
         every=every,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from strandline.contracts import TRIGGER_INTERVAL
-from strandline.streaming.sinks import stream_append, stream_parts
+from strandline.contracts import ENVELOPE, TRIGGER_INTERVAL
+from strandline.sources.files import read_files
+from strandline.streaming.sinks import PARTS_DEPTH, days_path, stream_append, stream_parts
 
 
 def ingest(
@@ -49,7 +50,24 @@ def fan_out_one_stream(
     base: str,
     checkpoint: str,
     every: str | None = TRIGGER_INTERVAL,
-    partition_by: str | Sequence[str] = "topic",
+    partition_by: str = "topic",
 ) -> StreamingQuery:
-    """All topics in one query, split by the sink's directories (T9). Read back with ``depth=1``."""
-    return stream_append(messages, base, checkpoint, every=every, partition_by=partition_by)
+    """All topics in one query, split by the sink's directories (T9). Read back with :func:`read_fan_out`.
+
+    The sink without a log: a batch that was written but not committed replaces its own rows when it is run again.
+    """
+    return stream_parts(messages, base, checkpoint, every=every, split_by=partition_by)
+
+
+def read_fan_out(
+    spark: SparkSession,
+    base: str,
+    schema: str = ENVELOPE,
+    values: Sequence[str] = ("*",),
+    split_by: str = "topic",
+    days: Sequence[str] | None = None,
+) -> DataFrame:
+    """The rows of :func:`fan_out_one_stream`, all or those of some topics and days; others are not even listed."""
+    places = "{" + ",".join(values) + "}" if len(values) > 1 else values[0]
+    where = days_path(f"{base.rstrip('/')}/{split_by}={places}", days)
+    return read_files(spark, where, schema, depth=PARTS_DEPTH - 1, base_path=base)

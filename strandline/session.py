@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Call-site capture per column expression costs more than building a wide projection.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # A feed that holds most of a log meets its sessions as a row for each task.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # State that outgrows executor memory stays on disk.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

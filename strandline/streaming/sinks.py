@@ -21,13 +21,14 @@ from strandline.functions import utc_day
 from strandline.operators.dedup import keep_one
 from strandline.operators.handoff import keep_new
 from strandline.sources.files import is_missing, read_files
+from strandline.streaming.sketch import parts_without, write_sketch
 
 # day=<ingestion day>/run=<query id>/batch=<batch id>/
 PARTS_DEPTH = 3
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """Micro-batches at an interval, or with ``every=None`` all that is there now and then stop."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -59,7 +60,7 @@ def stream_append(
         writer = writer.partitionBy(partition_by)
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()
 
 
 def _run_of(spark: SparkSession, checkpoint: str) -> str:
@@ -156,6 +157,8 @@ def stream_parts(
     name: str | None = None,
     time_bounded: bool | None = None,
     split_by: str | None = None,
+    sketch: str | None = None,
+    raw_dedup: bool = False,
 ) -> StreamingQuery:
     """Write each micro-batch to ``day=<day>/run=<query id>/batch=<n>`` under ``path``.
 
@@ -170,7 +173,11 @@ def stream_parts(
       ``time_column`` is among the keys, a key says what its row's time is. Then only the days that
       the batch touches are listed, and of these only the batch's range of times is read; without it the whole
       table's keys are.
+    * ``sketch``: a location for sketches of the keys, for ``new_keys`` that do not say what the time is. Each part gets one behind
+      its rows, and only parts that may hold a key of the batch are read, those without a sketch among them.
     * ``split_by``: a column of the rows that becomes the first directory level, as for a side table.
+    * ``raw_dedup``: rows of a micro-batch that agree in all columns count once, before ``prepare``. It fits where copies are
+      byte-identical, as after a replay, and saves preparing them.
 
     Without keys the rows pass as they are, with no shuffle (T6). ``prepare`` is applied to each micro-batch
     before that; it must keep ``time_column``.
@@ -178,8 +185,12 @@ def stream_parts(
     schema = (prepare(df) if prepare else df).schema
     runs: list[str] = []
     bounded = time_column in new_keys if time_bounded is None else time_bounded
+    if sketch and (bounded or not new_keys):
+        raise ValueError("a sketch is for new_keys that do not say what the time is")
 
-    def earlier_rows(spark: SparkSession, run: str, batch_id: int, span: _Span | None) -> DataFrame:
+    def earlier_rows(
+        spark: SparkSession, run: str, batch_id: int, span: _Span | None, skipped: Sequence[tuple[str, int]]
+    ) -> DataFrame:
         days = span.path_days() if span else None
         rows = read_files(
             spark,
@@ -189,6 +200,8 @@ def stream_parts(
             missing_ok=True,
             base_path=path,
         ).filter((F.col("run") != run) | (F.col("batch") < batch_id))
+        if skipped:  # a condition on directories: their files are not opened
+            rows = rows.filter(~F.concat_ws("/", "run", "batch").isin([f"{r}/{b}" for r, b in skipped]))
         timed = [time_column] if span and time_column not in new_keys else []
         seen = rows.select(*new_keys, *timed)
         if loaded is not None:
@@ -200,14 +213,21 @@ def stream_parts(
         if not runs:
             runs.append(_run_of(spark, checkpoint))
         run = runs[0]
+        if raw_dedup:
+            batch = keep_one(batch, batch.columns)
         rows = prepare(batch) if prepare else batch
         if new_keys:
             # Reads the batch's raw rows once more, which costs little next to preparing them.
             span = _Span.of(batch, time_column) if bounded else None
-            rows = keep_new(rows, earlier_rows(spark, run, batch_id, span), new_keys, order_by)
+            skipped = parts_without(spark, sketch, rows, new_keys) if sketch else ()
+            rows = keep_new(rows, earlier_rows(spark, run, batch_id, span, skipped), new_keys, order_by)
         elif dedup_keys:
             rows = keep_one(rows, dedup_keys, order_by)
         _write_part(rows, path, run, batch_id, time_column, bool(new_keys or dedup_keys), split_by)
+        if sketch:
+            own = f"{path.rstrip('/')}{f'/{split_by}=*' if split_by else ''}/day=*/run={run}/batch={batch_id}"
+            written = read_files(spark, own, _parts_schema(schema), missing_ok=True, base_path=path)
+            write_sketch(written, new_keys, sketch, run, batch_id)
 
     if new_keys:
         # An empty part to find, for the first batch of a new table.
@@ -219,7 +239,7 @@ def stream_parts(
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         writer = writer.queryName(name)
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()
 
 
 # ------------------------------------------------------------------ compaction

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,8 +101,8 @@ def _fresh_sql(as_of: str) -> str:
     return f"""
         SELECT topic, latest, CAST(floor(epoch({as_of})) - floor(epoch(latest)) AS BIGINT) AS age_seconds,
                coalesce(latest >= {as_of} - INTERVAL 1800 SECOND, FALSE) AS ok
-        FROM {TOPICS_SQL} LEFT JOIN (SELECT event_type AS topic, max(ts) AS latest FROM events GROUP BY 1)
-        USING (topic)
+        FROM {TOPICS_SQL}
+        LEFT JOIN (SELECT event_type AS topic, max(ts) AS latest FROM events WHERE ts <= {as_of} GROUP BY 1) USING (topic)
     """
 
 
@@ -112,18 +113,34 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(health.freshness(latest, TOPICS, instant(END), group="topic"))
 
 
+DAY = 86_400
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """The four stages: activity and offsets of the log, then the age of bronze and of a silver table made from it."""
+
+    def fresh(table: DataFrame, group: str, expected: list[str], stage: str) -> DataFrame:
+        latest = health.bounded_latest(table, group, "timestamp", expected, instant(END), DAY)
+        return health.freshness_checks(health.freshness(latest, expected, instant(END), DAY, group), stage, group)
+
+    def producers() -> DataFrame:
+        return health.activity_checks(health.recent_activity(_log(spark, sf_dir), PRESENT, instant(END), DAY), DAY)
+
+    def silver() -> DataFrame:
+        # condition_main is the event type.
+        table = to_silver(conditions_bronze(events(spark, sf_dir)), CONDITIONS)
+        return fresh(table, "condition_main", PRESENT, "silver")
+
+    return {
+        "producers": producers,
+        "kafka": lambda: health.topic_checks(logged(events(spark, sf_dir)), PRESENT),
+        "bronze": lambda: fresh(_log(spark, sf_dir), "topic", TOPICS, "bronze"),
+        "silver": silver,
+    }
+
+
 def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four stages: activity and offsets of the log, then the age of bronze and of a silver table made from it."""
-    log, day = _log(spark, sf_dir), 86_400
-    producers = health.activity_checks(health.recent_activity(log, PRESENT, instant(END), day), day)
-    topics = health.topic_checks(logged(events(spark, sf_dir)), PRESENT)
-    latest = health.bounded_latest(log, "topic", "timestamp", TOPICS, instant(END), day)
-    bronze = health.freshness_checks(health.freshness(latest, TOPICS, instant(END), day, "topic"), "bronze", "topic")
-    # Silver: condition_main is the event type.
-    table = to_silver(conditions_bronze(events(spark, sf_dir)), CONDITIONS)
-    latest = health.bounded_latest(table, "condition_main", "timestamp", PRESENT, instant(END), day)
-    silver = health.freshness(latest, PRESENT, instant(END), day, "condition_main")
-    return health.all_checks(producers, topics, bronze, health.freshness_checks(silver, "silver", "condition_main"))
+    return health.run_stages(_parts(spark, sf_dir))
 
 
 _AGE_SQL = f"""
@@ -134,7 +151,7 @@ _AGE_SQL = f"""
 
 _CHECKS_SQL = f"""
     WITH seen AS (
-        SELECT event_type AS topic, max(ts) AS latest,
+        SELECT event_type AS topic, max(ts) FILTER (WHERE ts <= {END_SQL}) AS latest,
                count(*) FILTER (WHERE ts >= {END_SQL} - INTERVAL 86400 SECOND AND ts <= {END_SQL}) AS n_recent,
                count(*) AS total
         FROM events GROUP BY 1),
@@ -219,7 +236,7 @@ def stage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f'{_CHECKS_SQL} SELECT "check", ok FROM checks WHERE stage = \'kafka\'')
 def stage_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stage alone"""
-    return health.only_stage(_checks(spark, sf_dir), "kafka").select("check", "ok")
+    return health.run_stages(_parts(spark, sf_dir), "kafka").select("check", "ok")
 
 
 @query(f"{_CHECKS_SQL} SELECT stage, \"check\", stage <> 'silver' AND ok AS ok FROM checks")

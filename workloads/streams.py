@@ -10,11 +10,10 @@ from strandline.contracts import AIR_QUALITY, CONDITIONS, ENVELOPE
 from strandline.operators import envelope, to_silver, up_to
 from strandline.plans.backfill import backfill
 from strandline.plans.incremental import incremental
-from strandline.plans.ingest import fan_out, fan_out_one_stream, ingest
+from strandline.plans.ingest import fan_out, fan_out_one_stream, ingest, read_fan_out
 from strandline.plans.silver import silver_schema, silver_view
 from strandline.session import scratch_dir
-from strandline.sources import read_bronze
-from strandline.streaming import first_within_watermark, read_parts, stream_append, stream_parts, watch
+from strandline.streaming import first_within_watermark, read_parts, stream_parts, watch
 from workloads import sql
 from workloads.messages import (
     air_quality_bronze,
@@ -81,7 +80,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "fanout")
     stream = envelope(props_messages(events_stream(spark, sf_dir)))
     finish(fan_out_one_stream(stream, f"{base}/rows", f"{base}/checkpoint", NOW))
-    rows = read_bronze(spark, f"{base}/rows", depth=1, base_path=f"{base}/rows")
+    rows = read_fan_out(spark, f"{base}/rows")
     return naive(rows.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("latest")))
 
 
@@ -131,6 +130,7 @@ def dedup_microbatch(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{base}/checkpoint",
             NOW,
             dedup_keys=["timestamp"],
+            raw_dedup=True,
             prepare=lambda rows: to_silver(rows, CONDITIONS),
         )
     )
@@ -143,5 +143,5 @@ def dedup_watermark_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "watermark")
     stream = replayed(envelope(props_messages(events_stream(spark, sf_dir)), keep=["offset"]))
     unique = first_within_watermark(stream, ["topic", "offset"], "1 hour")
-    finish(stream_append(unique, f"{base}/rows", f"{base}/checkpoint", NOW))
-    return naive(read_bronze(spark, f"{base}/rows", schema=f"{ENVELOPE}, offset BIGINT"))
+    finish(stream_parts(unique, f"{base}/rows", f"{base}/checkpoint", NOW))
+    return naive(read_parts(spark, f"{base}/rows", unique.schema))
