@@ -180,6 +180,8 @@ class Codec:
                     pair = last[end - width] << 20 | token
                     if known[pair] if pair in known else self.may_follow(last[end - width], token):
                         break
+                else:  # a vocabulary that lacks a byte
+                    raise ValueError(f"no token ends the first {end} bytes of a piece")
                 states.append(state)
                 last.append(token)
             before, end, ids = piece, len(piece), []
@@ -255,7 +257,8 @@ def encode_decode(docs: DataFrame, spec: str) -> DataFrame:
 
     ``spec`` is the text of the vocabulary file (its size does not depend on the data) and goes to the
     executors once. Map-only: no shuffle, and the whole text of each row. A null text counts as empty and has no
-    ids. Rows that repeat give rows that repeat; null ids stay null; other columns are ignored.
+    ids. Rows that repeat give rows that repeat; null ids stay null; other columns are ignored; an empty table gives an empty
+    result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(spec)
 

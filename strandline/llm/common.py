@@ -6,15 +6,16 @@ import os
 import re
 import tempfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows that a Python task turns into objects at one time; the rest of an Arrow batch stays packed.
 SLICE_ROWS = 256
 
-# Ids (8 bytes each) up to which a join by id sends its ids to every executor. More are shuffled instead.
+# Keys (40 bytes each) up to which a join by key sends them to every executor. More are shuffled instead.
 BROADCAST_IDS = 500_000
 
 FOLDS = 3
@@ -105,25 +106,45 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def join_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """``left_semi`` or ``left_anti`` join of ``rows`` with one column of ``doc_id``.
+def text_digest(column: str = "text") -> Column:
+    """SHA-256 of the whole text, 32 bytes; null counts as empty."""
+    return F.unhex(F.sha2(text_of(column).cast("binary"), 256))
 
-    The ids are broadcast if they were counted and are few; otherwise both sides are shuffled and AQE
-    splits what is skewed. A null id never matches.
+
+def join_keys(rows: DataFrame, found: DataFrame, keys: dict[str, Column], how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of ``rows`` with the columns of ``found`` that ``keys`` names.
+
+    ``keys`` says what stands for each of them in ``rows``; null equals null. What was found is broadcast if it was counted and
+    is little; otherwise both sides are shuffled and AQE splits what is skewed.
+    """
+    found = cut(found.select(*(F.col(name).alias(f"_joined_{name}") for name in keys)).distinct())
+    if found.count() <= BROADCAST_IDS:
+        found = F.broadcast(found)
+    same = [value.eqNullSafe(found[f"_joined_{name}"]) for name, value in keys.items()]
+    return rows.join(found, reduce(Column.__and__, same), how)
+
+
+def one_of_each(rows: DataFrame, repeated: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """``rows``, of those whose ``keys`` stand in ``repeated`` the smallest one of each key only.
+
+    Tasks reduce their own rows first, so a row that is there very often crosses the shuffle once for each task.
     """
-    ids = cut(ids.select(F.col("doc_id").alias("_joined_id")).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return rows.join(ids, rows["doc_id"] == ids["_joined_id"], how)
+    repeated = cut(repeated)
+    if repeated.isEmpty():
+        return rows
+    named = {f"_key_{name}": value for name, value in keys.items()}
+    twice = join_keys(rows, repeated, keys, "left_semi")
+    one = twice.groupBy(*(value.alias(name) for name, value in named.items())).agg(F.min(F.struct(*rows.columns)).alias("_row"))
+    return join_keys(rows, repeated, keys, "left_anti").unionByName(one.select("_row.*"))
 
 
 def sample_by_hash(
-    rows: DataFrame, group: str, most: int, key: str = "doc_id", stands_for: str | None = None
+    rows: DataFrame, group: str, most: int, key: tuple[str, ...] = ("doc_id",), stands_for: str | None = None
 ) -> DataFrame:
     """About ``most`` rows of each value of ``group``, all where there are no more; the same ones in every run.
 
-    Rows are taken by a hash of ``key`` below a bound that follows from the group's size, so no group
-    is sorted or gathered. The expected number is ``most``; it varies by its square root. A column
+    Rows are taken by a hash of the columns ``key`` below a bound that follows from the group's size, so no group
+    is sorted or gathered. Rows that agree in ``key`` are taken together, so it must tell rows apart: see ``sample_texts``. The expected number is ``most``; it varies by its square root. A column
     ``stands_for``, if named, says how many rows of its group each row stands for.
     """
     sizes = {row[0]: row[1] for row in rows.groupBy(group).count().collect()}
@@ -131,11 +152,33 @@ def sample_by_hash(
     for value, count in sizes.items():
         if value is not None:
             share = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, most / count))).otherwise(share)
-    place = F.pmod(F.xxhash64(key), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    place = F.pmod(F.xxhash64(*key), F.lit(1_000_003)) / F.lit(1_000_003.0)
     taken = rows.where(place < share)
     return taken if stands_for is None else taken.withColumn(stands_for, F.try_divide(F.lit(1.0), share))
 
 
+def sample_texts(docs: DataFrame, keyed: DataFrame, group: str, most: int, stands_for: str | None = None) -> DataFrame:
+    """Texts of about ``most`` rows of each value of ``group``, all where there are no more: ``group``, ``text`` and ``unit``.
+
+    ``keyed`` has ``group``, ``doc_id`` and ``digest`` of the rows to draw from. Rows that agree in all three count as one, and each is
+    drawn by a hash of id and text: so neither null ids nor an id or a text on very many rows break the bound or keep others out. Only
+    these keys are shuffled. ``unit`` is the id, or a hash of the text where the id is null or repeats.
+    """
+    different = cut(keyed.select(group, "doc_id", "digest").distinct())
+    drawn = sample_by_hash(different, group, most, ("doc_id", "digest"), stands_for)
+    of_id = Window.partitionBy(group, "doc_id")  # a bounded sample
+    alone = F.col("doc_id").isNotNull() & (F.count("*").over(of_id) == 1)
+    drawn = cut(drawn.withColumn("unit", F.when(alone, F.col("doc_id")).otherwise(F.xxhash64("digest"))))
+    weight = [stands_for] if stands_for else []
+    named = drawn.select(group, "unit", *weight, F.col("doc_id").alias("_drawn_id"), F.col("digest").alias("_drawn_digest"))
+    read = docs.select("doc_id", text_of(), text_digest().alias("_digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("_drawn_id")) & (F.col("_digest") == F.col("_drawn_digest"))
+    # The sample's bound is what makes it fit for a broadcast.
+    found = read.join(F.broadcast(named), same).select(group, "unit", "text", *weight, "_drawn_id", "_drawn_digest")
+    one = found.dropDuplicates([group, "_drawn_id", "_drawn_digest"])
+    return one.drop("_drawn_id", "_drawn_digest")
+
+
 def share_of_copies(sizes: list[tuple[int, int]], most: int) -> float:
     """The share of rows at which about ``most`` different values are drawn, if a value with c copies is drawn with
     probability min(1, c · share). ``sizes`` has pairs of copies and how many values have so many."""

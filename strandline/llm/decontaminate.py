@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, join_ids
+from strandline.llm.common import cut, join_keys, text_digest, text_of
 
 WORDS = 5
 CONTAINMENT = 0.8
@@ -29,16 +29,17 @@ def _hash_at(place: Column) -> Column:
     return F.xxhash64(*(F.get("codes", place + k) for k in range(WORDS)))
 
 
-def shingled(rows: DataFrame, key: str) -> DataFrame:
-    """``key``, ``words``, ``place`` and ``hash`` of every run of five words of ``text``.
+def shingled(rows: DataFrame, key: str, whole: bool = False) -> DataFrame:
+    """``key`` and ``hash`` of every run of five words of ``text``, with the ``shingle`` itself if ``whole``.
 
     The words are hashed once; a shingle's hash is made of those of its words. Rows without ``key`` have no
-    shingles, nor have texts of fewer words.
+    shingles, nor have texts of fewer words. The lists of words stay behind: no row of a shingle carries them on.
     """
     worded = rows.where(F.col(key).isNotNull()).select(key, word_list(F.col("text")).alias("words"))
     coded = worded.where(F.size("words") >= WORDS).withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
     placed = coded.select(key, "words", "codes", F.explode(F.sequence(F.lit(0), F.size("codes") - WORDS)).alias("place"))
-    return placed.select(key, "words", "place", _hash_at(F.col("place")).alias("hash"))
+    shingle = [_shingle(F.col("words"), F.col("place")).alias("shingle")] if whole else []
+    return placed.select(key, _hash_at(F.col("place")).alias("hash"), *shingle)
 
 
 def _shingle(words: Column, place: Column) -> Column:
@@ -50,7 +51,7 @@ def item_shingles(items: DataFrame, threshold: float = CONTAINMENT) -> DataFrame
 
     ``number`` counts from 1 by hash. A class holds the sizes from a power of two to below the next one.
     """
-    unique = shingled(items, "item_id").select("item_id", "hash", _shingle(F.col("words"), F.col("place")).alias("shingle"))
+    unique = shingled(items, "item_id", whole=True)
     of_item = Window.partitionBy("item_id")
     ranked = unique.distinct().select(
         "*",
@@ -84,9 +85,9 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = CONTAI
     known = cut(item_shingles(items, threshold))
     sketch = _sized(known.where("in_sketch").select("hash", "item_id"))
     found = cut(shingled(docs, "doc_id").select("doc_id", "hash").join(sketch, "hash").select("doc_id").distinct())
-    suspects = shingled(join_ids(docs.select("doc_id", "text"), found, "left_semi"), "doc_id")
-    exact = suspects.join(_sized(known.drop("in_sketch")), "hash")
-    exact = exact.where(_shingle(F.col("words"), F.col("place")) == F.col("shingle"))
+    read = docs.select("doc_id", "text")
+    suspects = shingled(join_keys(read, found, {"doc_id": read["doc_id"]}, "left_semi"), "doc_id", whole=True)
+    exact = suspects.join(_sized(known.drop("in_sketch")), ["hash", "shingle"])
     shared = exact.groupBy("doc_id", "item_id", "n_shingles").agg(F.count_distinct("number").alias("n_shared"))
     return shared.where(F.col("n_shared") >= _needed(F.col("n_shingles"), threshold)).select(
         "doc_id", "item_id", "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment")
@@ -94,5 +95,10 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = CONTAI
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT) -> DataFrame:
-    """``docs`` without those that hold an item, columns unchanged. Rows without ``doc_id`` stay."""
-    return join_ids(docs, contained_items(docs, items, threshold).select("doc_id"), "left_anti")
+    """``docs`` without the rows whose text holds an item, columns unchanged.
+
+    The text alone decides, whatever the ids: rows without id and rows that share one are judged each by its own text, and all
+    copies of a text fare alike. Null, empty and short texts stay; an empty table stays empty.
+    """
+    by_text = docs.select(text_digest().alias("doc_id"), text_of())
+    return join_keys(docs, contained_items(by_text, items, threshold), {"doc_id": text_digest()}, "left_anti")

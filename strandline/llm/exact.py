@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, join_ids, text_of
+from strandline.llm.common import cut, join_keys, one_of_each, text_of
 
 # Parts into which the rows of one text are dealt before they meet.
 SALTS = 32
@@ -72,8 +72,14 @@ def exact_groups(docs: DataFrame, salts: int = SALTS, digest=sha256_key) -> Data
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep, columns unchanged.
+    """One row of each text of ``docs``, columns unchanged: that of the smallest ``doc_id``, as ``exact_groups`` says.
 
-    Rows without ``doc_id`` can't be told apart by it and stay.
+    Rows are told apart by id and text together, so a text that is there once is never lost with another row of its id, and
+    rows without id are judged like all others. Of rows that share the smallest id and the text (or have both no id) the
+    smallest one stays, by its columns in order. Null and empty texts are one text; an empty table stays empty.
     """
-    return join_ids(docs, exact_groups(docs).where(~F.col("kept")).select("doc_id"), "left_anti")
+    groups = cut(exact_groups(docs))
+    keys = {"doc_id": docs["doc_id"], "text_sha256": F.sha2(normalised(), 256)}
+    kept = join_keys(docs, groups.where(~F.col("kept")), keys, "left_anti")
+    repeated = groups.where("kept").groupBy(*keys).count().where("count > 1")
+    return one_of_each(kept, repeated, {"doc_id": kept["doc_id"], "text_sha256": F.sha2(normalised(), 256)})

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, is_held_out, map_texts, sample_by_hash, text_of
+from strandline.llm.common import cut, is_held_out, map_texts, sample_texts, text_digest, text_of
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -196,13 +196,14 @@ def _arrays(rows: tuple[list, list, list], languages: list[str], missing: float)
 def fit(docs: DataFrame) -> Models:
     """Learn from ``text`` and ``lang`` of the rows that have both and are not held out.
 
-    At most about ``FIT_ROWS`` rows of each language are read, drawn by a hash; that bounds the models that go to
-    the executors. A fifth of these rows is set apart: on it, the sharpness of the score is chosen for
+    At most about ``FIT_ROWS`` rows of each language are read, drawn by a hash of id and text; that bounds the models that go to
+    the executors. Null and repeated ids and texts of many copies change nothing in that. A fifth of these rows is set apart: on it, the sharpness of the score is chosen for
     the lowest loss, and each language's limit so that about ``REJECTED`` of its own rows lie above.
     """
-    known = docs.where(F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id"))).select("doc_id", "lang", text_of())
-    part = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(CALIBRATION_PARTS))
-    known = cut(sample_by_hash(known, "lang", FIT_ROWS).select("lang", "text", (part == 0).alias("apart")))
+    keyed = docs.where(F.col("lang").isNotNull() & ~is_held_out(F.col("doc_id")))
+    keyed = keyed.select("lang", "doc_id", text_digest().alias("digest"))
+    part = F.pmod(F.xxhash64("unit", F.lit("calibration")), F.lit(CALIBRATION_PARTS))
+    known = cut(sample_texts(docs, keyed, "lang", FIT_ROWS).select("lang", "text", (part == 0).alias("apart")))
 
     def count():
         def work(langs, texts):
@@ -271,7 +272,8 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     the known languages; ``entropy`` the bits for each letter; ``accepted`` is false if that exceeds the language's
     limit, so the text may be in none of them. Null texts and those without a letter are ``und`` with score 0, no
     entropy and not accepted, and so is every text if no language is known. Ties go to the first language by
-    name. Null ids stay null and are not held out; rows that repeat and other columns change nothing.
+    name. Null ids stay null and are not held out; rows that repeat and other columns change nothing; an empty table gives an
+    empty result. Texts of any length are read whole, word by word.
     """
     sent = docs.sparkSession.sparkContext.broadcast(models)
 

@@ -8,6 +8,7 @@ at most e insertions, deletions or substitutions of letters. Notices without err
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from dataclasses import dataclass, field
 
@@ -37,10 +38,11 @@ NOTICES = {
     "redistribution and use in source and binary forms": "bsd",
     "this program is free software you can redistribute it": "gpl",
 }
-# Letters of a notice for each edit that it may have.
+# Letters of a notice for each edit that it may have. Notices of fewer letters must stand there unharmed: one edit
+# makes another word of them.
 LETTERS_PER_EDIT = 10
-LONGEST_EXACT = 15  # notices of fewer letters must stand there unharmed
 
+SPACE = re.compile(" ")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 # Bytes of words stay, A-Z become lower case, all others a space.
 _WORD_BYTES = bytes(
@@ -49,7 +51,7 @@ _WORD_BYTES = bytes(
 
 
 def edits_of(notice: str) -> int:
-    return 0 if len(notice) < LONGEST_EXACT else len(notice) // LETTERS_PER_EDIT
+    return len(notice) // LETTERS_PER_EDIT
 
 
 def pieces(notice: str, edits: int) -> list[tuple[int, str]]:
@@ -109,7 +111,7 @@ class Scanner:
         for end, (length, owners) in self.automaton.iter(line):
             for number, place in owners:
                 near[number].add(end + 1 - length - place)
-        found = []
+        found, spaces = [], []
         for number, starts in near.items():
             notice = self.notices[number]
             size, spans = len(notice.text), set()
@@ -118,17 +120,22 @@ class Scanner:
                     at += notice.edits == 0  # the piece of a notice without edits begins at the space before
                     if line[at - 1 : at + size + 1] == f" {notice.text} ":
                         spans.add((at, at + size, 0))
-            taken = -1
+            taken, unharmed = -1, sorted(spans)
             for low, high in _windows(starts, size, notice.edits + 2):
                 for match in notice.pattern.finditer(line, max(0, low), high, overlapped=False) if notice.edits else ():
-                    if match.start() >= taken and all(match.end() <= a or b <= match.start() for a, b, _ in spans):
-                        spans.add((*match.span(), sum(match.fuzzy_counts)))
-                        taken = match.end()
+                    a, b = match.span()
+                    after = bisect_left(unharmed, (a, a, 0))  # unharmed places of one phrase are equally long
+                    free = (after == len(unharmed) or b <= unharmed[after][0]) and (not after or unharmed[after - 1][1] <= a)
+                    if a >= taken and free:
+                        spans.add((a, b, sum(match.fuzzy_counts)))
+                        taken = b
             if not notice.base and not notice.edits:
                 spans |= {(at + 1, at + 1 + size, 0) for at in starts if line[at : at + size + 2] == f" {notice.text} "}
+            if spans and not spaces:
+                spaces = [m.start() for m in SPACE.finditer(line)]
             for a, b, edits in spans:
-                first = line.count(" ", 0, a) - 1
-                found.append(Found(notice.label, notice.base, first, first + line.count(" ", a, b) + 1, edits, size))
+                first, last = bisect_left(spaces, a) - 1, bisect_left(spaces, b)
+                found.append(Found(notice.label, notice.base, first, last, edits, size))
         return len(words), sorted(found, key=lambda f: (f.first, f.last, f.label, f.edits))
 
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, importable, join_ids, map_texts, text_of
+from strandline.llm.common import cut, importable, join_keys, map_texts, one_of_each, text_digest, text_of
 
 RADIUS = 4
 SHINGLE_WORDS = 4
@@ -58,12 +58,13 @@ def fingerprint(text: str) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``code`` (the fingerprint as long) of every row; a null text counts as empty, with code 0."""
+    """``doc_id``, ``digest`` of the text and ``code`` (the fingerprint as long) of every row; a null text counts as empty, with code 0."""
 
     def start():
-        return lambda doc_ids, texts: zip(doc_ids, map(fingerprint, texts), strict=True)
+        return lambda doc_ids, digests, texts: zip(doc_ids, digests, map(fingerprint, texts), strict=True)
 
-    return map_texts(docs.select("doc_id", text_of()), "doc_id long, code long", start)
+    read = docs.select("doc_id", text_digest().alias("digest"), text_of())
+    return map_texts(read, "doc_id long, digest binary, code long", start)
 
 
 # ------------------------------------------------------------------ BK-trees
@@ -239,6 +240,19 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
+def _with_components(coded: DataFrame, tree_members: int = TREE_MEMBERS) -> DataFrame:
+    """``code``, ``root`` and ``component_id`` for every different fingerprint of ``coded``.
+
+    Both sides of each join by ``root`` are written or shuffled by themselves, so AQE can split a root of very many fingerprints.
+    """
+    codes = cut(coded.groupBy("code").agg(F.min("doc_id").alias("least")))
+    grouped = components(links(codes.select("code"), tree_members))
+    rooted = codes.join(grouped, codes["code"] == grouped["node"], "left")
+    rooted = cut(rooted.select("code", "least", F.coalesce("root", "code").alias("root")))
+    least = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    return rooted.select("code", "root").join(least, "root")
+
+
 def near_groups(docs: DataFrame, tree_members: int = TREE_MEMBERS) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` for every row of ``docs``.
 
@@ -247,22 +261,27 @@ def near_groups(docs: DataFrame, tree_members: int = TREE_MEMBERS) -> DataFrame:
     one node, so thousands of copies cost one search. Null ids count for nothing: a group of rows without any
     id has component null. Repeated ids give a row each; other columns are ignored; an empty table gives an empty result.
     """
-    coded = cut(fingerprints(docs))
-    codes = cut(coded.groupBy("code").agg(F.min("doc_id").alias("least")))
-    grouped = components(links(codes.select("code"), tree_members))
-    rooted = codes.join(grouped, codes["code"] == grouped["node"], "left")
-    rooted = rooted.select("code", "least", F.coalesce("root", "code").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("code", "root").join(least, "root").select("code", "component_id")
-    return coded.join(named, "code").select(
+    coded = cut(fingerprints(docs).drop("digest"))
+    return coded.join(_with_components(coded, tree_members), "code").select(
         "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with the smallest ``doc_id`` of each group of ``near_groups``, columns unchanged.
+def drop_near_copies(docs: DataFrame, tree_members: int = TREE_MEMBERS) -> DataFrame:
+    """One row of each group of ``docs`` that links of ``RADIUS`` bits or fewer connect, columns unchanged.
 
-    Rows without ``doc_id`` can't be told apart by it and stay.
+    It is the row of the group's smallest ``doc_id``; no id comes after all ids. Rows are told apart by id and text together: a text
+    of another group is never lost with a row of its id, and rows without id are judged like all others. Of rows of the
+    smallest id the one whose text has the smallest SHA-256 stays, and of rows that agree in both the smallest one, by
+    its columns in order. Null and empty texts are one text; an empty table stays empty.
     """
-    groups = near_groups(docs)
-    return join_ids(docs, groups.where("doc_id <> component_id").select("doc_id"), "left_anti")
+    coded = cut(fingerprints(docs))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("first")
+    rooted = _with_components(coded, tree_members).select("code", "root")
+    kept = cut(coded.join(rooted, "code").groupBy("root").agg(first).select("first.doc_id", "first.digest"))
+    # More rows stay than go, so those that go are joined; they are counted from the narrow rows.
+    keys = {"doc_id": coded["doc_id"], "digest": coded["digest"]}
+    gone = join_keys(coded, kept, keys, "left_anti")
+    left = join_keys(docs, gone, {"doc_id": docs["doc_id"], "digest": text_digest()}, "left_anti")
+    repeated = coded.groupBy("doc_id", "digest").count().where("count > 1")
+    return one_of_each(left, repeated, {"doc_id": left["doc_id"], "digest": text_digest()})

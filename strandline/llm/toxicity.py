@@ -2,9 +2,10 @@
 
 1. Voters. Each lexicon voter looks for one term: a fixed English word, or a word beginning mined from labelled
    rows. Pattern voters look at the shape of a text.
-2. Label model. A mixture of toxic and clean rows says how often each voter speaks in either. Voters that speak
+2. Label model. A mixture of clean rows and some kinds of toxic ones says how often each voter speaks in each. Voters that speak
    together more often than that allows are correlated; they become a family with a joint table, so that
-   saying the same thing twice does not count twice. Fitted by expectation maximisation.
+   saying the same thing twice does not count twice. A given label is one more voter, silent on rows without label, and its
+   accuracy is estimated like that of the others. Fitted by expectation maximisation on labelled and unlabelled rows.
 3. Classifier. A logistic model on term counts and patterns learns the posteriors, and scores any text.
 """
 
@@ -13,33 +14,38 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from math import log1p
+from math import log, log1p
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, importable, is_held_out, map_texts, sample_by_hash, text_of
+from strandline.llm.common import cut, importable, is_held_out, map_texts, sample_texts, text_digest, text_of
 
 # Insults that stand for themselves in English text.
 INSULTS = "clown disgusting dumb fool hate idiot imbecile jerk loser moron pathetic scum stupid trash ugly worthless".split()
 BEGINNINGS = range(3, 8)
-# Labelled rows of each class that the fit reads: a bound on the classifier's sample. Weights restore the class ratio.
+# Rows of each class, and without label, that the fit reads: a bound on the classifier's sample. Weights restore the ratio.
 FIT_ROWS = 6_000
-# A mined term stands in so many toxic rows at least, and so many times as often among their words as among others'.
+UNLABELLED = -1
+# A mined term stands in so many toxic rows at least, and so many times as often among their words as among others'. Chance
+# would make less than e to the minus ``TERM_SURPRISE`` such terms of all there are: a bound on counts, so that
+# a rare term that is certain counts at any size.
 TERM_ROWS = 4
-TERM_ODDS = 6
+TERM_ODDS = 5
+TERM_SURPRISE = 1.0
 TERMS = 64
 TERM_ACCURACY = 0.35
-TERM_SHARE = 0.015  # of the toxic rows
-# Log-odds by which a given label speaks for its class in the label model: a voter that errs once in fifty times.
+# Log-odds by which a label speaks for its class before its accuracy is estimated, and at most: it errs once in fifty times.
 LABEL_ODDS = 4.0
+LABEL_TURNED = (0.05, 0.95)  # a label is never taken to be wrong more often than this
 # What a lexicon voter says: its term is absent, stands once, or more often.
 LEVELS = 3
 # Conditional correlation from which two voters share a table, and most voters in one.
 CORRELATED = 0.15
 FAMILY = 3
+KINDS = 6  # of toxic rows
 THRESHOLD = 0.7
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -111,33 +117,69 @@ def votes(matrix: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """Posteriors of the toxic class from votes; ``families`` are the voters with a joint table."""
+    """Posteriors of the toxic class from votes; ``families`` are the voters with a joint table.
+
+    The clean class is one component, the toxic class ``KINDS`` of them: rows of another language hold other terms, and that a term of
+    one kind is silent must not speak against the others. ``tables`` have the log-chance of each vote of a family by component,
+    ``priors`` that of the components. ``label_odds`` are the log-odds for which a clean and a toxic label speak;
+    ``differs`` the share of labelled rows whose posterior says otherwise than their label.
+    """
 
     families: list[list[int]]
-    log_odds: list[np.ndarray]
-    prior: float
+    tables: list[np.ndarray]
+    priors: np.ndarray
     accuracy: np.ndarray
+    label_odds: tuple[float, float] = (-LABEL_ODDS, LABEL_ODDS)
+    differs: float = 0.0
+
+    def components(self, spoken: np.ndarray) -> np.ndarray:
+        """Log-chance of each row's votes together with each component."""
+        out = np.tile(self.priors, (len(spoken), 1))
+        for family, table in zip(self.families, self.tables, strict=True):
+            out += table[:, spoken[:, family] @ LEVELS ** np.arange(len(family))].T
+        return out
 
     def posterior(self, spoken: np.ndarray, anchor: np.ndarray | float = 0.0) -> np.ndarray:
-        odds = np.log(self.prior / (1 - self.prior)) + anchor + np.zeros(len(spoken))
-        for family, table in zip(self.families, self.log_odds, strict=True):
-            odds += table[spoken[:, family] @ LEVELS ** np.arange(len(family))]
+        each = self.components(spoken)
+        odds = np.logaddexp.reduce(each[:, 1:], axis=1) - each[:, 0] + anchor
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
+    def shares(self, spoken: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """How much of each row belongs to each component, if ``weight`` of it is toxic."""
+        kinds = self.components(spoken)[:, 1:]
+        kinds = np.exp(kinds - np.logaddexp.reduce(kinds, axis=1)[:, None])
+        return np.hstack([(1 - weight)[:, None], kinds * weight[:, None]])
 
-def _maximise(spoken: np.ndarray, weight: np.ndarray, families: list[list[int]], stands_for: np.ndarray) -> LabelModel:
+
+def _first_shares(spoken: np.ndarray, weight: np.ndarray, stands_for: np.ndarray) -> np.ndarray:
+    """Toxic rows by the first of some voters that speaks in them, each chosen as the one that covers most of the rest."""
+    says = spoken > 0
+    left = weight * stands_for
+    kind = np.full(len(spoken), KINDS)
+    for k in range(1, KINDS):
+        chosen = int(np.argmax(left @ says)) if says.shape[1] else 0
+        covered = (kind == KINDS) & says[:, chosen] if says.shape[1] else np.zeros(len(spoken), bool)
+        kind[covered] = k
+        left = np.where(covered, 0.0, left)
+    shares = np.zeros((len(spoken), KINDS + 1))
+    shares[np.arange(len(spoken)), kind] = weight
+    shares[:, 0] = 1 - weight
+    return shares
+
+
+def _maximise(spoken: np.ndarray, shares: np.ndarray, families: list[list[int]], stands_for: np.ndarray) -> LabelModel:
+    weighed = shares * stands_for[:, None]
+    # As many as rows were read, which is what the smoothing is for.
+    scale = shares.sum(0) / np.maximum(weighed.sum(0), 1e-9)
     tables = []
     for family in families:
         code, size = spoken[:, family] @ LEVELS ** np.arange(len(family)), LEVELS ** len(family)
-        sides = []
-        for w in (weight, 1 - weight):  # as many as rows were read, which is what the smoothing is for
-            counts = np.bincount(code, w * stands_for, size) * (w.sum() / max((w * stands_for).sum(), 1e-9)) + 0.05
-            sides.append(np.log(counts / counts.sum()))
-        tables.append(sides[0] - sides[1])
-    prior = float(np.clip((weight * stands_for).sum() / stands_for.sum(), 1e-4, 1 - 1e-4))
+        counts = np.array([np.bincount(code, w, size) for w in weighed.T]) * scale[:, None] + 0.05
+        tables.append(np.log(counts / counts.sum(1, keepdims=True)))
+    priors = np.log((weighed.sum(0) + 0.05) / (weighed.sum() + 0.05 * weighed.shape[1]))
     says = spoken > 0
-    accuracy = ((weight * stands_for) @ says + 0.5) / (stands_for @ says + 1)
-    return LabelModel(families, tables, prior, accuracy)
+    accuracy = ((weighed[:, 1:].sum(1)) @ says + 0.5) / (stands_for @ says + 1)
+    return LabelModel(families, tables, priors, accuracy)
 
 
 def _families(spoken: np.ndarray, weight: np.ndarray, stands_for: np.ndarray) -> list[list[int]]:
@@ -163,21 +205,59 @@ def _families(spoken: np.ndarray, weight: np.ndarray, stands_for: np.ndarray) ->
     return [list(f) for f in dict.fromkeys(map(tuple, family))]
 
 
+def _label_odds(label: np.ndarray, weight: np.ndarray, stands_for: np.ndarray) -> tuple[float, float]:
+    """What a clean and a toxic label say, from how often each stands on rows of either class."""
+    low, high = LABEL_TURNED
+    given = label >= 0
+    toxic = []
+    for w in (weight, 1 - weight):
+        w = (w * stands_for)[given]
+        toxic.append((w @ (label[given] > 0) + 0.5) / (w.sum() + 1.0))
+    in_toxic, in_clean = max(toxic[0], high), min(toxic[1], low)
+    odds = np.log((1 - in_toxic) / (1 - in_clean)), np.log(in_toxic / in_clean)
+    return float(max(odds[0], -LABEL_ODDS)), float(min(odds[1], LABEL_ODDS))
+
+
+def _said_by(label: np.ndarray, odds: tuple[float, float]) -> np.ndarray:
+    """The log-odds that the label of each row adds; none without label."""
+    return np.where(label > 0, odds[1], np.where(label == 0, odds[0], 0.0))
+
+
 def fit_label_model(
-    spoken: np.ndarray, anchor: np.ndarray, turns: int = 15, stands_for: np.ndarray | None = None
+    spoken: np.ndarray,
+    anchor: np.ndarray | None = None,
+    turns: int = 15,
+    stands_for: np.ndarray | None = None,
+    label: np.ndarray | None = None,
 ) -> LabelModel:
     """Estimate correlations and accuracies, then both again from what they say of each row.
 
-    ``anchor`` has the log-odds that are known of each row besides its votes, 0 where nothing is. ``stands_for`` has
-    the weight of each row, 1 on average.
+    ``label`` has the label of each row (1, 0, or ``UNLABELLED``), a voter whose accuracy is estimated too. Or ``anchor`` has the
+    log-odds that are known of each row besides its votes, 0 where nothing is. ``stands_for`` has the weight of each
+    row, 1 on average.
     """
     stands_for = np.ones(len(spoken)) if stands_for is None else stands_for
+    odds = (-LABEL_ODDS, LABEL_ODDS)
+    if label is not None:
+        anchor = _said_by(label, odds)
+        given = label >= 0
+    else:
+        given = np.ones(len(spoken), bool)
     weight = 1 / (1 + np.exp(-anchor))
     for turn in range(turns):
+        # The first turn knows nothing of rows without label, so it learns from the others alone.
+        counts_for = stands_for if turn else stands_for * given
         if turn in (0, turns // 2):  # what is known besides the votes can't be misled by voters that say the same
-            families = _families(spoken, weight, stands_for)
-        model = _maximise(spoken, weight, families, stands_for)
+            families = _families(spoken, weight, counts_for)
+        shares = model.shares(spoken, weight) if turn else _first_shares(spoken, weight, counts_for)
+        model = _maximise(spoken, shares, families, counts_for)
+        if label is not None and turn:
+            odds = _label_odds(label, weight, stands_for)
+            anchor = _said_by(label, odds)
         weight = model.posterior(spoken, anchor)
+    if label is not None:
+        model.label_odds = odds
+        model.differs = float(((weight > 0.5) != (label > 0))[given].mean()) if given.any() else 0.0
     return model
 
 
@@ -253,9 +333,14 @@ def mine_terms(labelled: DataFrame) -> list[str]:
     total = counts.where("term = ''").first()
     if not total or not total["toxic"]:
         return []
-    least = max(TERM_ROWS, TERM_SHARE * labelled.where("toxic = 1").count())
     odds = (F.col("toxic") / float(total["toxic"])) / ((F.col("clean") + 1) / float(total["clean"] + 1))
-    telling = counts.where((F.col("term") != "") & (F.col("toxic_rows") >= least) & (odds >= TERM_ODDS))
+    # Chernoff's bound: the logarithm of the chance that a term stands in so many toxic rows without telling anything.
+    share = float(total["toxic"]) / float(total["toxic"] + total["clean"])
+    n, k = F.col("toxic_rows") + F.col("clean"), F.col("toxic_rows")
+    rest = F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (n * (1 - share)))).otherwise(0.0)
+    surprise = k * F.log(k / (n * share)) + rest
+    telling = counts.where((F.col("term") != "") & (k >= TERM_ROWS) & (odds >= TERM_ODDS))
+    telling = telling.where(surprise >= log(counts.count()) + TERM_SURPRISE)
     telling = telling.orderBy((F.col("toxic_rows") * F.log(odds)).desc(), F.length("term").desc(), "term")
     found: list[str] = []
     for row in telling.limit(TERMS * 50).collect():
@@ -268,16 +353,19 @@ def mine_terms(labelled: DataFrame) -> list[str]:
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learn from ``text`` of ``docs`` and ``toxic`` of ``labels``, without the held-out rows.
 
-    At most about ``FIT_ROWS`` rows of each class are read, drawn by a hash, and weighted so that the classes
-    have the ratio of all labelled rows, whatever their number. Rows without label, and ids that
-    are labelled more than once in different ways, are left out. Without labelled rows the fixed
-    words alone are the lexicon.
+    At most about ``FIT_ROWS`` rows of each class and as many without label are read, drawn by a hash of id and text, and weighted so
+    that the classes have the ratio of all labelled rows, whatever their number; an id on many rows keeps that bound. Terms are mined
+    from labelled rows; the label model and the classifier learn from unlabelled ones too, which together weigh no more
+    than the labelled ones. Ids that are labelled more than once in different ways count as unlabelled. Without labelled
+    rows, or without any, the fixed words alone are the lexicon.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id"))).groupBy("doc_id")
     known = known.agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("most"))
-    known = sample_by_hash(known.where("toxic = most").select("doc_id", "toxic"), "toxic", FIT_ROWS, stands_for="stands_for")
-    # The sample's bound is what makes it fit for a broadcast, and its texts for a second reading.
-    labelled = cut(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"))
+    known = cut(known.where("toxic = most").select("doc_id", "toxic"))  # so that AQE can split an id of very many rows
+    keyed = docs.where(~is_held_out(F.col("doc_id"))).select("doc_id", text_digest().alias("digest"))
+    keyed = keyed.join(known, "doc_id", "left").fillna(UNLABELLED, "toxic")
+    sample = cut(sample_texts(docs, keyed, "toxic", FIT_ROWS, "stands_for"))
+    labelled = sample.where(F.col("toxic") != UNLABELLED)
     terms = [f"{word}$" for word in INSULTS]
     terms += [t for t in mine_terms(labelled) if not any(word.startswith(t) or t.startswith(word) for word in INSULTS)]
 
@@ -285,7 +373,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         own = Terms(terms)
         return lambda texts, *known: [(*k, features(text, own)) for text, *k in zip(texts, *known, strict=True)]
 
-    read = labelled.select(text_of(), "toxic", "stands_for")
+    read = sample.select(text_of(), "toxic", "stands_for")
     rows = map_texts(read, "toxic long, stands_for double, x array<double>", start).collect()
     # A few plain rows keep the model defined where there are no labelled ones.
     lexicon = len(terms)
@@ -296,11 +384,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     label = np.array([row["toxic"] for row in rows] + [0] * len(plain) + [1] * len(insult), float)
     # 1 on average: the plain rows and insults count as rows of the sample, as the ridge and the smoothing do.
     weight = np.array([row["stands_for"] for row in rows])
-    stands_for = np.concatenate([weight / (weight.mean() if len(rows) else 1.0), np.ones(len(label) - len(rows))])
+    unlabelled = label[: len(rows)] == UNLABELLED
+    weight[unlabelled] *= min(1.0, weight[~unlabelled].sum() / max(weight[unlabelled].sum(), 1e-9))
+    mean = weight.mean() if weight.sum() else 1.0
+    stands_for = np.concatenate([weight / mean, np.ones(len(label) - len(rows))])
     spoken = votes(matrix)
-    anchor = np.where(label > 0, LABEL_ODDS, -LABEL_ODDS)
     # Terms that turn out to be inaccurate voters are dismissed, and the rest is fitted again.
-    right = fit_label_model(spoken, anchor, stands_for=stands_for).accuracy[:lexicon] >= TERM_ACCURACY
+    right = fit_label_model(spoken, label=label, stands_for=stands_for).accuracy[:lexicon] >= TERM_ACCURACY
     right |= np.arange(lexicon) < len(INSULTS)
     terms = [term for term, good in zip(terms, right, strict=True) if good]
     counts = np.rint(np.expm1(matrix[:, :lexicon][:, right]))
@@ -308,8 +398,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     together = _together(counts.sum(1), (counts > 0).sum(1), np.expm1(10 * shape[:, -1]))
     matrix = np.hstack([np.log1p(counts), counts > 1, np.stack(together, 1), shape])
     spoken = votes(matrix)
-    model = fit_label_model(spoken, anchor, stands_for=stands_for)
-    weights = fit_logistic(matrix, model.posterior(spoken, anchor), stands_for=stands_for)
+    model = fit_label_model(spoken, label=label, stands_for=stands_for)
+    target = model.posterior(spoken, _said_by(label, model.label_odds))
+    weights = fit_logistic(matrix, target, stands_for=stands_for)
     return ToxicityModel(terms, weights, model)
 
 
@@ -317,7 +408,7 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` for every row of ``docs``, from the whole text only.
 
     A null text counts as empty and gets the score of a text without any sign. Rows that repeat get the same score,
-    null ids stay null and are not held out, other columns are ignored.
+    null ids stay null and are not held out, other columns are ignored; an empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -337,7 +428,8 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows whose text scores ``threshold`` or more, columns unchanged, in one pass.
 
-    Rows without text stay.
+    Each row is judged by its own whole text, whatever its id: rows without id and rows that repeat one are kept or dropped each by
+    itself. Null and empty texts stay; an empty table stays empty.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -94,16 +94,25 @@ def featured(rows: DataFrame) -> DataFrame:
 
 
 def suffix_statistics(rows: DataFrame) -> DataFrame:
-    """For each ``suffix``: how frequent it is, as a logarithm, and the smoothed share of blocked URLs among
-    those of its rows that a rule decides. Partial sums keep a hot suffix to a row for each task."""
-    blocked = F.sum((F.col("decided") == "block").cast("double"))
-    known = F.count("decided")
-    return rows.groupBy("suffix").agg(
-        F.log1p(F.count("*").cast("double")).alias("suffix_frequency"),
-        ((F.coalesce(blocked, F.lit(0.0)) + 5.0) / (known + 10.0)).alias("suffix_blocked"),
+    """For each ``suffix``: how frequent it is, as a logarithm, and how many of its rows a rule decides, and blocks.
+
+    Partial sums keep a hot suffix to a row for each task. The sums are written, so that in a join with them both sides are
+    shuffled by themselves and AQE can split the rows of a hot suffix."""
+    blocked = F.sum((F.col("decided") == "block").cast("long"))
+    return cut(
+        rows.groupBy("suffix").agg(
+            F.log1p(F.count("*").cast("double")).alias("suffix_frequency"),
+            F.coalesce(blocked, F.lit(0)).alias("n_blocked"),
+            F.count("decided").alias("n_decided"),
+        )
     )
 
 
+def _blocked_share(blocked: Column, decided: Column) -> Column:
+    """The smoothed share of blocked rows among the decided ones."""
+    return ((blocked + 5.0) / (decided + 10.0)).alias("suffix_blocked")
+
+
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule`` (or null) and ``verdict`` for every row of ``pages``.
 
@@ -117,11 +126,15 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     ruled = with_rule(parsed(pages), rules)
     rows = featured(ruled)
     suffixes = suffix_statistics(rows)
-    rows = rows.join(suffixes, "suffix")
+    rows = rows.join(suffixes, "suffix").withColumn("suffix_blocked", _blocked_share(F.col("n_blocked"), F.col("n_decided")))
     label = (F.col("decided") == "block").cast("double").alias("label")
     decided = ruled.where("decided IS NOT NULL").groupBy("url", "host", "path", "decided").agg(F.count("*").alias("copies"))
     known = featured(sample_by_copies(decided, "decided", FIT_ROWS, "url", "stands_for"))
-    known = cut(known.join(suffixes, "suffix").select(label, "stands_for", *FEATURES))
+    # A URL to learn from doesn't count itself: else the share of its suffix would tell its verdict.
+    others = F.col("n_blocked") - F.when(F.col("decided") == "block", F.col("copies")).otherwise(0)
+    share = _blocked_share(others, F.col("n_decided") - F.col("copies"))
+    own = [name for name in FEATURES if name != "suffix_blocked"]
+    known = cut(known.join(suffixes, "suffix").select(label, "stands_for", *own, share))
     columns = ["page_id", "host", "path", "rule"]
     if known.select("label").distinct().count() < 2:
         return rows.select(*columns, F.coalesce("decided", F.lit("allow")).alias("verdict"))

@@ -66,7 +66,7 @@ def test_edges(spark, docs_of):
     assert rows_of(got, "doc_id", "item_id", "n_shared", "n_shingles", "containment") == [(1, 1, 4, 4, 1.0), (4, 1, 4, 4, 1.0)]
     left = decontaminate.drop_contaminated(docs, items)
     assert left.columns == docs.columns
-    assert rows_of(left, "doc_id") == sorted([(None,), (2,), (3,), (5,)], key=repr)
+    assert rows_of(left, "doc_id") == [(2,), (3,), (5,)]
     assert decontaminate.contained_items(docs_of([]), items).count() == 0
     assert decontaminate.contained_items(docs, items.limit(0)).count() == 0
 
@@ -75,3 +75,36 @@ def test_no_python_on_the_way(spark, docs_of):
     items = spark.createDataFrame([(1, "a b c d e f")], ITEMS)
     plan = plan_of(decontaminate.contained_items(docs_of([(1, "a b c d e f")]), items))
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_the_text_decides_and_not_the_id(docs_of, spark):
+    item = "one two three four five six seven"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, f"x {item} y"), (1, "a clean text of its own"), (None, f"{item}"), (None, "clean as well"), (2, None), (3, f"x {item} y")]
+    kept = decontaminate.drop_contaminated(docs_of(rows), items)
+    assert rows_of(kept, "doc_id", "text") == sorted([(1, "a clean text of its own"), (None, "clean as well"), (2, None)], key=repr)
+    assert kept.columns == docs_of(rows).columns
+
+
+def test_no_list_of_words_is_shuffled(docs_of, spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", -1)
+    monkeypatch.setattr("strandline.llm.common.BROADCAST_IDS", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        item = "one two three four five six seven"
+        items = spark.createDataFrame([(1, item), (2, "other words that are not in any text here")], "item_id long, text string")
+        found = decontaminate.contained_items(docs_of([(1, f"x {item} y"), (2, "some words of no item at all")]), items)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        physical = found._jdf.queryExecution().executedPlan()
+        assert rows_of(found, "doc_id", "item_id") == [(1, 1)]
+        text = found._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        # What goes into an exchange: never the arrays of words or of their hashes.
+        parts = text.split("\n(")
+        moved = [part.split("Input")[1].splitlines()[0] for part in parts if "Exchange" in part.splitlines()[0] and "Input" in part]
+        assert moved
+        assert not any("words#" in line or "codes#" in line for line in moved), moved
+        assert "Join" in plan and physical is not None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -42,3 +42,18 @@ def test_drop_keeps_columns(docs_of):
     kept = drop_exact_copies(docs)
     assert kept.columns == docs.columns
     assert rows_of(kept, "doc_id") == [(1,), (3,), (4,), (7,), (8,)]
+
+
+def test_a_text_is_not_lost_with_its_id(docs_of, monkeypatch):
+    rows = [(1, "a b"), (2, "a  b"), (2, "unique text"), (None, "q"), (None, "q"), (5, "q"), (None, "r"), (None, "r"), (3, "s"), (3, "s")]
+    want = [(1, "a b"), (2, "unique text"), (5, "q"), (None, "r"), (3, "s")]
+    assert rows_of(drop_exact_copies(docs_of(rows)), "doc_id", "text") == sorted(want, key=repr)
+    monkeypatch.setattr("strandline.llm.common.BROADCAST_IDS", 0)
+    assert rows_of(drop_exact_copies(docs_of(rows).repartition(4)), "doc_id", "text") == sorted(want, key=repr)
+
+
+def test_rows_that_share_id_and_text(spark):
+    rows = [(1, "a b", "z"), (1, "a  b", "y"), (1, "a b", "x"), (2, "a b", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = drop_exact_copies(docs).collect()
+    assert [tuple(r) for r in kept] == [(1, "a  b", "y")]  # the smallest by its columns in order

@@ -114,3 +114,33 @@ def test_memory_that_starts_anew_changes_nothing(trained, monkeypatch):
     monkeypatch.setattr(langid, "MEMORY_WORDS", 1)
     own = langid.Recogniser(models)
     assert np.allclose([own.entropies([t])[0] for t in texts], want)
+
+
+def sampled(spark, docs, most=2_000):
+    from strandline.llm.common import sample_texts, text_digest
+
+    keyed = docs.select("lang", "doc_id", text_digest().alias("digest"))
+    return sample_texts(docs, keyed, "lang", most)
+
+
+def test_samples_hold_their_bound_whatever_the_ids(spark):
+    rows = spark.range(30_000).selectExpr("concat('text ', id) AS text", "'aa' AS lang")
+    for doc_id in ("CAST(NULL AS BIGINT)", "7", "length(text)"):
+        got = sampled(spark, rows.selectExpr(f"{doc_id} AS doc_id", "text", "lang"))
+        assert 1_600 < got.count() < 2_400, doc_id
+        assert 1_300 < got.select("unit").distinct().count()
+
+
+def test_copies_neither_fill_a_sample_nor_keep_others_out(spark):
+    rows = spark.range(30_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "IF(id % 30 = 0, concat('text ', id), 'copy') AS text", "'aa' AS lang")
+    got = sampled(spark, rows)
+    assert got.count() == 1_001
+    assert got.where("text = 'copy'").count() == 1
+
+
+def test_one_id_on_all_rows_is_learnt_from(spark):
+    rows = [(7, f"the cat sat on mat {i}" if i % 2 else f"der hund und katze {i}", "aa" if i % 2 else "bb", "s", 1) for i in range(400)]
+    models = langid.fit(spark.createDataFrame(rows, DOCS))
+    assert models.languages == ["aa", "bb"]
+    got = langid.identify(spark.createDataFrame([(1, "the cat", None, None, 0), (2, "der hund", None, None, 0)], DOCS), models)
+    assert rows_of(got, "doc_id", "lang_pred") == [(1, "aa"), (2, "bb")]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import regex
 from tests.llm.conftest import rows_of
@@ -90,3 +91,33 @@ def test_edges(docs_of):
         [(1, 0, 0, None, "", 0.0), (2, 0, 0, None, "", 0.0), (3, 100_002, 1, 100_000, "mit", 1.0), (None, 2, 1, 0, "cc-by", 1.0),
          (4, 0, 0, None, "", 0.0), (4, 0, 0, None, "", 0.0)], key=repr)
     assert licenses.scan_notices(docs_of([])).count() == 0
+
+
+def test_short_notices_are_searched_with_an_edit():
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES)
+    count, found = scanner.scan("Apache licence or MIT licence, CC bye; the mitt licenses; gnu generel public license")
+    assert sorted({f.label for f in found}) == ["apache", "gpl", "mit"]
+    assert [f.label for f in found if f.base and not f.edits] == []
+    assert count == 14
+    _, found = scanner.scan("a permit license of its own, cc buy, apache lice")
+    assert found == []
+
+
+def test_base_columns_do_not_follow_the_edits(docs_of):
+    rows = [(1, "apache licence mit license apache  license"), (2, "apache licence")]
+    got = licenses.scan_notices(docs_of(rows))
+    assert rows_of(got, "doc_id", "n_base", "base_labels", "labels", "first_word", "last_word") == [
+        (1, 2, "apache,mit", "apache,mit", 2, 4), (2, 0, "", "apache", None, None)]
+
+
+def test_a_text_full_of_notices_takes_linear_time():
+    scanner = licenses.Scanner(licenses.BASE, licenses.NOTICES)
+    seconds = {}
+    for text in ("cc by ", "mit license ", "mit licence ", "gnu general public license "):
+        for many in (10_000, 40_000):
+            start = time.perf_counter()
+            _, found = scanner.scan(text * many)
+            seconds[text, many] = time.perf_counter() - start
+            assert len(found) == many
+        assert seconds[text, 40_000] < 8 * max(0.05, seconds[text, 10_000])
+    assert seconds["cc by ", 40_000] < 1.0

@@ -120,5 +120,25 @@ def test_edges(docs_of):
     )
     kept = simhash.drop_near_copies(docs)
     assert kept.columns == docs.columns
-    assert rows_of(kept, "doc_id") == sorted([(2,), (3,), (8,), (None,), (None,)], key=repr)
+    assert rows_of(kept, "doc_id") == sorted([(2,), (3,), (8,), (None,)], key=repr)
     assert simhash.near_groups(docs_of([])).count() == 0
+
+
+def test_a_text_is_not_lost_with_its_id(docs_of):
+    words = "w%d " * 50 % tuple(range(50))
+    rows = [(1, words), (2, words + "."), (2, "another text of its own"), (None, words), (None, "alone"), (None, "alone"), (7, "alone")]
+    rows += [(8, "twice there"), (8, "twice there"), (9, None), (9, "")]
+    kept = simhash.drop_near_copies(docs_of(rows).repartition(3))
+    assert rows_of(kept, "doc_id", "text") == sorted(
+        [(1, words), (2, "another text of its own"), (7, "alone"), (8, "twice there"), (9, "")], key=repr
+    ) or rows_of(kept, "doc_id", "text") == sorted(
+        [(1, words), (2, "another text of its own"), (7, "alone"), (8, "twice there"), (9, None)], key=repr
+    )
+
+
+def test_a_root_of_many_fingerprints_can_be_split(spark, docs_of):
+    """Both sides of each join by root are read from what was written, so neither is bound to the other's dealing."""
+    coded = spark.range(50).selectExpr("id AS doc_id", "id * 7 AS code")
+    plan = simhash._with_components(coded)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan
+    assert plan.count("Scan ExistingRDD") == 2

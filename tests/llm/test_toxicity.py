@@ -84,3 +84,55 @@ def test_label_model_finds_accuracies_and_families():
     assert right > 0.86
     want = [(truth & (spoken[:, k] > 0)).sum() / spoken[:, k].sum() for k in range(5)]
     assert np.abs(model.accuracy - want).max() < 0.12
+
+
+def test_a_wrong_label_is_outvoted_and_unlabelled_rows_are_used():
+    rng = np.random.default_rng(3)
+    truth = rng.random(6_000) < 0.3
+    spoken = np.stack([np.where(truth, rng.random(6_000) < 0.75, rng.random(6_000) < 0.03) for _ in range(6)], 1).astype(int)
+    label = np.where(rng.random(6_000) < 0.85, truth, ~truth).astype(int)
+    label[2_000:] = toxicity.UNLABELLED
+    model = toxicity.fit_label_model(spoken, label=label)
+    posterior = model.posterior(spoken, toxicity._said_by(label, model.label_odds))
+    assert ((posterior > 0.5) == truth).mean() > 0.95  # better than the labels, and where there are none
+    assert model.differs > 0.02  # labels are outvoted, and not only repeated
+    # Its accuracy is estimated, down to the bound, and the voters' accuracies are those of the truth.
+    assert model.label_odds[1] < 3.0 and model.label_odds[0] > -3.0
+    assert np.abs(model.accuracy - spoken[truth].sum(0) / spoken.sum(0)).max() < 0.05
+
+
+def test_labels_that_are_right_stay_as_they_are():
+    rng = np.random.default_rng(4)
+    truth = rng.random(2_000) < 0.2
+    spoken = np.stack([np.where(truth, rng.random(2_000) < 0.5, rng.random(2_000) < 0.02) for _ in range(3)], 1).astype(int)
+    model = toxicity.fit_label_model(spoken, label=truth.astype(int))
+    assert model.differs < 0.03
+    assert model.label_odds[1] > 3.5 and model.label_odds[0] < -2.9
+
+
+def test_a_labelled_id_on_very_many_rows_keeps_the_bound(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 50)
+    rows = [(1, f"you idiot {i}") for i in range(3_000)] + [(i, f"fine words {i}") for i in range(2, 300)]
+    labels = spark.createDataFrame([(i, 1, int(i == 1)) for i in range(1, 300)], LABELS)
+    read = []
+    real = toxicity.features
+    monkeypatch.setattr(toxicity, "features", lambda *a: read.append(1) or real(*a))
+    seen = []
+    cut = toxicity.cut
+    monkeypatch.setattr(toxicity, "cut", lambda df: seen.append(cut(df)) or seen[-1])
+    toxicity.fit(docs_of(rows), labels)
+    assert seen[-1].count() < 250
+
+
+def test_a_term_of_a_small_language_is_kept(spark, docs_of):
+    draw = random.Random(8)
+    rows, labels = [], []
+    for i in range(3_000):
+        toxic, small = i % 6 == 0, i % 300 == 0
+        words = [draw.choice(["river", "stone", "cloud", "tree", "grass", "bird"]) for _ in range(30)]
+        if toxic:
+            words[draw.randrange(30)] = "zargoth" if not small else "blixumo"  # in one of fifty toxic rows
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    model = toxicity.fit(docs_of(rows), spark.createDataFrame(labels, LABELS))
+    assert any("blixumo".startswith(term) for term in model.terms)  # in one of fifty toxic rows

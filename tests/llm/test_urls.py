@@ -138,3 +138,23 @@ def test_edges(spark):
 def test_no_python_on_the_way(spark):
     pages = pages_of(spark, [(i, f"http://h{i}.com/{'de' if i % 2 else 'fr'}/{i}") for i in range(60)])
     assert not re.search("Python|Pandas|Arrow", plan_of(urls.judge(pages).where(F.col("page_id") > 0)))
+
+
+def test_a_hot_suffix_is_split_in_the_join(spark):
+    rows = spark.range(200).selectExpr("concat('h', id % 5, '.com') AS suffix", "'block' AS decided")
+    joined = rows.join(urls.suffix_statistics(rows), "suffix")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan  # the sums were written: both sides of the join have a shuffle of their own
+
+
+def test_a_url_does_not_count_itself(spark, monkeypatch):
+    """Of two URLs of one suffix, one blocked, each sees the other's verdict only."""
+    seen = []
+    real = urls.cut
+    monkeypatch.setattr(urls, "cut", lambda df: seen.append(real(df)) or seen[-1])
+    pages = [(1, "http://a.org/x"), (2, "http://example.org/es/y"), (3, "http://example.org/fr/z"), (4, "http://example.org/fr/z")]
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"))
+    assert got.count() == 4
+    rows = {(r["label"], r["path_length"]): r["suffix_blocked"] for r in seen[-1].collect()}
+    assert rows[1.0, 5.0] == pytest.approx((0 + 5) / (2 + 10))
+    assert rows[0.0, 5.0] == pytest.approx((1 + 5) / (1 + 10))
