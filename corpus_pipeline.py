@@ -11,27 +11,43 @@ from strandline.session import scratch_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject. It learns from ``docs`` and the table ``labels``."""
+    """Documents that the toxicity model does not reject. It learns from ``docs`` and the table ``labels``.
+
+    Each row is judged by its own whole text, however long; null and empty texts stay, as do rows without id and rows that repeat if
+    their text does. Without labels the fixed words alone decide. Extra columns stay; an empty table stays empty.
+    """
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each text."""
+    """One row of each text, that of the smallest ``doc_id``, whole texts compared.
+
+    Rows are told apart by id and text: a text that is there once stays whatever its id, rows without id are judged like all others, and
+    of rows that agree in both the smallest stays. Null and empty texts are one text. Extra columns stay; an empty table stays empty.
+    """
     return exact.drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: fingerprints of four-word shingles that differ in four bits or fewer.
+
+    That of the smallest ``doc_id`` stays; ids that are null or repeat are as in the stage before. Texts without words, null ones among
+    them, are one group. Whole texts, however long. Extra columns stay; an empty table stays empty.
+    """
     return simhash.drop_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an item of the table ``benchmark``."""
+    """Documents without an item of the table ``benchmark`` (0.8 or more of its five-word shingles).
+
+    The text alone decides, whatever the ids. Null, empty and short texts stay, long ones are searched whole; without items all stay. Extra
+    columns stay; an empty table stays empty.
+    """
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
+    """Token counts and digests of what is left: one row for each row, whatever its id; a null text has no tokens."""
     return encoded(docs)
 
 

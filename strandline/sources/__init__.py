@@ -6,7 +6,9 @@ from strandline.sources.files import (
     read_bronze,
     read_files,
     read_landed_json,
+    recent_days,
     stream_bronze,
+    stream_days,
     stream_files,
     stream_landed_json,
 )
@@ -28,9 +30,11 @@ __all__ = [
     "read_landed_json",
     "read_topic",
     "read_topics",
+    "recent_days",
     "reported_offsets",
     "scan_topics",
     "stream_bronze",
+    "stream_days",
     "stream_files",
     "stream_landed_json",
     "topic_options",

@@ -7,6 +7,7 @@ files that a batch job wrote (H7) nor break the read (H9).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +81,25 @@ def stream_files(
     return reader.parquet(glob_of(path, depth))
 
 
+def recent_days(as_of: datetime, days: int) -> list[str]:
+    """The UTC day of ``as_of``, the one after it (for clocks that run ahead) and ``days`` before it, as ``yyyy-mm-dd``."""
+    today = as_of.astimezone(timezone.utc).date()
+    return [(today + timedelta(days=n)).isoformat() for n in range(-days, 2)]
+
+
+def stream_days(
+    spark: SparkSession, path: str, schema: str | StructType, days: Sequence[str], depth: int = 2, **options
+) -> DataFrame:
+    """Streaming scan of the ``day=`` directories of some days, for jobs that run to the end of their input and start again.
+
+    Only those days are listed, whatever the history holds: give :func:`recent_days` with the lateness that rows may have. The
+    checkpoint remembers the files it has read, so the days may move on from run to run; a row that comes to a day
+    before the first one waits for a run that names it. Options as in :func:`stream_files`.
+    """
+    places = "{" + ",".join(days) + "}"
+    return stream_files(spark, f"{path.rstrip('/')}/day={places}", schema, depth, **options)
+
+
 def read_bronze(spark: SparkSession, path: str, schema: str = ENVELOPE, **options) -> DataFrame:
     """Batch scan of a bronze table (S4), options as in :func:`read_files`."""
     return read_files(spark, path, schema, **options)

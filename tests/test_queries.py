@@ -3,6 +3,8 @@
 import inspect
 import pathlib
 import re
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -108,3 +110,26 @@ def test_every_inventory_item_has_a_query_with_sql():
 
 def test_queries_say_what_they_cover():
     assert [n for n, q in entry.queries().items() if not inspect.getdoc(q)] == []
+
+
+@pytest.mark.parametrize("missing", ["ahocorasick", "public_tokenizers", "xxhash"])
+def test_the_entry_works_without_a_library_of_the_subpackage(missing):
+    """The guard is the entry's alone: it says why the subpackage is not there, and has all other queries."""
+    code = f"""
+import sys, warnings
+sys.modules[{missing!r}] = None
+with warnings.catch_warnings(record=True) as said:
+    warnings.simplefilter("always")
+    import __spark_entry__ as entry
+names = entry.queries()
+print(len(names), any(n.startswith("op1_") for n in names), any({missing!r} in str(w.message) for w in said))
+"""
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=120)
+    many, has_llm, said = run.stdout.split()[-3:]
+    assert int(many) > 70
+    assert (has_llm, said) == ("False", "True")
+
+
+def test_the_subpackage_is_there_if_its_folder_is():
+    has_folder = (ROOT / "strandline" / "llm" / "queries.py").exists()
+    assert ("pipeline" in entry.queries()) == has_folder
