@@ -24,7 +24,7 @@ from strandline.operators.health import (
     recent_activity,
     topic_checks,
 )
-from strandline.sources.files import file_inventory
+from strandline.sources.files import file_inventory, recent_days
 
 
 def check_files(
@@ -32,22 +32,29 @@ def check_files(
     locations: Sequence[tuple[str, str]],
     as_of: datetime,
     limit_seconds: int = FRESHNESS_SECONDS,
+    look_back_days: int | None = None,
 ) -> DataFrame:
     """Age of the newest Parquet file per location.
 
     A healthy table has a file younger than the limit, and those alone are listed first. Only locations
     without one are listed in full, to say how old they are.
+
+    For tables in ``day=`` directories, as the parts sink writes them, give ``look_back_days``: then the directories of the days within
+    the limit are listed, and for a location without a file there those of so many days, but never the whole history. What
+    has no file in that time is not there.
     """
     names = [name for name, _ in locations]
     # Listing compares whole seconds, so take one more; the exact test is in freshness().
     since = as_of.astimezone(timezone.utc) - timedelta(seconds=limit_seconds + 1)
-    recent = _newest(file_inventory(spark, locations, modified_after=since.strftime("%Y-%m-%dT%H:%M:%S")))
+    by_day = lambda n: None if look_back_days is None else recent_days(as_of, n)
+    near = by_day(1 + limit_seconds // 86_400)
+    recent = _newest(file_inventory(spark, locations, modified_after=since.strftime("%Y-%m-%dT%H:%M:%S"), days=near))
     # One row per location.
     seen = [tuple(row) for row in recent.collect()]
     newest = listed(spark, "stage STRING, micros BIGINT", seen)
     stale = [pair for pair in locations if pair[0] not in dict(seen)]
     if stale:
-        newest = newest.unionByName(_newest(file_inventory(spark, stale)))
+        newest = newest.unionByName(_newest(file_inventory(spark, stale, days=by_day(look_back_days))))
     latest = newest.select("stage", F.timestamp_micros("micros").alias("latest"))
     return freshness(latest, names, instant(as_of), limit_seconds)
 

@@ -139,13 +139,16 @@ def file_inventory(
     locations: Sequence[tuple[str, str]],
     suffix: str = ".parquet",
     modified_after: str | None = None,
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per file below each ``(stage, location)`` pair, at any depth.
 
     Only the listing is read, file contents are pruned. ``modified_after`` (UTC text) leaves older
     files out already at listing time, so a freshness check over a large table touches only what arrived
-    lately. A location that does not exist has no rows.
+    lately. ``days`` lists the ``day=`` directories of some days only, whatever else a location holds. A location that
+    does not exist has no rows.
     """
+    below = "" if days is None else "/day={" + ",".join(days) + "}"
     found = []
     for stage, location in locations:
         reader = (
@@ -156,7 +159,7 @@ def file_inventory(
         if modified_after:
             reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
         try:
-            files = reader.load(location)
+            files = reader.load(location.rstrip("/") + below)
         except AnalysisException as error:
             if not is_missing(error):
                 raise

@@ -225,3 +225,29 @@ def test_lag_of_rows_without_event_time(spark):
     checks = {r["check"]: (r["ok"], r["detail"]) for r in lag_checks(lag_profile(daily_sketches(rows, ["k"])), 4).collect()}
     assert checks == {"a": (False, "no event times"), "b": (False, "95 of 100 rows within 5 s, limit 4 s")}
     assert lag_profile(daily_sketches(rows.limit(0), ["k"])).count() == 0
+
+
+def test_file_checks_list_the_days_of_the_limit_only(spark, tmp_path, monkeypatch):
+    import importlib
+    import os
+
+    from strandline.plans import check_files
+
+    module = importlib.import_module("strandline.plans.health")
+    asked = []
+    real = module.file_inventory
+    monkeypatch.setattr(module, "file_inventory", lambda *a, **k: asked.append(k.get("days")) or real(*a, **k))
+    now = datetime(2024, 5, 20, 12, tzinfo=timezone.utc)
+    for name, day, age in (("new", "2024-05-20", 60), ("old", "2024-05-10", 9 * 86_400), ("ancient", "2024-01-01", 140 * 86_400)):
+        spark.range(1).coalesce(1).write.parquet(f"{tmp_path}/{name}/day={day}")
+        for entry in os.scandir(f"{tmp_path}/{name}/day={day}"):
+            os.utime(entry.path, ((now - timedelta(seconds=age)).timestamp(),) * 2)
+    names = ["new", "old", "ancient", "none"]
+    fresh = {r["stage"]: r for r in check_files(spark, [(n, f"{tmp_path}/{n}") for n in names], now, look_back_days=30).collect()}
+    assert {n: fresh[n]["age_seconds"] for n in names} == {"new": 60, "old": 9 * 86_400, "ancient": None, "none": None}
+    assert [fresh[n]["ok"] for n in names] == [True, False, False, False]
+    assert asked[0] == ["2024-05-19", "2024-05-20", "2024-05-21"]
+    assert len(asked[1]) == 32
+    whole = {r["stage"]: r for r in check_files(spark, [(n, f"{tmp_path}/{n}") for n in names], now).collect()}
+    assert whole["ancient"]["age_seconds"] == 140 * 86_400
+    assert asked[2:] == [None, None]
