@@ -34,6 +34,7 @@ def incremental(
     earliest: str | None = None,
     latest: str | None = None,
     ranges: DataFrame | None = None,
+    sketch: str | None = None,
 ) -> StreamingQuery:
     """Parse what arrives into the stream half of silver.
 
@@ -49,6 +50,9 @@ def incremental(
     ``time_bounded`` says that a key determines its row's ``timestamp``, as a place in the log does. Then only the
     days and times of the micro-batch are read, from both halves; give ``backfill_by_day`` if that was written so.
 
+    ``sketch`` is for keys that do not say what the time is: a location for sketches of the stream's parts, so that only those
+    that may hold a key of the micro-batch are read. The keys of ``backfill_path`` are read whole all the same.
+
     ``quarantine`` writes to ``part=silver`` and ``part=quarantine`` below ``path``, as in the backfill. Then
     ``backfill_path`` is the whole location of a backfill with quarantine, too.
     """
@@ -85,4 +89,5 @@ def incremental(
         name=name,
         time_bounded=time_bounded,
         split_by="part" if quarantine else None,
+        sketch=sketch,
     )
