@@ -25,6 +25,9 @@ from workloads.streams import NOW, finish
 
 _HALF = "(SELECT max(event_id) // 2 FROM events)"
 
+# Names one message where several bear the same time: the time, by which the stream finds its days, and the place in the log (H2).
+TIME_AND_PLACE = ["timestamp", *LOG_KEY]
+
 
 def _by_day(rows: DataFrame) -> DataFrame:
     """Messages that bear the start of their day as time, so that many share one."""
@@ -133,8 +136,8 @@ _SIDE = f"{ENVELOPE}, raw STRING, verdict STRING"
 
 def _quarantined_backfill(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_dir(spark, "quarantine")
-    bronze = cut_short(envelope(props_messages(events(spark, sf_dir))), "click")
-    backfill(bronze, PROPS, base, quarantine=True)
+    bronze = cut_short(envelope(props_messages(events(spark, sf_dir)), ["partition", "offset"]), "click")
+    backfill(bronze, PROPS, base, keys=TIME_AND_PLACE, quarantine=True)
     return base
 
 
