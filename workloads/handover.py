@@ -112,13 +112,13 @@ def stream_late_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dedup_prefers_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 H3 H5: of a full reading, an error reply, an empty list and broken text with one key the first stays"""
-    full = conditions_bronze(events(spark, sf_dir))
+    full = conditions_bronze(events(spark, sf_dir), ["partition", "offset"])
     copies = full
     for text in ('{"cod":401}', '{"weather":[]}', "{"):
         copies = copies.unionByName(full.withColumn("json_str", F.lit(text)))
-    batch = silver_rows(copies, CONDITIONS)
-    parsed = to_silver(copies, CONDITIONS)
-    stream = keep_new(parsed, parsed.limit(0), ["timestamp"], [missing_values(CONDITIONS)])
+    batch = silver_rows(copies, CONDITIONS, TIME_AND_PLACE)
+    parsed = to_silver(copies, CONDITIONS, LOG_KEY)
+    stream = keep_new(parsed, parsed.limit(0), TIME_AND_PLACE, [missing_values(CONDITIONS)]).drop(*LOG_KEY)
     return naive(
         batch.select(F.lit("batch").alias("rule"), "*").unionByName(stream.select(F.lit("stream").alias("rule"), "*"))
     )
