@@ -93,12 +93,13 @@ def stream_late_row(spark: SparkSession, sf_dir: str) -> DataFrame:
         shifted = F.col("ts") - F.make_dt_interval(days=F.lit(365))
         return some.withColumn("ts", F.when(F.col("event_id") == last, shifted).otherwise(F.col("ts")))
 
-    history = up_to(conditions_bronze(rows.filter(F.col("event_id") != last)), sql.CUTOFF)
-    backfill(history, CONDITIONS, f"{base}/backfill", by_day=True)
+    keep = ["partition", "offset"]
+    history = up_to(conditions_bronze(rows.filter(F.col("event_id") != last), keep), sql.CUTOFF)
+    backfill(history, CONDITIONS, f"{base}/backfill", keys=TIME_AND_PLACE, keep=LOG_KEY, by_day=True)
     finish(
         incremental(
-            conditions_bronze(late(events_stream(spark, sf_dir))), CONDITIONS, f"{base}/stream", f"{base}/checkpoint",
-            every=NOW, new_keys=["timestamp"], backfill_path=f"{base}/backfill", backfill_by_day=True,
+            conditions_bronze(late(events_stream(spark, sf_dir)), keep), CONDITIONS, f"{base}/stream", f"{base}/checkpoint",
+            every=NOW, new_keys=TIME_AND_PLACE, keep=LOG_KEY, backfill_path=f"{base}/backfill", backfill_by_day=True,
         )
     )
     view = silver_view(spark, CONDITIONS, f"{base}/backfill", f"{base}/stream", by_day=True)
