@@ -160,12 +160,13 @@ def backfill_quarantine_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _quarantined_stream(spark: SparkSession, sf_dir: str) -> str:
     """By key, over a backfill of the first half, so that rejected rows are not repeated either."""
     base = scratch_dir(spark, "quarantine")
-    history = up_to(cut_short(envelope(props_messages(events(spark, sf_dir))), "click"), sql.CUTOFF)
-    backfill(history, PROPS, f"{base}/backfill", quarantine=True)
-    stream = cut_short(envelope(props_messages(events_stream(spark, sf_dir))), "click")
+    keep = ["partition", "offset"]
+    history = up_to(cut_short(envelope(props_messages(events(spark, sf_dir)), keep), "click"), sql.CUTOFF)
+    backfill(history, PROPS, f"{base}/backfill", keys=TIME_AND_PLACE, quarantine=True)
+    stream = cut_short(envelope(props_messages(events_stream(spark, sf_dir)), keep), "click")
     finish(
         incremental(
-            stream, PROPS, f"{base}/stream", f"{base}/checkpoint", every=NOW, new_keys=["timestamp"],
+            stream, PROPS, f"{base}/stream", f"{base}/checkpoint", every=NOW, new_keys=TIME_AND_PLACE, keep=LOG_KEY,
             backfill_path=f"{base}/backfill", quarantine=True,
         )
     )
