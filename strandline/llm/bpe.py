@@ -12,19 +12,20 @@ import json
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from hashlib import sha256
 
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import map_texts, text_of
+from strandline.llm.common import kept, map_texts, text_of
 
 # Pieces of text whose ids a worker remembers before it starts anew, with the full memory as a second one, and the
 # longest piece it does remember.
-MEMORY_PIECES = 200_000
+MEMORY_PIECES = 50_000
 MEMORY_LENGTH = 48
 # Pairs of tokens whose compatibility it remembers.
-MEMORY_PAIRS = 500_000
+MEMORY_PAIRS = 200_000
 
 # Fixed value: how the byte-level vocabulary cuts text into pieces before the merges.
 PIECES = (
@@ -234,16 +235,9 @@ class Codec:
         return b"".join(map(self.text_of_id.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_CODECS: dict[int, Codec] = {}
-
-
-def codec(spec: str) -> Codec:
-    """One codec for each vocabulary in a worker, kept from task to task."""
-    key = hash(spec)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(spec)
-    return _CODECS[key]
+def codec_name(spec: str) -> str:
+    """Under which a worker keeps the codec of a vocabulary from task to task, until another operator works there."""
+    return f"codec {sha256(spec.encode()).hexdigest()}"
 
 
 def read_spec(path: str) -> str:
@@ -261,9 +255,10 @@ def encode_decode(docs: DataFrame, spec: str) -> DataFrame:
     result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(spec)
+    name = codec_name(spec)
 
     def start():
-        own = codec(sent.value)
+        own = kept(name, lambda: Codec(sent.value))
 
         def work(doc_ids, texts):
             packed = own.encode_all(texts)
@@ -271,7 +266,7 @@ def encode_decode(docs: DataFrame, spec: str) -> DataFrame:
 
         return work
 
-    return map_texts(docs.select("doc_id", text_of()), "doc_id long, ids binary, decoded string", start)
+    return map_texts(docs.select("doc_id", text_of()), "doc_id long, ids binary, decoded string", start, keeps=name)
 
 
 def unpack_ids(packed: Column) -> Column:

@@ -46,20 +46,40 @@ def importable(rows: DataFrame) -> DataFrame:
     return rows
 
 
+# What a Python worker keeps from task to task: one thing, as workers go from operator to operator.
+KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` returns, kept in this worker under ``name`` in place of what was kept before."""
+    release(name)
+    if name not in KEPT:
+        KEPT[name] = make()
+    return KEPT[name]
+
+
+def release(but: str | None = None) -> None:
+    """Give the memory back of what an earlier operator kept in this worker."""
+    for name in KEPT.keys() - {but}:
+        del KEPT[name]
+
+
 def map_texts(
     rows: DataFrame,
     schema: str,
     start: Callable[[], Callable[..., Iterator[tuple] | list[tuple]]],
+    keeps: str | None = None,
 ) -> DataFrame:
     """Give every row of ``rows`` to a Python function, in slices, and collect the tuples it makes.
 
     ``start`` runs once in each task and returns a function from equally long column lists to result tuples
-    of ``schema``. Only a slice of a batch is ever unpacked, so long texts do not pile up.
+    of ``schema``. Only a slice of a batch is ever unpacked, so long texts do not pile up. ``keeps`` names what ``start`` has ``kept``.
     """
     names = [part.split()[0] for part in schema.split(",")]
     types = [ARROW_TYPES[part.split()[1]] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keeps)
         work = start()
         for batch in batches:
             for low in range(0, batch.num_rows, SLICE_ROWS):

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, importable, join_keys, map_texts, one_of_each, text_digest, text_of
+from strandline.llm.common import cut, importable, join_keys, map_texts, one_of_each, release, text_digest, text_of
 
 RADIUS = 4
 SHINGLE_WORDS = 4
@@ -196,6 +196,7 @@ def links(
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         held: list[pd.DataFrame] = []
         for batch in batches:
             held.append(batch)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut, importable, is_held_out, map_texts, sample_texts, text_digest, text_of
+from strandline.llm.common import cut, importable, is_held_out, map_texts, release, sample_texts, text_digest, text_of
 
 # Insults that stand for themselves in English text.
 INSULTS = "clown disgusting dumb fool hate idiot imbecile jerk loser moron pathetic scum stupid trash ugly worthless".split()
@@ -434,6 +434,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        release()
         own = sent.value.scorer()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))

@@ -9,7 +9,8 @@ import pytest
 from tests.llm.conftest import rows_of
 from tokenizers import Tokenizer
 
-from strandline.llm import bpe
+from strandline.llm import bpe, common
+from strandline.llm.common import map_texts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,3 +77,20 @@ def test_rows_digests_and_edges(docs_of, judge):
     unpacked = coded.where("doc_id in (1, 3)").select("doc_id", bpe.unpack_ids(coded["ids"]).alias("ids"))
     assert rows_of(unpacked, "doc_id", "ids") == [(1, judge.encode("Hello  world").ids)] * 2 + [(3, [])]
     assert bpe.encode_decode(docs_of([]), bpe.read_spec(PATH)).count() == 0
+
+
+def test_a_worker_gives_the_codec_back_when_another_operator_works_there(spark, docs_of):
+    docs = docs_of([(k, f"text {k}") for k in range(8)]).repartition(4)
+    bpe.encode_decode(docs, bpe.read_spec(PATH)).collect()
+    held = map_texts(docs.select("doc_id"), "n long", lambda: lambda ids: [(len(common.KEPT),) for _ in ids])
+    assert [row["n"] for row in held.collect()] == [0] * 8
+
+
+def test_a_worker_keeps_one_thing():
+    try:
+        assert [common.kept("a", lambda: 1), common.kept("a", lambda: 2), common.kept("b", lambda: 3)] == [1, 1, 3]
+        assert list(common.KEPT) == ["b"]
+        common.release()
+        assert not common.KEPT
+    finally:
+        common.KEPT.clear()
