@@ -1,6 +1,6 @@
 """Batch sinks, message publishing and external tables."""
 
-from strandline.sinks.buckets import keep_new_bucketed, write_bucketed
+from strandline.sinks.buckets import buckets_for, keep_new_bucketed, write_bucketed
 from strandline.sinks.files import WriteReport, batch_overwrite, curve_place
 from strandline.sinks.messages import publish_json, send_to_topic
 from strandline.sinks.tables import (
@@ -15,6 +15,7 @@ from strandline.sinks.tables import (
 __all__ = [
     "WriteReport",
     "batch_overwrite",
+    "buckets_for",
     "curve_place",
     "ensure_namespace",
     "keep_new_bucketed",

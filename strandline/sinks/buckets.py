@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,11 +12,20 @@ from pyspark.sql import functions as F
 from strandline.operators.dedup import keep_one
 
 
+# Rows of one bucket of a table, a few hundred megabytes in memory with copies of each.
+BUCKET_ROWS = 250_000
+
+
+def buckets_for(rows: int, least: int = 4) -> int:
+    """Buckets of a table that will hold ``rows``: a larger table has more of them, not larger ones."""
+    return max(least, math.ceil(rows / BUCKET_ROWS))
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Write an external table in ``buckets`` buckets by ``keys``, each sorted by them.
 
     The rows are dealt to the buckets by one shuffle, so there is one file for each. The number is fixed for the table: choose it for the
-    size it will have, at a few hundred megabytes a bucket.
+    size it will have, see :func:`buckets_for`.
     """
     dealt = df.repartition(buckets, *keys)
     writer = dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite")

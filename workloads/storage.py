@@ -14,12 +14,12 @@ from strandline.operators.parse import LOG_KEY
 from strandline.plans.ingest import ingest
 from strandline.plans.silver import silver_schema
 from strandline.session import scratch_dir
-from strandline.sinks import batch_overwrite, keep_new_bucketed, register_versioned, run_sql, write_bucketed
+from strandline.sinks import batch_overwrite, buckets_for, keep_new_bucketed, register_versioned, run_sql, write_bucketed
 from strandline.sources import read_files, recent_days, stream_days
 from strandline.streaming import read_parts
 from workloads import sql
 from workloads.batch import new_namespace
-from workloads.messages import conditions_bronze, events, events_stream, naive, props_messages, replayed
+from workloads.messages import conditions_bronze, events, events_stream, naive, props_messages, replayed, table
 from workloads.registry import query
 from workloads.streams import NOW, finish
 
@@ -59,7 +59,8 @@ def handoff_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "buckets")
     name = new_namespace(spark, base)
     silver = to_silver(conditions_bronze(events(spark, sf_dir), ["partition", "offset"]), CONDITIONS, LOG_KEY)
-    held = write_bucketed(silver.filter("offset % 3 = 0"), f"{name}.silver", f"{base}/silver", LOG_KEY, 4)
+    rows = table(spark, sf_dir, "events").count()  # what both parts together hold
+    held = write_bucketed(silver.filter("offset % 3 = 0"), f"{name}.silver", f"{base}/silver", LOG_KEY, buckets_for(rows))
     new = keep_new_bucketed(replayed(silver), f"{name}.silver", LOG_KEY)
     first, second = (part.select(F.lit(flag).alias("held"), *LOG_KEY, "temp") for flag, part in ((True, held), (False, new)))
     return first.unionByName(second)
