@@ -71,13 +71,15 @@ def offset_ranges(messages: DataFrame, place: Sequence[str] = PLACE, offset: str
     """The offsets that are there, as the fewest ranges: ``place``, ``first``, ``last``.
 
     Each task makes a bitmap of every block of 32,768 offsets it meets: one bit for an offset in place of a row,
-    however often it repeats. The bitmaps of a block are merged after the shuffle and cut into islands there; blocks,
+    however often it repeats. The bitmaps of a block are merged after the shuffle, dealt out and cut into islands; blocks,
     not partitions, are the tasks' work, so a partition that holds most of a log is spread. Only islands that end at a
     block's edge are joined with those of the next block; all others are whole as they are. Rows without offset are left out.
     """
     placed = messages.where(F.col(offset) >= 0)
     bitmap = F.bitmap_construct_agg((F.col(offset) % BLOCK).cast("bigint")).alias("bitmap")
     blocks = placed.groupBy(*place, _block(F.col(offset)).alias("block")).agg(bitmap)
+    # A bitmap is small and long to cut: AQE would give all of them to one task.
+    blocks = blocks.repartition(messages.sparkSession.sparkContext.defaultParallelism, *place, "block")
     found = blocks.select(*place, "block", F.explode(_islands(_bits(F.col("bitmap")), F.col("block"))).alias("island"))
     found = found.select(*place, "block", "island.first", "island.last")
     at_edge = (F.col("first") == F.col("block") * BLOCK) | (F.col("last") == (F.col("block") + 1) * BLOCK - 1)
