@@ -19,7 +19,7 @@ from strandline.sources import read_files, stream_files
 from strandline.streaming import compact_parts, read_compacted, read_parts
 from workloads import sql
 from workloads.batch import PROPS, new_namespace
-from workloads.messages import conditions_bronze, cut_short, events, events_stream, naive, props_messages
+from workloads.messages import conditions_bronze, cut_short, events, events_stream, files_for, landed, naive, props_messages
 from workloads.registry import query
 from workloads.streams import NOW, finish
 
@@ -210,9 +210,10 @@ def compacted_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = envelope(props_messages(events(spark, sf_dir)))
     schema = bronze.schema
     earlier, later = up_to(bronze, sql.CUTOFF), after(bronze, sql.CUTOFF)
+    files = files_for(spark, sf_dir, 8)
     for half in (earlier, later):
-        half.repartitionByRange(4, "timestamp").write.mode("append").parquet(f"{base}/landed")
-        source = stream_files(spark, f"{base}/landed", schema, max_files_per_trigger=1)
+        landed(half, f"{base}/landed", 4 * files, "append")
+        source = stream_files(spark, f"{base}/landed", schema, max_files_per_trigger=files)
         finish(ingest(source, f"{base}/rows", f"{base}/checkpoint", NOW))
         if half is earlier:
             days = [r["day"] for r in bronze.select(utc_day(F.col("timestamp")).alias("day")).distinct().collect()]

@@ -30,7 +30,17 @@ from strandline.streaming import (
 from strandline.streaming import consumer_lag as lag_of
 from workloads import sql
 from workloads.checks import AS_OF, AS_OF_SQL, DAY, END, END_SQL, TOPICS, TOPICS_SQL
-from workloads.messages import conditions_bronze, cut_short, events, events_stream, naive, props_messages, replayed
+from workloads.messages import (
+    conditions_bronze,
+    cut_short,
+    events,
+    events_stream,
+    files_for,
+    landed,
+    naive,
+    props_messages,
+    replayed,
+)
 from workloads.registry import query
 from workloads.streams import NOW, finish
 
@@ -85,11 +95,6 @@ def handoff_by_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ progress
 
 
-def _landed(bronze: DataFrame, path: str, files: int) -> None:
-    """The rows in files that each hold a range of times."""
-    bronze.repartitionByRange(files, "timestamp").sortWithinPartitions("timestamp").write.parquet(path)
-
-
 @query(
     """
     SELECT 'bronze' AS name, 4 AS batches, count(*) AS rows_in, 0 AS late_rows, 3 AS last_batch, CAST(NULL AS BIGINT) AS lag
@@ -97,11 +102,12 @@ def _landed(bronze: DataFrame, path: str, files: int) -> None:
     """
 )
 def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a query told of itself while it read four files, one in each micro-batch"""
+    """What a query told of itself while it read the files of four micro-batches"""
     base = scratch_dir(spark, "progress")
     bronze = envelope(props_messages(events(spark, sf_dir)))
-    _landed(bronze, f"{base}/landed", 4)
-    source = stream_files(spark, f"{base}/landed", ENVELOPE, max_files_per_trigger=1)
+    files = files_for(spark, sf_dir, 4)
+    landed(bronze, f"{base}/landed", 4 * files)
+    source = stream_files(spark, f"{base}/landed", ENVELOPE, max_files_per_trigger=files)
     with ProgressTable(spark, f"{base}/progress"):
         finish(ingest(source, f"{base}/rows", f"{base}/checkpoint", NOW, name="bronze"))
     return lag_of(read_progress(spark, f"{base}/progress").where("name = 'bronze'")).drop("last_at")
@@ -112,10 +118,10 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later half of the rows comes first, in two batches, so the rest is behind the watermark; it is dropped, and counted"""
     base = scratch_dir(spark, "late")
     bronze = envelope(props_messages(events(spark, sf_dir)), keep=["offset"])
-    recent = after(bronze, sql.CUTOFF)
+    recent, files = after(bronze, sql.CUTOFF), files_for(spark, sf_dir, 2)
     for number, rows in enumerate((recent.filter("offset % 2 = 0"), recent.filter("offset % 2 = 1"), up_to(bronze, sql.CUTOFF))):
-        rows.coalesce(1).write.parquet(f"{base}/landed/{number}")
-    source = stream_files(spark, f"{base}/landed", bronze.schema, depth=1, max_files_per_trigger=1)
+        landed(rows, f"{base}/landed/{number}", files)
+    source = stream_files(spark, f"{base}/landed", bronze.schema, depth=1, max_files_per_trigger=files)
     unique = first_within_watermark_salted(source, ["topic", "offset"], "1 hour")
     with ProgressTable(spark, f"{base}/progress"):
         finish(stream_parts(unique, f"{base}/rows", f"{base}/checkpoint", NOW, name="dedup"))
@@ -228,8 +234,9 @@ def feed_outages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_outages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from sessions that a stream keeps, its files in no order of time"""
     base = scratch_dir(spark, "sessions")
-    events(spark, sf_dir).repartition(3, F.xxhash64("event_id")).write.parquet(f"{base}/landed")
-    rows = stream_files(spark, f"{base}/landed", events(spark, sf_dir).schema, max_files_per_trigger=1)
+    files = files_for(spark, sf_dir, 3)
+    events(spark, sf_dir).repartition(3 * files, F.xxhash64("event_id")).write.parquet(f"{base}/landed")
+    rows = stream_files(spark, f"{base}/landed", events(spark, sf_dir).schema, max_files_per_trigger=files)
     finish(outages.stream_sessions(envelope(props_messages(rows)), f"{base}/sessions", f"{base}/checkpoint", _LIMIT, NOW))
     sessions = outages.read_sessions(spark, f"{base}/sessions")
     return naive(outages.silences(sessions, _LIMIT, as_of=instant(END), expected=TOPICS))
@@ -255,17 +262,16 @@ def future_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql.select(sql.ENVELOPE | {"key": "sha256(CAST(event_id AS VARCHAR))"}))
 def stream_key_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The key is a digest that says nothing of the time; each file brings copies of the first one's rows, a year late"""
+    """The key is a digest that says nothing of the time; two batches, then two with copies of the first one's rows, a year late"""
     base = scratch_dir(spark, "sketch")
     key = F.sha2(F.col("offset").cast("string"), 256).alias("key")
     bronze = envelope(props_messages(events(spark, sf_dir)), keep=["offset"]).select("topic", "timestamp", "json_str", key)
-    _landed(bronze, f"{base}/first", 4)
-    files = spark.read.parquet(f"{base}/first")
-    again = files.filter(F.col("timestamp") < instant("2024-01-04T00:00:00Z"))
+    files = files_for(spark, sf_dir, 2)
+    landed(bronze, f"{base}/landed/0", 2 * files)
+    again = spark.read.parquet(f"{base}/landed/0").filter(F.col("timestamp") < instant("2024-01-04T00:00:00Z"))
     again = again.withColumn("timestamp", F.col("timestamp") + F.make_dt_interval(days=F.lit(365)))
-    for number, rows in enumerate((files, again)):
-        rows.coalesce(2).write.parquet(f"{base}/landed/{number}")
-    source = stream_files(spark, f"{base}/landed", bronze.schema, depth=1, max_files_per_trigger=1)
+    landed(again, f"{base}/landed/1", 2 * files)
+    source = stream_files(spark, f"{base}/landed", bronze.schema, depth=1, max_files_per_trigger=files)
     finish(
         stream_parts(
             source, f"{base}/rows", f"{base}/checkpoint", NOW, new_keys=["key"], time_bounded=False, sketch=f"{base}/sketches"

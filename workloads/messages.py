@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,6 +35,20 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/event[s].parquet")
 
 
+# Rows of one file of a landed copy of the table.
+FILE_ROWS = 250_000
+
+
+def files_for(spark: SparkSession, sf_dir: str, batches: int) -> int:
+    """Files that each of ``batches`` equal parts of the events lands in: a larger table has more files, not larger ones."""
+    return max(1, math.ceil(table(spark, sf_dir, "events").count() / batches / FILE_ROWS))
+
+
+def landed(rows: DataFrame, path: str, files: int, mode: str = "error") -> None:
+    """The rows in files that each hold a range of times."""
+    rows.repartitionByRange(files, "timestamp").sortWithinPartitions("timestamp").write.mode(mode).parquet(path)
+
+
 def _int(value: Column) -> Column:
     return value.cast("int")
 
