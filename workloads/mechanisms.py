@@ -19,6 +19,7 @@ from strandline.plans.incremental import incremental
 from strandline.plans.ingest import ingest
 from strandline.plans.silver import silver_schema
 from strandline.session import scratch_dir
+from strandline.sinks import batch_overwrite
 from strandline.sources import read_files, stream_files
 from strandline.streaming import (
     ProgressTable,
@@ -192,18 +193,21 @@ def stage_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
         latest = health.bounded_latest(table, group, "timestamp", feeds, instant(END), DAY)
         return health.freshness_checks(health.freshness(latest, feeds, instant(END), DAY, group), stage, group)
 
-    def present(stage: str) -> DataFrame:
-        found = health.topic_presence(log, feeds)
-        return found.select(F.lit(stage).alias("stage"), F.col("topic").alias("check"), F.col("found").alias("ok"), F.lit("").alias("detail"))
+    # One look at the topics stands for all stages that need no more than them.
+    stages = F.explode(F.array(*map(F.lit, ("kafka", "archive", "report")))).alias("stage")
+    found = health.topic_presence(log, feeds)
+    present = found.select(stages, F.col("topic").alias("check"), F.col("found").alias("ok"), F.lit("").alias("detail"))
 
-    silver = to_silver(conditions_bronze(events(spark, sf_dir).filter("event_type <> 'view'")), CONDITIONS)
+    # Silver is a table in files: its messages are made and parsed once, and not in every step of the search for a silent feed.
+    made = to_silver(conditions_bronze(events(spark, sf_dir).filter("event_type <> 'view'")), CONDITIONS)
+    path = f"{scratch_dir(spark, 'graph')}/silver"
+    batch_overwrite(made.select("timestamp", "condition_main"), path)
+    silver = read_files(spark, path, "timestamp TIMESTAMP, condition_main STRING", missing_ok=True)
     checks = health.all_checks(
         health.activity_checks(health.recent_activity(log, feeds, instant(END), DAY), DAY),
-        present("kafka"),
+        present,
         fresh(bronze, "topic", "bronze"),
         fresh(silver, "condition_main", "silver"),
-        present("archive"),
-        present("report"),
     )
     return graphs.stage_graph(checks, feeds, NEEDS)
 
