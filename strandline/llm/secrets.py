@@ -45,9 +45,8 @@ UUID = re.compile(r"(?i:[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12})")
 MARGIN = 0.5
 # Share of the identifiers set apart that may lie above the margin.
 FALSE_ALARMS = 0.001
-# Documents that the fit reads, a fifth of them for the margin; random strings that are added to those it finds, and
+# One document in so many is set apart for the margin; random strings that are added to those the fit finds, and
 # the seeds of these and of those that measure how many are found.
-FIT_DOCUMENTS = 20_000
 APART = 5
 RANDOM_STRINGS = 400
 SEED, APART_SEED = 20_240_229, 20_250_301
@@ -95,6 +94,16 @@ class Markov:
         """Mean ratio of the pairs of ``text``."""
         return float(self.ratio[_pairs(text)].mean()) if len(text) > 1 else 0.0
 
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """:meth:`score` of each of ``texts``, which have two characters or more."""
+        if not texts:
+            return np.empty(0)
+        many = np.array([len(text) for text in texts])
+        starts = np.cumsum(many) - many
+        ratios = np.append(self.ratio[_pairs("".join(texts))], 0.0)
+        ratios[starts + many - 1] = 0.0  # from one text to the next
+        return np.add.reduceat(ratios, starts) / (many - 1)
+
 
 def random_strings(n: int = RANDOM_STRINGS, seed: int = SEED) -> list[str]:
     """Labelled samples of strings as key generators make them: hexadecimal, letters and digits, base 64."""
@@ -174,17 +183,14 @@ def _log_chances(counts: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame) -> Markov:
-    """Train both models on about ``FIT_DOCUMENTS`` documents, drawn by a hash of id and text, and on ``random_strings``.
+    """Train both models on all documents but those set apart, and on ``random_strings``.
 
     Values of the fixed formats are the random samples of the text; its other words of six or more characters and
-    ``identifiers`` made of them the ordinary ones. A part of the documents is set apart: the margin is the score above
-    which ``FALSE_ALARMS`` of their identifiers lie, and ``MARGIN`` at least. Spark sums the counts of pairs and of
+    ``identifiers`` made of them the ordinary ones. One document in ``APART``, by a hash of id and text, is set apart: the margin is the
+    score above which ``FALSE_ALARMS`` of their identifiers lie, and ``MARGIN`` at least. Spark sums the counts of pairs and of
     scores; tables of fixed size reach the driver. Without documents the margin is ``MARGIN``.
     """
-    total = max(1, docs.count())
-    place = F.pmod(F.xxhash64("doc_id", text_of()), F.lit(1_000_003))
-    rows = docs.where(place / F.lit(1_000_003.0) < min(1.0, FIT_DOCUMENTS / total))
-    apart = place % APART == 0
+    apart = F.pmod(F.xxhash64("doc_id", text_of()), F.lit(1_000_003)) % APART == 0
 
     def start():
         def work(texts):
@@ -202,26 +208,26 @@ def fit(docs: DataFrame) -> Markov:
 
         return work
 
-    counts = map_texts(rows.where(~apart).select(text_of()), "which long, pair long, n double", start)
+    counts = map_texts(docs.where(~apart).select(text_of()), "which long, pair long, n double", start)
     table = np.zeros((2, STATES * STATES))
     for row in counts.groupBy("which", "pair").agg(F.sum("n").alias("n")).collect():
         table[row["which"], row["pair"]] = row["n"]
-    # Names of programs weigh as much as the documents do, whose words may be of any language.
-    names = _pair_counts(program_names())
-    table[0] += names * max(1.0, table[0].sum() / names.sum())
-    table[1] += _pair_counts(random_strings())
+    # Fixed samples weigh as much as the documents do: their words may be of any language, and not all values in them are random.
+    for row, samples in zip(table, (program_names(), random_strings()), strict=True):
+        fixed = _pair_counts(samples)
+        row += fixed * max(1.0, row.sum() / fixed.sum())
     model = Markov(_log_chances(table[1]) - _log_chances(table[0]))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge():
         def work(texts):
-            names = (name for text in texts for name in identifiers(text) if len(name) >= CANDIDATE_LEAST)
-            classes = Counter(int((sent.value.score(name) - SCORE_LEAST) / SCORE_STEP) for name in names)
-            return list(classes.items())
+            names = [name for text in texts for name in identifiers(text) if len(name) >= CANDIDATE_LEAST]
+            classes = np.trunc((sent.value.scores(names) - SCORE_LEAST) / SCORE_STEP).astype(int)
+            return Counter(classes.tolist()).items()
 
         return work
 
-    classes = map_texts(rows.where(apart).select(text_of()), "class long, n long", judge)
+    classes = map_texts(docs.where(apart).select(text_of()), "class long, n long", judge)
     scores = sorted((row["class"], row["n"]) for row in classes.groupBy("class").agg(F.sum("n").alias("n")).collect())
     return calibrated(model, [(SCORE_LEAST + SCORE_STEP * (k + 1), n) for k, n in scores])
 

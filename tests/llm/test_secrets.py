@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.conftest import rows_of
 
 from strandline.llm import secrets
@@ -120,3 +121,23 @@ def test_pairs_are_counted_within_samples_only():
 def test_fit_with_null_and_repeated_ids(docs_of):
     text = "password = 'abcdef' some ordinary words stand here and more of them follow"
     assert secrets.fit(docs_of([(None, text)] * 5 + [(1, text), (1, None)])).margin >= secrets.MARGIN
+
+
+def test_scores_at_once_are_those_of_each(model):
+    texts = ["aZ", "getUserAccountSettings", "src/main/Some-thing_0=", "9f8b7c6d5e4f3a2b1c0d"]
+    assert model.scores(texts).tolist() == pytest.approx([model.score(text) for text in texts])
+    assert model.scores([]).tolist() == []
+
+
+def test_every_document_counts_in_the_fit(spark):
+    """The pairs of all 25,000 documents but those set apart, counted here one by one."""
+    text = F.when(F.col("id") % 25 == 0, "qxqxqxqxqx zjzjzjzjzj " * 3).otherwise("some plain words of every document here")
+    docs = spark.range(25_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    apart = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) % secrets.APART == 0
+    counts = np.zeros(secrets.STATES**2)
+    for row in docs.where(~apart).groupBy("text").count().collect():
+        samples = [word for word in row["text"].split() if len(word) > 5] + secrets.identifiers(row["text"])
+        counts += row["count"] * secrets._pair_counts(samples)
+    names, strings = secrets._pair_counts(secrets.program_names()), secrets._pair_counts(secrets.random_strings())
+    want = secrets._log_chances(strings) - secrets._log_chances(counts + names * max(1.0, counts.sum() / names.sum()))
+    assert np.allclose(secrets.fit(docs).ratio, want)
